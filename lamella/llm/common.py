@@ -76,3 +76,12 @@ def running_sum(df: DataFrame, order: list[str], value: str, out: str, group: st
 
 def schema(text: str) -> T.StructType:
     return T._parse_datatype_string(text)
+
+
+#: Rows of a table that may be broadcast (a row is a key and a few numbers: under 32 MB).
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """df, marked for broadcast if a count shows that it has at most `limit` rows; else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

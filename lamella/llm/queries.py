@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import minhash, mixing, order_minhash
 from .common import table
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
+
+
 def queries() -> dict:
-    return {"op7_minhash_near_dedup": op7_minhash_near_dedup}
+    return {f.__name__: f for f in (op3_order_minhash, op7_minhash_near_dedup, op9_weighted_fair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_weighted_fair_mix": mixing.SQL}
