@@ -138,3 +138,62 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int):
             yield np.array([short[r]], np.uint64)
         else:
             yield np.zeros(0, np.uint64)
+
+
+def per_row(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of True (or sum) of mask between consecutive offsets."""
+    total = np.zeros(len(mask) + 1, np.int64)
+    np.cumsum(mask, out=total[1:])
+    return np.diff(total[offsets])
+
+
+def _flags(chars: str) -> np.ndarray:
+    found = np.zeros(256, bool)
+    found[list(chars.encode())] = True
+    return found
+
+
+#: Symbols that the rules count (fixed by the contract).
+SYMBOLS = _flags("#*$%&|<>")
+
+
+def repeated(words: np.ndarray, first: np.ndarray, k: int = 3) -> np.ndarray:
+    """Marks the words that lie in a window of k words found twice or more in their row."""
+    marked = np.zeros(len(words), bool)
+    at, _ = windows(first, k)
+    if len(at):
+        row = np.searchsorted(first, at, "right").astype(np.uint64)
+        keys = mix(chained(words, at, k) ^ mix(row))
+        _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        twice = at[counts[inverse] > 1]
+        for j in range(k):
+            marked[twice + j] = True
+    return marked
+
+
+def duplicate_lines(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row: lines (between \\n) with a word, and those equal to an earlier one of the row. starts: of the words."""
+    begin, end, first = runs(data != 10, offsets)
+    if not len(begin):
+        return np.zeros(len(offsets) - 1, np.int64), np.zeros(len(offsets) - 1, np.int64)
+    worded = np.searchsorted(starts, end) > np.searchsorted(starts, begin)
+    row = np.searchsorted(first, np.arange(len(begin)), "right") - 1
+    begin, end, row = begin[worded], end[worded], row[worded]
+    n = np.bincount(row, minlength=len(offsets) - 1)
+    keys = mix(hashes(data, begin, end) ^ mix(row.astype(np.uint64) + U(1)))
+    _, at = np.unique(keys, return_index=True)
+    return n, n - np.bincount(row[at], minlength=len(offsets) - 1)
+
+
+def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts of each row: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (see the quality rules)."""
+    starts, _, first, h = words(data, offsets)
+    lines, dup = duplicate_lines(data, offsets, starts)
+    return {
+        "n_words": np.diff(first),
+        "word_chars": per_row(~SPACE[data] & ~CONTINUES[data], offsets),
+        "n_symbols": per_row(SYMBOLS[data], offsets),
+        "n_lines": lines,
+        "n_dup_lines": dup,
+        "n_repeat_words": per_row(repeated(h, first), first),
+    }

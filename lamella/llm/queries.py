@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, order_minhash
+from . import minhash, mixing, order_minhash, quality_classifier, quality_rules
 from .common import table
 
 
@@ -21,8 +21,16 @@ def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_order_minhash, op7_minhash_near_dedup, op9_weighted_fair_mix)}
+    return {f.__name__: f for f in (op3_order_minhash, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
