@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash, mixing, order_minhash, quality_classifier, quality_rules
+from . import language_id, minhash, mixing, order_minhash, quality_classifier, quality_rules
 from .common import table
 
 
+def op2_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    return language_id.languages(table(spark, sf_dir, "documents"), held_out)
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -30,7 +35,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_order_minhash, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
+    return {f.__name__: f for f in (op2_crf_language_id, op3_order_minhash, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
