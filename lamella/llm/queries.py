@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, minhash, mixing, order_minhash, quality_classifier, quality_rules
+from . import language_id, minhash, mixing, order_minhash, packing, quality_classifier, quality_rules, warc
 from .common import table
 
 
@@ -17,6 +17,15 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
     return found.withColumnRenamed("id", "doc_id")
@@ -35,8 +44,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_crf_language_id, op3_order_minhash, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
+    return {f.__name__: f for f in (op2_crf_language_id, op3_order_minhash, op4_warc_index_merge, op6_best_fit_packing, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_weighted_fair_mix": mixing.SQL}
+    return {"op4_warc_index_merge": warc.SQL, "op9_weighted_fair_mix": mixing.SQL}
