@@ -14,6 +14,9 @@ is lost to the size of a bucket.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,33 +26,47 @@ from . import kernels as K
 from .common import stored
 from .components import components
 
-HASHES = 128
-ROWS = 4  # a band; 32 bands of 4 miss a pair of similarity 0.8 with probability (1 - 0.8**4)**32 = 5e-8
-#: Least agreeing minima for a candidate to be checked on sets: 5 standard deviations below 0.8 * HASHES.
-AGREE = 79
+
+
+@dataclass(frozen=True)
+class Banding:
+    """hashes minima in bands of `rows`; a candidate's sets are compared if at least `agree` minima are equal.
+
+    agree lies 5 standard deviations below 0.8 * hashes.
+    """
+
+    hashes: int
+    rows: int
+    agree: int
+
+
+#: 32 bands of 4 miss a pair of similarity 0.8 with probability (1 - 0.8**4)**32 = 5e-8.
+DOCUMENTS = Banding(128, 4, 79)
+MOST = DOCUMENTS.hashes
 SMALL_BUCKET = 12
 #: Documents in a block of the second comparison.
 BLOCK = 128
 
 _rng = np.random.default_rng(20240613)
-_A = _rng.integers(0, 1 << 64, HASHES, np.uint64) | np.uint64(1)
-_B = _rng.integers(0, 1 << 64, HASHES, np.uint64)
-_C = _rng.integers(0, 1 << 64, ROWS, np.uint64) | np.uint64(1)
+_A = _rng.integers(0, 1 << 64, MOST, np.uint64) | np.uint64(1)
+_B = _rng.integers(0, 1 << 64, MOST, np.uint64)
+_C = _rng.integers(0, 1 << 64, 8, np.uint64) | np.uint64(1)
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """HASHES minima (32 bits of multiply-shift) of each non-empty set."""
+def signatures(sets: list[np.ndarray], hashes: int = MOST) -> np.ndarray:
+    """The minima (32 bits of multiply-shift) of each non-empty set."""
     at = np.cumsum([0, *map(len, sets[:-1])])
     x = K.mix(np.concatenate(sets))
-    out = np.empty((len(sets), HASHES), np.uint32)
-    for j in range(HASHES):
+    out = np.empty((len(sets), hashes), np.uint32)
+    for j in range(hashes):
         out[:, j] = np.minimum.reduceat(x * _A[j] + _B[j], at) >> np.uint64(32)
     return out
 
 
-def bands(sigs: np.ndarray) -> np.ndarray:
-    parts = sigs.reshape(len(sigs), HASHES // ROWS, ROWS).astype(np.uint64)
-    return K.mix((K.mix(parts) * _C).sum(axis=2, dtype=np.uint64) + np.arange(HASHES // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+def bands(sigs: np.ndarray, rows: int) -> np.ndarray:
+    n = sigs.shape[1] // rows
+    parts = sigs[:, : n * rows].reshape(len(sigs), n, rows).astype(np.uint64)
+    return K.mix((K.mix(parts) * _C[:rows]).sum(axis=2, dtype=np.uint64) + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def _features(k: int):
@@ -71,23 +88,32 @@ def _features(k: int):
     return run
 
 
-def _minima(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+def _minima(column: pa.Array, hashes: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, hashes)
 
 
-def _unpacked(batches):
+def _unpacked(how: Banding):
     """(rep, minima) -> (bucket, rep), a row for each band."""
-    for batch in batches:
-        keys = bands(_minima(batch.column(1))).ravel()
-        reps = np.repeat(batch.column(0).to_numpy(), HASHES // ROWS)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(reps)], names=["bucket", "rep"])
 
+    def run(batches):
+        for batch in batches:
+            keys = bands(_minima(batch.column(1), how.hashes), how.rows)
+            reps = batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), reps], names=["bucket", "rep"])
+
+    return run
+
+
+def _agreeing(how: Banding):
+    """Keeps candidate pairs of which enough minima are equal."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = (_minima(batch.column(c), how.hashes) for c in (2, 3))
+            ok = pa.array((a == b).sum(axis=1) >= how.agree)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
-def _agreeing(batches):
-    """Keeps candidate pairs of which at least AGREE minima are equal."""
-    for batch in batches:
-        ok = pa.array((_minima(batch.column(2)) == _minima(batch.column(3))).sum(axis=1) >= AGREE)
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+    return run
 
 
 def _sets(k: int):
@@ -115,13 +141,14 @@ def _linked(percent: int):
     return run
 
 
-def _blocks(percent: int):
+def _blocks(percent: int, how: Banding):
     """Links between documents of different components, of a stray block and another block."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        rep, component = (rows[c].to_numpy() for c in ("rep", "component"))
-        sig = _minima(rows["minima"])
+        rep, component = (np.unique(np.array(rows[c].to_pylist(), object), return_inverse=True) for c in ("rep", "component"))
+        (names, rep), (_, component) = rep, component
+        sig = _minima(rows["minima"], how.hashes)
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]]
         side = rows["side"].to_numpy()
         root = {c: c for c in component.tolist()}  # as links are found, further pairs of the two components are no longer needed
@@ -133,15 +160,16 @@ def _blocks(percent: int):
 
         u, v = [], []
         for i in np.flatnonzero(side == 0):
-            others = np.flatnonzero((component != component[i]) & ((sig == sig[i]).sum(axis=1) >= AGREE))
+            others = np.flatnonzero((component != component[i]) & ((sig == sig[i]).sum(axis=1) >= how.agree))
             others = others[(side[others] == 1) | (rep[others] < rep[i])]
             for j in others[np.argsort(component[others], kind="stable")]:
                 a, b = top(component[i]), top(component[j])
                 if a != b and _similar(sets[i], sets[j], percent):
                     root[a] = b
-                    u.append(rep[i])
-                    v.append(rep[j])
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+                    u.append(names[rep[i]])
+                    v.append(names[rep[j]])
+        kind = rows.schema.field("rep").type
+        return pa.table({"u": pa.array(u, kind), "v": pa.array(v, kind)})
 
     return run
 
@@ -152,7 +180,7 @@ def _with_sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return stored(chosen.mapInArrow(_sets(k), "id long, shingles binary"), "sets")
 
 
-def _stray_links(large: DataFrame, roots: DataFrame, signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
+def _stray_links(large: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame | None:
     """Links (u, v) between members of large buckets that are candidates of each other but not of one component yet."""
     group = components(large.select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
     placed = group.select(F.col("node").alias("rep"), F.col("component").alias("grp")).join(roots, F.col("rep") == F.col("node"), "left")
@@ -168,33 +196,30 @@ def _stray_links(large: DataFrame, roots: DataFrame, signed: DataFrame, docs: Da
     if open_.isEmpty():
         return None
     open_ = stored(open_, "open")
-    full = open_.join(_with_sets(open_.select(F.col("rep").alias("id")), docs, k), F.col("rep") == F.col("id")).join(signed, "rep")
+    full = open_.join(with_sets(open_.select(F.col("rep").alias("id"))), F.col("rep") == F.col("id")).join(signed, "rep")
     full = stored(full.select("rep", "grp", "component", "side", "strays", "mains", "block", "minima", "shingles"), "strays")
-    # Blocks (a, b): a of strays, b of strays (a <= b, in a group's strays) or, from 1000000 on, of the main component.
+    # Blocks (a, b): a of strays, b of strays (a <= b) or, from `far` on, of the main component.
     far = F.lit(1 << 40)
     own = F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda o: F.struct(F.least(o, F.col("block")).cast("long").alias("a"), F.greatest(o, F.col("block")).cast("long").alias("b"), F.when(o < F.col("block"), 1).otherwise(0).alias("s")))
     to_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda o: F.struct(F.col("block").cast("long").alias("a"), (far + o).alias("b"), F.lit(0).alias("s")))
     to_stray = F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda o: F.struct(o.cast("long").alias("a"), (far + F.col("block")).alias("b"), F.lit(1).alias("s")))
     pairs = F.explode(F.when(F.col("side") == 1, to_stray).otherwise(F.concat(own, to_main)))
     dealt = full.select("rep", "grp", "component", "minima", "shingles", pairs.alias("p")).select("rep", "component", "minima", "shingles", "grp", "p.a", "p.b", F.col("p.s").alias("side"))
-    return stored(dealt.groupBy("grp", "a", "b").applyInArrow(_blocks(percent), "u long, v long"), "links")
+    return stored(dealt.groupBy("grp", "a", "b").applyInArrow(_blocks(percent, how), _edge(signed)), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of each row of docs.
+def _edge(signed: DataFrame) -> str:
+    kind = signed.schema["rep"].dataType.simpleString()
+    return f"u {kind}, v {kind}"
 
-    Documents are linked if the Jaccard similarity of their sets of k-word shingles (A-Z lower-cased) is at
-    least percent / 100. component_id is the least id reachable; kept marks the row with that id.
-    Null and word-less texts have no shingles and link with nothing. Repeated rows of one id are returned
-    as often as they stand, each with the same component. A null id keeps its row, unlinked, with a null
-    component, and is not kept. An empty table gives no rows. Other columns are ignored.
+
+def linked_components(signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame:
+    """(node, component) of the representatives in signed(rep, minima) that are linked with another.
+
+    with_sets(ids(id)) gives (id, shingles), the sorted 64-bit hashes of the wanted sets.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = stored(docs.mapInArrow(_features(k), "id long, n long, set_key binary, minima binary"), "minima")
-    groups = stored(found.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep")), "groups")
-    signed = found.join(groups, (found["set_key"] == groups["set_key"]) & (found["id"] == groups["rep"])).select("rep", "minima").dropDuplicates(["rep"])
-    signed = stored(signed, "signed")
-    slots = signed.mapInArrow(_unpacked, "bucket long, rep long")
+    kind = signed.schema["rep"].dataType.simpleString()
+    slots = signed.mapInArrow(_unpacked(how), f"bucket long, rep {kind}")
     shared = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(slots.join(shared, "bucket"), "members")
 
@@ -202,23 +227,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = small.select("bucket", F.col("rep").alias("a")).join(small.select("bucket", F.col("rep").alias("b")), "bucket").where("a < b").select("a", "b")
     large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep")
     central = large.join(large.groupBy("rep").agg(F.count(F.lit(1)).alias("c")), "rep")
-    pivots = central.groupBy("bucket").agg(F.max(F.struct("c", (-F.col("rep")).alias("r"))).alias("m")).select("bucket", (-F.col("m.r")).alias("pivot"))
+    pivots = central.groupBy("bucket").agg(F.max(F.struct("c", "rep")).alias("m")).select("bucket", F.col("m.rep").alias("pivot"))
     large = stored(large.join(pivots, "bucket").where("rep <> pivot").select("rep", "pivot").distinct(), "large")
     stars = large.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
 
     a = signed.select(F.col("rep").alias("a"), F.col("minima").alias("ma"))
     b = signed.select(F.col("rep").alias("b"), F.col("minima").alias("mb"))
     candidates = pairs.unionByName(stars).distinct().join(a, "a").join(b, "b").select("a", "b", "ma", "mb")
-    likely = stored(candidates.mapInArrow(_agreeing, "a long, b long"), "likely")
-    sets = _with_sets(likely.select(F.explode(F.array("a", "b")).alias("id")), docs, k)
+    likely = stored(candidates.mapInArrow(_agreeing(how), f"a {kind}, b {kind}"), "likely")
+    sets = with_sets(likely.select(F.explode(F.array("a", "b")).alias("id")))
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    links = likely.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "u long, v long")
+    links = likely.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked(percent), _edge(signed))
     roots = components(links)
-    more = _stray_links(large, roots, signed, docs, k, percent)
+    more = _stray_links(large, roots, signed, with_sets, percent, how)
     if more is not None:
         roots = components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    return roots
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of each row of docs.
 
+    Documents are linked if the Jaccard similarity of their sets of k-word shingles (A-Z lower-cased) is at
+    least percent / 100. component_id is the least id reachable; kept marks the row with that id.
+    Null and word-less texts have no shingles and link with nothing. Repeated rows of one id are returned
+    as often as they stand, each with the same component. A null id keeps its row, unlinked, with a null
+    component, and is not kept. An empty table gives no rows. Other columns are ignored.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = stored(docs.mapInArrow(_features(k), "id long, n long, set_key binary, minima binary"), "minima")
+    groups = stored(found.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep")), "groups")
+    signed = found.join(groups, (found["set_key"] == groups["set_key"]) & (found["id"] == groups["rep"])).select("rep", "minima").dropDuplicates(["rep"])
+    signed = stored(signed, "signed")
+    roots = linked_components(signed, lambda ids: _with_sets(ids, docs, k), percent, DOCUMENTS)
     of_set = groups.join(roots, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = found.select("id", "n", "set_key").join(of_set, "set_key", "left")
     component = F.coalesce("component", "id")

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, minhash, mixing, order_minhash, packing, quality_classifier, quality_rules, warc
+from . import language_id, minhash, mixing, order_minhash, packing, paragraphs, quality_classifier, quality_rules, warc
 from .common import table
 
 
+def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op2_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     return language_id.languages(table(spark, sf_dir, "documents"), held_out)
@@ -44,7 +48,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_crf_language_id, op3_order_minhash, op4_warc_index_merge, op6_best_fit_packing, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_paragraph_dedup, op2_crf_language_id, op3_order_minhash, op4_warc_index_merge, op6_best_fit_packing, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
