@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, minhash, mixing, order_minhash, packing, paragraphs, quality_classifier, quality_rules, warc
+from . import language_id, minhash, mixing, order_minhash, packing, paragraphs, quality_classifier, quality_rules, surrogates, warc
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_surrogate_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.anonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_paragraph_dedup, op2_crf_language_id, op3_order_minhash, op4_warc_index_merge, op6_best_fit_packing, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_paragraph_dedup, op2_crf_language_id, op3_order_minhash, op4_warc_index_merge, op5_surrogate_generation, op6_best_fit_packing, op7_minhash_near_dedup, op8_perplexity_rules, op9_weighted_fair_mix, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
