@@ -277,3 +277,9 @@ def anonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     once = joined.where("_special is not null").withColumn("_found", F.explode(F.array(entities(F.col("text")))))
     other = once.select(*[_replaced(F.col("text"), F.col("_found"), lambda e: F.coalesce(F.element_at("_special", e), _first_attempt(e, key))).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_found").alias("n_entities"))
     return plain.unionByName(other.select(*rest, "text", "n_entities").select(*plain.columns))
+
+
+def anonymised_documents(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """docs with the entities of their texts replaced; the same columns, n_chars (if there is one) following the text."""
+    out = anonymised(docs, key)
+    return out.select(*[F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
