@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import projections, relational  # noqa: F401
+from . import cleaning, projections, relational  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
