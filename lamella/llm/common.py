@@ -85,3 +85,29 @@ BROADCAST_ROWS = 100_000
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df, marked for broadcast if a count shows that it has at most `limit` rows; else left to a shuffled join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+#: Bits of a membership bitmap: 4 MB, whatever the number of ids.
+BITMAP_BITS = 1 << 25
+
+
+def bitmap(places: DataFrame):
+    """A broadcast bitmap of places(p), numbers below BITMAP_BITS; None if so many are set that it would let most rows pass.
+
+    Rows that it lets pass in error are for the caller to remove. At most BITMAP_BITS / 64 rows reach the driver.
+    """
+    import numpy as np
+
+    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits"))
+    found = words.toPandas()
+    bits = np.zeros(BITMAP_BITS // 64, np.int64)
+    bits[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    flags = bits.view(np.uint8)
+    if np.unpackbits(flags).mean() > 0.25:
+        return None
+    return places.sparkSession.sparkContext.broadcast(flags)
+
+
+def is_set(flags, p):
+    """Which of the places p (a NumPy array) are set; bits count from the lowest of each byte."""
+    return (flags[p >> 3] >> (p & 7)) & 1 == 1

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K
-from .common import stored
+from .common import BITMAP_BITS, bitmap, is_set, stored
 from .components import components
 
 
@@ -174,10 +174,31 @@ def _blocks(percent: int, how: Banding):
     return run
 
 
+def _sets_of(k: int, flags):
+    """(id, text, p) -> (id, shingles) of the documents whose place p is set."""
+
+    def run(batches):
+        for batch in batches:
+            chosen = batch.filter(pa.array(is_set(flags.value, batch.column(2).to_numpy())))
+            yield from _sets(k)([chosen])
+
+    return run
+
+
 def _with_sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(id, shingles) of the documents in ids(id), stored."""
-    chosen = docs.join(ids.distinct(), "id").dropDuplicates(["id"]).select("id", "text")
-    return stored(chosen.mapInArrow(_sets(k), "id long, shingles binary"), "sets")
+    """(id, shingles) of the documents in ids(id), and perhaps of a few others, stored.
+
+    The texts are filtered by a bitmap of the ids where they are read, so they aren't shuffled. With too many ids for
+    the bitmap's fixed size they are joined.
+    """
+    ids = stored(ids.distinct(), "wanted")
+    place = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS)).alias("p")
+    flags = bitmap(ids.select(place))
+    if flags is None:
+        found = docs.join(ids, "id").mapInArrow(_sets(k), "id long, shingles binary")
+    else:
+        found = docs.where("id is not null").select("id", "text", place).mapInArrow(_sets_of(k, flags), "id long, shingles binary")
+    return stored(found.dropDuplicates(["id"]), "sets")
 
 
 def _stray_links(large: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame | None:
