@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K
-from .common import stored
+from .common import BITMAP_BITS, bitmap, is_set, stored
 from .minhash import Banding, linked_components, signatures
 
 MIN_WORDS = 25
@@ -85,15 +85,27 @@ def _found(min_words: int, hashes: int):
     return run
 
 
-def _wanted(batches):
-    """(text, [(start, length, set_key)]) -> (id, shingles) of the wanted paragraphs."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            data = np.frombuffer((batch.column(0)[i].as_py() or "").encode(), np.uint8)
-            spots = batch.column(1)[i].as_py()
-            begin = np.array([p["start"] for p in spots])
-            sets = _paragraph_sets(data, begin, begin + np.array([p["length"] for p in spots]))
-            yield pa.RecordBatch.from_arrays([pa.array([p["set_key"] for p in spots], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
+def _place(key: bytes) -> int:
+    return int.from_bytes(key[:4], "big") % BITMAP_BITS
+
+
+def _wanted(min_words: int, flags):
+    """(text) -> (id, shingles) of the paragraphs whose digest's place is set; all of them without flags."""
+
+    def run(batches):
+        for batch in batches:
+            for _, data, offsets in K.pieces(batch.column(0)):
+                _, begin, end, size = paragraphs(data, offsets)
+                ok = size >= min_words
+                sets = _paragraph_sets(data, begin[ok], end[ok])
+                keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+                if flags is not None and keys:
+                    ok = is_set(flags.value, np.array([_place(x) for x in keys]))
+                    keys, sets = [x for x, y in zip(keys, ok) if y], [x for x, y in zip(sets, ok) if y]
+                first = dict(zip(keys, sets))
+                yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.binary()), pa.array([s.tobytes() for s in first.values()], pa.binary())], names=["id", "shingles"])
+
+    return run
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80) -> DataFrame:
@@ -107,14 +119,13 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, percent: in
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     fields = "doc_id long, paragraph int, start long, length long, n_words long, set_key binary, minima binary"
     found = stored(docs.mapInArrow(_found(min_words, PARAGRAPHS.hashes), fields), "paragraphs")
-    signed = stored(found.groupBy("set_key").agg(F.min(F.struct("doc_id", "paragraph", "start", "length")).alias("at"), F.min("minima").alias("minima")), "sets")
-    spots = signed.select("set_key", "at")
+    signed = stored(found.groupBy("set_key").agg(F.min("minima").alias("minima")), "sets")
 
     def with_sets(ids: DataFrame) -> DataFrame:
-        chosen = spots.join(ids.distinct(), spots["set_key"] == ids["id"], "left_semi")
-        by_doc = chosen.groupBy("at.doc_id").agg(F.collect_list(F.struct("at.start", "at.length", "set_key")).alias("spots"))
-        texts = docs.join(by_doc, "doc_id").dropDuplicates(["doc_id"]).select("text", "spots")
-        return stored(texts.mapInArrow(_wanted, "id binary, shingles binary"), "shingles")
+        ids = stored(ids.distinct(), "wanted")
+        flags = bitmap(ids.select(F.expr(f"cast(conv(hex(substring(id, 1, 4)), 16, 10) as long) % {BITMAP_BITS}").alias("p")))
+        sets = docs.select("text").mapInArrow(_wanted(min_words, flags), "id binary, shingles binary")
+        return stored(sets.groupBy("id").agg(F.min("shingles").alias("shingles")).join(ids, "id", "left_semi"), "shingles")
 
     roots = linked_components(signed.select(F.col("set_key").alias("rep"), "minima"), with_sets, percent, PARAGRAPHS)
     placed = found.drop("minima").join(roots, found["set_key"] == roots["node"], "left").withColumn("cluster", F.coalesce("component", "set_key"))
