@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cleaning, graphs, projections, relational  # noqa: F401
+from . import cleaning, graphs, projections, relational, stages  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
