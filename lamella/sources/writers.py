@@ -28,9 +28,15 @@ def overlay(df: DataFrame) -> DataFrame:
 
 def solver_text(objective: DataFrame, rows: DataFrame, path: str) -> None:
     """An LP file from objective(name, cost) and rows(row, name, coef, sense, rhs)."""
-    term = lambda c: F.format_string("%+.12g %s", F.col(c).cast("double"), "name")
+    def signed(c):
+        value = F.col(c).cast("double")
+        return F.concat(F.when(value >= 0, "+").otherwise(""), value.cast("string"))
+
+    def term(c):
+        return F.concat(signed(c), F.lit(" "), "name")
+
     goal = objective.agg(F.array_join(F.sort_array(F.collect_list(term("cost"))), " ").alias("t")).select(F.lit(0).alias("k"), F.lit("").alias("row"), F.concat(F.lit("Maximize\n obj: "), "t", F.lit("\nSubject To")).alias("value"))
-    body = rows.groupBy("row", "sense", "rhs").agg(F.array_join(F.sort_array(F.collect_list(term("coef"))), " ").alias("t")).select(F.lit(1).alias("k"), "row", F.format_string(" %s: %s %s %.12g", "row", "t", "sense", F.col("rhs").cast("double")).alias("value"))
+    body = rows.groupBy("row", "sense", "rhs").agg(F.array_join(F.sort_array(F.collect_list(term("coef"))), " ").alias("t")).select(F.lit(1).alias("k"), "row", F.concat(F.lit(" "), "row", F.lit(": "), "t", F.lit(" "), "sense", F.lit(" "), F.col("rhs").cast("double").cast("string")).alias("value"))
     names = objective.select(F.lit(2).alias("k"), F.col("name").alias("row"), F.concat(F.lit(" "), "name").alias("value"))
     head = objective.sparkSession.createDataFrame([(2, "", "Binary"), (3, "", "End")], "k int, row string, value string")
     goal.unionByName(body).unionByName(names).unionByName(head).repartitionByRange(1, "k", "row").sortWithinPartitions("k", "row").select("value").write.mode("overwrite").text(path)
