@@ -294,6 +294,6 @@ def kept_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Rows with a null id are kept (they are in no group); of repeated rows of a kept id, one stays.
     """
     groups = near_duplicates(docs, k=k, percent=percent)
-    keep = groups.where("kept").select(F.col("id").alias("_kept")).distinct()
+    keep = groups.where("kept").select(F.col("id").alias("_lamella_kept")).distinct()
     known = docs.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"])
-    return known.join(keep, known["doc_id"] == keep["_kept"], "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))
+    return known.join(keep, known["doc_id"] == keep["_lamella_kept"], "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))

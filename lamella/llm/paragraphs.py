@@ -139,8 +139,8 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, percent: in
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80) -> DataFrame:
     """docs with the removed paragraphs cut out of their texts; other rows and columns as they are."""
-    cuts = repeated_paragraphs(docs, min_words, percent).where("removed").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_cuts"))
-    joined = docs.join(cuts.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+    cuts = repeated_paragraphs(docs, min_words, percent).where("removed").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_lamella_cuts"))
+    joined = docs.join(cuts.withColumnRenamed("doc_id", "_lamella_id"), F.col("doc_id") == F.col("_lamella_id"), "left")
 
     @F.pandas_udf("string")
     def cut(texts, cuts):
@@ -157,4 +157,4 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int =
             out.append(text)
         return pd.Series(out, dtype=object)
 
-    return joined.select(*[cut("text", "_cuts").alias("text") if c == "text" else docs[c] for c in docs.columns])
+    return joined.select(*[cut("text", "_lamella_cuts").alias("text") if c == "text" else docs[c] for c in docs.columns])

@@ -260,22 +260,22 @@ def anonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     def rewritten(rows: DataFrame, each) -> DataFrame:
         # The explode of one element keeps the optimiser from searching the text again for every use of the entities.
-        once = rows.withColumn("_found", F.explode(F.array(entities(F.col("text")))))
-        return once.select(*[_replaced(F.col("text"), F.col("_found"), each).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_found").alias("n_entities"))
+        once = rows.withColumn("_lamella_found", F.explode(F.array(entities(F.col("text")))))
+        return once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), each).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found").alias("n_entities"))
 
     n = odd.limit(BROADCAST_ROWS + 1).count()
     if not n:
         return rewritten(docs, lambda e: _first_attempt(e, key))
     # Texts that mention an exception take their surrogates from a join; all others need none.
-    tagged = docs.withColumn("_row", F.struct(F.monotonically_increasing_id(), F.xxhash64("text")))
+    tagged = docs.withColumn("_lamella_row", F.struct(F.monotonically_increasing_id(), F.xxhash64("text")))
     tagged = stored(tagged, "tagged")
-    mentions = tagged.select("_row", F.explode(F.array_distinct(entities(F.col("text")))).alias("e")).withColumn("kind", type_of(F.col("e")))
+    mentions = tagged.select("_lamella_row", F.explode(F.array_distinct(entities(F.col("text")))).alias("e")).withColumn("kind", type_of(F.col("e")))
     mentions = mentions.withColumn("c", canonical(F.col("kind"), F.col("e"))).join(F.broadcast(odd) if n <= BROADCAST_ROWS else odd, ["kind", "c"])
-    special = mentions.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("e", rendered(F.col("kind"), F.col("e"), F.col("s"))))).alias("_special"))
-    joined = tagged.join(special, "_row", "left")
-    plain = rewritten(joined.where("_special is null").select(*docs.columns), lambda e: _first_attempt(e, key))
-    once = joined.where("_special is not null").withColumn("_found", F.explode(F.array(entities(F.col("text")))))
-    other = once.select(*[_replaced(F.col("text"), F.col("_found"), lambda e: F.coalesce(F.element_at("_special", e), _first_attempt(e, key))).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_found").alias("n_entities"))
+    special = mentions.groupBy("_lamella_row").agg(F.map_from_entries(F.collect_list(F.struct("e", rendered(F.col("kind"), F.col("e"), F.col("s"))))).alias("_lamella_special"))
+    joined = tagged.join(special, "_lamella_row", "left")
+    plain = rewritten(joined.where("_lamella_special is null").select(*docs.columns), lambda e: _first_attempt(e, key))
+    once = joined.where("_lamella_special is not null").withColumn("_lamella_found", F.explode(F.array(entities(F.col("text")))))
+    other = once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), lambda e: F.coalesce(F.element_at("_lamella_special", e), _first_attempt(e, key))).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found").alias("n_entities"))
     return plain.unionByName(other.select(*rest, "text", "n_entities").select(*plain.columns))
 
 
