@@ -45,7 +45,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds; texts without any of it are not searched.
-HINT = r"\d{2}|@|[=:]|\b(?:gh[pousr]_|sk-)|\b(?:" + f"{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES}" + r")\b"
+HINT = r"\d\.?\d|@|[=:]|\b(?:AKIA|ASIA|gh[pousr]_|sk-|eyJ)|\b(?:" + f"{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES}" + r")\b"
 _NAME_TITLE = rf"^((?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\.?[ \u00a0])"
 _SECRET_HEAD = r"""^((?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)["']?\s{0,3}[=:]\s{0,3}["']?))"""
 
