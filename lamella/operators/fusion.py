@@ -80,3 +80,15 @@ def fused(candidates: DataFrame, solution: DataFrame, links: DataFrame) -> DataF
     root = roots(both.select(F.col("l1").alias("a"), F.col("l2").alias("b")).unionByName(chosen.select(F.col("label").alias("a"), F.col("label").alias("b"))))
     shown = candidates.join(root, candidates["label"] == root["id"])
     return shown.groupBy("z", "y", "x").agg(F.min("root").alias("label"))
+
+
+def diversified(segments: DataFrame, sets: DataFrame, links: DataFrame, rounds: int = 2) -> DataFrame:
+    """(round, label): solutions one after the other; segments chosen before lose half their worth, so that others get a turn."""
+    from ..session import written
+
+    out = None
+    for k in range(rounds):
+        chosen = written(solved(segments, sets, links).where("chosen").select(F.lit(k).alias("round"), "label"), "solution")
+        out = chosen if out is None else out.unionByName(chosen)
+        segments = written(segments.join(chosen.select("label", F.lit(0.5).alias("_f")), "label", "left").withColumn("worth", F.col("worth") * F.coalesce("_f", F.lit(1.0))).drop("_f"), "segments")
+    return out

@@ -27,10 +27,10 @@ def nodes(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("v")).distinct()
 
 
-def bfs(edges: DataFrame, sources: DataFrame, max_rounds: int = 1000, target: int | None = None) -> DataFrame:
+def bfs(edges: DataFrame, sources: DataFrame, max_rounds: int = 1000, target: int | None = None, on_level: Callable[[int, DataFrame], None] | None = None) -> DataFrame:
     """(v, d, pred) of the nodes reachable from sources(v): least number of steps, and the least predecessor.
 
-    With a target the search ends with the round that reaches it.
+    With a target the search ends with the round that reaches it. on_level is called with each round's number and nodes.
     """
     seen = written(sources.select("v").distinct().select("v", F.lit(0).alias("d"), F.lit(None).cast("long").alias("pred")), "bfs")
     front, links = seen, edges.select("src", "dst")
@@ -39,6 +39,8 @@ def bfs(edges: DataFrame, sources: DataFrame, max_rounds: int = 1000, target: in
         front = written(step.join(seen.select("v"), "v", "left_anti").select("v", F.lit(d).alias("d"), "pred"), "bfs")
         if front.isEmpty():
             return seen
+        if on_level is not None:
+            on_level(d, front)
         seen = seen.unionByName(front)
         if target is not None and not front.where(F.col("v") == target).isEmpty():
             return seen

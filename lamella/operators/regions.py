@@ -94,3 +94,74 @@ def cracks(rendered: DataFrame, label: str = "label") -> DataFrame:
     for c, w in line.items():
         sides = sides.withColumn(f"_{c}", (F.coalesce(F.lag(label).over(w), F.lit(0)) > 0) & (F.coalesce(F.lead(label).over(w), F.lit(0)) > 0))
     return sides.where((F.col(label) == 0) & (F.col("_x") | F.col("_y"))).select("z", "y", "x")
+
+
+def euler_numbers(components: DataFrame) -> DataFrame:
+    """(root, euler): pixels less adjacent pairs plus full 2 x 2 squares of each 4-connected component: 1 less its holes."""
+    own = components.select("z", "y", "x", "root")
+    back = lambda dy, dx, name: own.select("z", (F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x"), F.col("root").alias(name))
+    near = own.join(back(0, 1, "w"), ["z", "y", "x"], "left").join(back(1, 0, "n"), ["z", "y", "x"], "left").join(back(1, 1, "nw"), ["z", "y", "x"], "left")
+    same = lambda c: F.coalesce(F.col(c) == F.col("root"), F.lit(False))
+    square = same("w") & same("n") & same("nw")
+    return near.groupBy("root").agg((F.count(F.lit(1)) - F.count_if(same("w")) - F.count_if(same("n")) + F.count_if(square)).alias("euler"))
+
+
+def local_maxima(image: DataFrame, radius: int = 1, smallest: bool = False) -> DataFrame:
+    """(y, x, v): pixels above (or below) all others of the square about them; equal ones count for none."""
+    around = box(image, radius, smallest)
+    return around.where("v = best and ties = 1").select("y", "x", "v")
+
+
+def box(image: DataFrame, radius: int, smallest: bool) -> DataFrame:
+    """image with the extreme of the square about each pixel, and how often it occurs there."""
+    from .image import box_extreme
+
+    best = box_extreme(image, radius, not smallest, "v", "best")
+    # Count the extreme per row segment first, then over the rows of the square.
+    row = W.partitionBy("y").orderBy("x").rowsBetween(-radius, radius)
+    column = W.partitionBy("x").orderBy("y").rowsBetween(-radius, radius)
+    pairs = best.withColumn("_near", F.collect_list("v").over(row)).withColumn("_all", F.flatten(F.collect_list("_near").over(column)))
+    return pairs.withColumn("ties", F.size(F.filter("_all", lambda v: v == F.col("best")))).drop("_near", "_all")
+
+
+def saturated(image: DataFrame, smooth: float, threshold: float) -> DataFrame:
+    """(z, y, x, fixed): pixels whose terminal weight is above all their links together: a cut can't move them.
+
+    fixed is 1 on the source's side, 0 on the sink's, null for those left to the cut.
+    """
+    d = 2 * (F.col("v") - threshold)
+    line = {c: W.partitionBy("z", o).orderBy(c) for c, o in (("x", "y"), ("y", "x"))}
+    links = sum(((F.lag("v").over(w).isNotNull().cast("int") + F.lead("v").over(w).isNotNull().cast("int")) for w in line.values()), F.lit(0)) * smooth
+    return image.select("z", "y", "x", F.when(d > links, 1).when(-d > links, 0).alias("fixed"))
+
+
+def grown(labels: DataFrame) -> DataFrame:
+    """(z, y, x, label): background taken by the labels about it, a ring of pixels at a time (thin boundaries vanish)."""
+    return per_plane(labels, lambda z, a: _pixels(z, a, label=kernels.watershed(np.zeros(a.shape), a.astype(np.int64))), "z int, y int, x int, label long")
+
+
+def reconciled(first: DataFrame, second: DataFrame, merges: DataFrame) -> DataFrame:
+    """(z, y, x, label): two overlapping labellings as one: merged pairs keep the first's label where they agree, and grow over the rest.
+
+    first and second are (z, y, x, label); merges is (l1, l2).
+    """
+    both = first.select("z", "y", "x", F.col("label").alias("l1")).join(second.select("z", "y", "x", F.col("label").alias("l2")), ["z", "y", "x"])
+    agreed = both.join(merges.select("l1", "l2", F.lit(True).alias("m")), ["l1", "l2"], "left")
+    return grown(agreed.select("z", "y", "x", F.when(F.col("m"), F.col("l1")).otherwise(0).alias("v")))
+
+
+def bilateral(image: DataFrame, space: float, tone: float, radius: int) -> DataFrame:
+    """(z, y, x, v): the bilateral filter of each plane."""
+
+    def run(z: int, a: np.ndarray) -> dict:
+        total, weight = np.zeros(a.shape), np.zeros(a.shape)
+        padded = np.pad(a, radius, "edge")
+        for dy in range(-radius, radius + 1):
+            for dx in range(-radius, radius + 1):
+                moved = padded[radius + dy : radius + dy + a.shape[0], radius + dx : radius + dx + a.shape[1]]
+                w = np.exp(-(dy * dy + dx * dx) / (2 * space**2) - (moved - a) ** 2 / (2 * tone**2))
+                total += w * moved
+                weight += w
+        return _pixels(z, a, v=total / weight)
+
+    return per_plane(image, run, "z int, y int, x int, v double")

@@ -304,3 +304,54 @@ def f20_network_ensemble(spark, d):
 @query(f"WITH {VOX} SELECT z, (y // 4)::BIGINT AS cy, (x // 4)::BIGINT AS cx, max(CASE WHEN label_a = 3 THEN 1 ELSE 0 END) AS present FROM vox GROUP BY ALL")
 def f25_clique_bitmaps(spark, d):
     return vox(spark, d).groupBy("z", F.floor(F.col("y") / 4).alias("cy"), F.floor(F.col("x") / 4).alias("cx")).agg(F.max((F.col("label_a") == 3).cast("int")).alias("present"))
+
+
+@query(f"""WITH {MASK}, q AS (SELECT m.*, root FROM m JOIN c ON pid = u) SELECT a.root, count(*) - count(w.root) - count(n.root) + count(CASE WHEN w.root IS NOT NULL AND n.root IS NOT NULL THEN d.root END) AS euler
+  FROM q a LEFT JOIN q w ON w.z = a.z AND w.y = a.y AND w.x = a.x - 1 AND w.root = a.root LEFT JOIN q n ON n.z = a.z AND n.y = a.y - 1 AND n.x = a.x AND n.root = a.root LEFT JOIN q d ON d.z = a.z AND d.y = a.y - 1 AND d.x = a.x - 1 AND d.root = a.root GROUP BY 1""")
+def g12_euler_numbers(spark, d):
+    return R.euler_numbers(R.mask_components(mask(spark, d)))
+
+
+@query(f"WITH {IMG}, i AS (SELECT y, x, v FROM img WHERE y < 64) SELECT a.y, a.x, round(a.v, 7) AS v FROM i a JOIN i b ON b.y BETWEEN a.y - 1 AND a.y + 1 AND b.x BETWEEN a.x - 1 AND a.x + 1 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.y, a.x, a.v HAVING max(b.v) < a.v")
+def w17_local_maxima(spark, d):
+    return R.local_maxima(_small(spark, d)).select("y", "x", F.round("v", 7).alias("v"))
+
+
+@query(f"WITH {IMG}, i AS (SELECT y, x, v FROM img WHERE y < 64) SELECT a.y, a.x, round(a.v, 7) AS v FROM i a JOIN i b ON b.y BETWEEN a.y - 2 AND a.y + 2 AND b.x BETWEEN a.x - 2 AND a.x + 2 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.y, a.x, a.v HAVING min(b.v) > a.v")
+def w12_regional_minima(spark, d):
+    return R.local_maxima(_small(spark, d), 2, smallest=True).select("y", "x", F.round("v", 7).alias("v"))
+
+
+@query(f"WITH {VOX}, q AS (SELECT z, y, x, 2 * (least(p, 100) / 100 - 0.3) AS d, 0.1 * ((x > 0)::INT + (x < 19)::INT + (y > 0)::INT + (y < 19)::INT) AS l FROM vox WHERE z < 2) SELECT z, y, x, CASE WHEN d > l THEN 1 WHEN -d > l THEN 0 END AS fixed FROM q")
+def g19_saturated_nodes(spark, d):
+    return R.saturated(_p(spark, d), 0.1, 0.3)
+
+
+@query()
+def g23_thinned(spark, d):
+    """Labels grow over thin boundaries and into the background."""
+    return R.grown(vox(spark, d).where("z < 2").select("z", "y", "x", F.when(F.col("p") > 40, F.col("label_a")).otherwise(0).alias("v")))
+
+
+@query()
+def g21_region_growing(spark, d):
+    v = vox(spark, d).where("z < 2")
+    a, b = (v.select("z", "y", "x", F.col(c).alias("label")) for c in ("label_a", "label_b"))
+    return R.reconciled(a, b, O.aligned(a, b).where("ov > 25").select("l1", "l2"))
+
+
+@query()
+def w18_bilateral(spark, d):
+    return R.bilateral(_p(spark, d), 1.5, 0.2, 3)
+
+
+@query(f"WITH {VOX} SELECT DISTINCT (label_a * 1000 + z)::BIGINT AS clique, (label_b * 1000 + z)::BIGINT AS cell FROM vox WHERE label_a > 0")
+def g15_cube_matrix(spark, d):
+    """Cliques and cells of a cube, numbered over its planes."""
+    return vox(spark, d).where("label_a > 0").select((F.col("label_a") * 1000 + F.col("z")).alias("clique"), (F.col("label_b") * 1000 + F.col("z")).alias("cell")).distinct()
+
+
+@query()
+def m6_diversified_solutions(spark, d):
+    _, segments, sets, links = _fusion(spark, d)
+    return FU.diversified(segments, sets, links)
