@@ -33,7 +33,7 @@ SYLLABLES = ("ba", "be", "bo", "da", "den", "do", "fa", "fer", "ga", "gor", "ha"
 
 #: Patterns by type, in the order in which they are tried at a place.
 PATTERNS = {
-    "secret": r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\b["']?\s{0,3}[=:]\s{0,3}["']?)[A-Za-z0-9+/_.~-]{6,}""",
+    "secret": r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\b["']?(?:=|\s{0,3}[=:]\s{0,3}(?=["']?[\w+/.~-]*\d))["']?)[A-Za-z0-9+/_.~-]{6,}""",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9-]{16,}|\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}",
     "email": r"[A-Za-z0-9][\w.%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "ip": r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}(?![\d]|\.\d)",
