@@ -296,4 +296,5 @@ def kept_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     groups = near_duplicates(docs, k=k, percent=percent)
     keep = groups.where("kept").select(F.col("id").alias("_lamella_kept")).distinct()
     known = docs.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"])
-    return known.join(keep, known["doc_id"] == keep["_lamella_kept"], "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))
+    # A merge join at every size: the ids kept are a share of the rows, not a small table.
+    return known.join(keep.hint("merge"), known["doc_id"] == keep["_lamella_kept"], "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))

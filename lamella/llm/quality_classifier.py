@@ -197,4 +197,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are predicted to be of quality 1."""
     bad = quality_scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_lamella_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_lamella_bad"], "left_anti")
+    return docs.join(bad.hint("merge"), docs["doc_id"] == bad["_lamella_bad"], "left_anti")
