@@ -155,20 +155,29 @@ def _pick(values: tuple[str, ...], n: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), F.pmod(n, F.lit(len(values))) + 1)
 
 
-def _name(c: Column, d: Column) -> Column:
-    """A name of as many words as c (gender/words): given names by gender, a last name of syllables; letter by letter in other scripts."""
+def _name(c: Column, attempt: Column, key: str) -> Column:
+    """A name of as many words as c (gender/words), word by word, so that mentions with and without a given name share
+    the last one: given names by gender, a last name of syllables; letter by letter in other scripts. Later attempts
+    change the given name first."""
     gender, body = F.substring(c, 1, 1), F.substring(c, F.lit(3), F.length(c))
+    latin = body.rlike(r"^[\p{IsLatin}' -]+$")
 
-    def latin(words: Column) -> Column:
+    def of(words: Column) -> Column:
         def word(w: Column, i: Column) -> Column:
-            n = _number(d, i)
-            given = F.when(gender == "m", _pick(MALE, n)).when(gender == "f", _pick(FEMALE, n)).otherwise(_pick(NEUTRAL, n))
-            last = F.concat(*[_pick(SYLLABLES, _number(d, F.lit(j))) for j in (10, 11, 12, 13)])
-            return F.lower(F.when((i < F.size(words) - 1), given).otherwise(last))
+            last = i == F.size(words) - 1
+            turn = F.when(last & (F.size(words) > 1), F.floor(attempt / 4)).otherwise(attempt).cast("int")
+
+            def put(d: Column) -> Column:
+                n = _number(d, F.lit(0))
+                given = F.when(gender == "m", _pick(MALE, n)).when(gender == "f", _pick(FEMALE, n)).otherwise(_pick(NEUTRAL, n))
+                surname = F.concat(*[_pick(SYLLABLES, _number(d, F.lit(j))) for j in range(1, 5)])
+                return F.when(~latin, _like(w, d)).otherwise(F.lower(F.when(last, surname).otherwise(given)))
+
+            return let(_digest(F.when(last, F.lit("surname")).otherwise(F.concat(F.lit("given"), gender)), w, turn, key), put)
 
         return F.array_join(F.transform(words, word), " ")
 
-    return F.concat(gender, F.lit("/"), F.when(body.rlike(r"^[\p{IsLatin}' -]+$"), let(F.split(body, " "), latin)).otherwise(_like(body, d)))
+    return F.concat(gender, F.lit("/"), let(F.split(body, " "), of))
 
 
 def surrogate(kind: Column, c: Column, attempt: Column, key: str) -> Column:
@@ -180,7 +189,7 @@ def surrogate(kind: Column, c: Column, attempt: Column, key: str) -> Column:
         return (
             F.when(kind == "card", _card(c, d))
             .when(kind == "ip", _octets(c, d))
-            .when(kind == "name", _name(c, d))
+            .when(kind == "name", _name(c, attempt, key))
             .when(kind == "email", address)
             .when(kind == "phone", F.concat(F.substring(c, F.lit(1), slash), _like(F.substring(c, slash + 1, F.length(c)), d)))
             .when(kind == "iban", F.concat(F.substring(c, 1, 2), _like(F.substring(c, F.lit(3), F.length(c)), d)))

@@ -331,13 +331,13 @@ def test_collisions_are_resolved(spark):
 
 
 def test_luhn_and_titles(spark):
-    rows = [(1, "Mr. John Smith paid with 4111 1111 1111 1111."), (2, "MRS. X. Frau Müller, Mr. JOHN SMITH"), (3, "password=abc123DEF token: \"0123456789abcdef\""), (4, "The secret: nothing but patience. Her token = kindness; version 4.0. of 12 parts.")]
+    rows = [(1, "Mr. John Smith paid with 4111 1111 1111 1111."), (2, "MRS. X. Frau Müller, Mr. JOHN SMITH"), (5, "Mr. Smith"), (3, "password=abc123DEF token: \"0123456789abcdef\""), (4, "The secret: nothing but patience. Her token = kindness; version 4.0. of 12 parts.")]
     got = {r.doc_id: r.text for r in surrogates.anonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     digits = [int(c) for c in re.search(r"\d{4} \d{4} \d{4} \d{4}", got[1])[0] if c != " "]
     assert sum(d if i % 2 else (d * 2 - 9 if d > 4 else d * 2) for i, d in enumerate(digits)) % 10 == 0
     name = re.match(r"Mr\. (\S+ \S+) paid", got[1])[1]
     assert name.split()[0] in surrogates.MALE and name.upper() in got[2] and "Müller" not in got[2]
-    assert got[4] == dict(rows)[4]
+    assert got[4] == dict(rows)[4] and got[5] == "Mr. " + name.split()[1]
     assert re.fullmatch(r'password=[a-z]{3}\d{3}[A-Z]{3} token: "[0-9a-f]{16}"', got[3])
 
 
