@@ -19,8 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; where none is set (one machine), a folder under /tmp/checkpoints."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = "/tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
