@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = linked_components(signed, lambda ids: _with_sets(ids, docs, k), percent, DOCUMENTS)
     of_set = groups.join(roots, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = found.select("id", "n", "set_key").join(of_set, "set_key", "left")
-    component = F.coalesce("component", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
