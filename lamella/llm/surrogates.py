@@ -14,6 +14,8 @@ surrogate is a function of the entity alone, so texts are rewritten where they a
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import BROADCAST_ROWS, stored
@@ -21,6 +23,8 @@ from .order_minhash import let
 
 KEY = "surrogate-key-1"
 ATTEMPTS = 12
+#: Exceptions up to so many are a literal of the plan; more are joined.
+LITERAL_ROWS = 1000
 
 # Titles by gender, name lists.
 MALE_TITLES = "Mr|Herr|Señor|Sr|Monsieur|Signor"
@@ -232,8 +236,14 @@ def _replaced(text: Column, found: Column, each) -> Column:
     return F.when(F.size(found) == 0, text).otherwise(let(F.split(text, ENTITY, -1), joined))
 
 
-def _first_attempt(e: Column, key: str) -> Column:
-    return let(type_of(e), lambda kind: let(canonical(kind, e), lambda c: rendered(kind, e, surrogate(kind, c, F.lit(0), key))))
+def _replacement(e: Column, key: str, special: Column | None = None) -> Column:
+    """What stands for the entity e: its surrogate of the first attempt, or the one that the map `special` has for it."""
+
+    def of(kind: Column, c: Column) -> Column:
+        first = surrogate(kind, c, F.lit(0), key)
+        return first if special is None else F.coalesce(F.try_element_at(special, F.concat_ws("\x1f", kind, c)), first)
+
+    return let(type_of(e), lambda kind: let(canonical(kind, e), lambda c: rendered(kind, e, of(kind, c))))
 
 
 def exceptions(found: DataFrame, key: str) -> DataFrame:
@@ -273,8 +283,10 @@ def anonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
         return once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), each).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found").alias("n_entities"))
 
     n = odd.limit(BROADCAST_ROWS + 1).count()
-    if not n:
-        return rewritten(docs, lambda e: _first_attempt(e, key))
+    if n <= LITERAL_ROWS:
+        known = {f"{r['kind']}\x1f{r['c']}": r["s"] for r in odd.collect()}
+        special = F.from_json(F.lit(json.dumps(known)), "map<string,string>") if known else None
+        return rewritten(docs, lambda e: _replacement(e, key, special))
     # Texts that mention an exception take their surrogates from a join; all others need none.
     tagged = docs.withColumn("_lamella_row", F.struct(F.monotonically_increasing_id(), F.xxhash64("text")))
     tagged = stored(tagged, "tagged")
@@ -282,9 +294,9 @@ def anonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     mentions = mentions.withColumn("c", canonical(F.col("kind"), F.col("e"))).join(F.broadcast(odd) if n <= BROADCAST_ROWS else odd, ["kind", "c"])
     special = mentions.groupBy("_lamella_row").agg(F.map_from_entries(F.collect_list(F.struct("e", rendered(F.col("kind"), F.col("e"), F.col("s"))))).alias("_lamella_special"))
     joined = tagged.join(special, "_lamella_row", "left")
-    plain = rewritten(joined.where("_lamella_special is null").select(*docs.columns), lambda e: _first_attempt(e, key))
+    plain = rewritten(joined.where("_lamella_special is null").select(*docs.columns), lambda e: _replacement(e, key))
     once = joined.where("_lamella_special is not null").withColumn("_lamella_found", F.explode(F.array(entities(F.col("text")))))
-    other = once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), lambda e: F.coalesce(F.element_at("_lamella_special", e), _first_attempt(e, key))).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found").alias("n_entities"))
+    other = once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), lambda e: F.coalesce(F.element_at("_lamella_special", e), _replacement(e, key))).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found").alias("n_entities"))
     return plain.unionByName(other.select(*rest, "text", "n_entities").select(*plain.columns))
 
 

@@ -323,8 +323,10 @@ def test_surrogates_are_consistent_distinct_and_alike(spark):
     assert {r.n_entities for r in got} == {4}
 
 
-def test_collisions_are_resolved(spark):
+@pytest.mark.parametrize("literal", [1000, 0])
+def test_collisions_are_resolved(spark, monkeypatch, literal):
     """One-digit octets: 9 values for 9 entities, and none may be one of them: more attempts are needed than one."""
+    monkeypatch.setattr(surrogates, "LITERAL_ROWS", literal)
     rows = [(i, f"host 1.2.{i}.4 end") for i in range(9)]
     got = surrogates.anonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len({r.text for r in got}) == 9 and not {r.text for r in got} & {t for _, t in rows}
