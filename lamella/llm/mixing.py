@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import WORD, running_sum, small_side, stored
+from .common import WORD, parallelism, running_sum, small_side, stored
 
 #: Weights by rank of the source (fixed by the contract), and the most often that a document is taken.
 WEIGHTS = (5, 2, 1)
@@ -37,36 +37,63 @@ def targets(sizes: DataFrame) -> DataFrame:
     return levelled.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("w") * fill)).select("source", "source_size", "target", "total")
 
 
+def _cut(sent: DataFrame, keys: list[str], total: int):
+    """The key of the first entry, in the order of keys, with which the running sum of size exceeds total; None if none does.
+
+    The entries are range-sorted; a sum per range reaches the driver, and only the range in which the budget ends is
+    summed row by row.
+    """
+    n = parallelism(sent.sparkSession)
+    ranged = stored(sent.select(*keys, "size").repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()), "queue")
+    before = 0
+    for r in sorted(ranged.groupBy("_range").agg(F.sum("size").alias("own")).collect()):
+        if before + (r["own"] or 0) > total:
+            own = ranged.where(F.col("_range") == r["_range"]).withColumn("spent", F.sum("size").over(W.orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)))
+            return own.where(F.col("spent") > total - before).agg(F.min(F.struct(*keys))).first()[0]
+        before += r["own"] or 0
+    return None
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of each row of docs.
 
     size: words of the text (null: 0). taken: words that the mix takes of the row, up to REPEATS times its size.
     The document at which the budget (the sum of all sizes) would be exceeded, and all after it, are left out.
-    Rows without words take 0. A null source is a source of its own, last in order. Repeated rows are told
-    apart by number, so each is queued once. An empty table gives no rows; extra columns are ignored.
+    Rows without words take 0. A null source is a source of its own, last in order. Repeated rows are queued one
+    after the other. An empty table gives no rows; extra columns are ignored.
     """
     words = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
     sized = docs.select("doc_id", "source", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(words).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
-    copy = F.row_number().over(W.partitionBy("doc_id").orderBy("source", "size"))
-    sized = stored(sized.withColumn("copy", copy), "sized")
+    sized = stored(sized, "sized")
     aims = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumnRenamed("source", "s"), "targets")
-    queued = running_sum(sized, ["h", "doc_id", "copy"], "size", "sent", group="source")
-    queued = queued.join(small_side(aims), queued["source"].eqNullSafe(aims["s"])).drop("s")
+    queued = running_sum(sized, ["h", "doc_id", "size"], "size", "sent", group="source")
+    queued = stored(queued.join(small_side(aims), queued["source"].eqNullSafe(aims["s"])).drop("s"), "queued")
+    total = aims.agg(F.max("total")).first()[0] or 0
+
+    def finish(round_):
+        return F.when(F.col("target") > 0, (round_ * F.col("source_size") + F.col("sent")) / F.col("target")).otherwise(F.lit(0.0))
+
     last = F.least(F.floor(F.col("target") / F.greatest("source_size", F.lit(1))) + 1, F.lit(REPEATS - 1)).cast("int")
-    rounds = F.explode(F.sequence(F.lit(0), F.when(F.col("size") > 0, last).otherwise(0)))
-    sent = queued.withColumn("round", rounds)
-    finish = F.when(F.col("target") > 0, (F.col("round") * F.col("source_size") + F.col("sent")) / F.col("target")).otherwise(F.lit(0.0))
-    sent = sent.withColumn("finish", finish)
-    spent = running_sum(sent, ["finish", "h", "doc_id", "copy", "round"], "size", "spent")
-    taken = F.sum(F.when(F.col("spent") <= F.col("total"), F.col("size")).otherwise(0)).alias("taken")
-    return spent.groupBy("doc_id", "copy", "source", "size", "source_size", "target").agg(taken).drop("copy")
+    sent = queued.where("size > 0").withColumn("round", F.explode(F.sequence(F.lit(0), last)))
+    cut = _cut(sent.withColumn("finish", finish(F.col("round"))), ["finish", "h", "doc_id", "round"], total)
+    times = F.lit(0)
+    for k in range(REPEATS):
+        goes = F.lit(k) <= last
+        if cut is not None:
+            at = (cut["finish"], cut["h"], cut["doc_id"], cut["round"])
+            same_id = F.col("doc_id").isNull() if at[2] is None else F.col("doc_id").eqNullSafe(F.lit(at[2]))
+            under_id = F.lit(False) if at[2] is None else F.coalesce(F.col("doc_id") < at[2], F.lit(True))
+            f = finish(F.lit(k))
+            goes = goes & ((f < at[0]) | ((f == at[0]) & ((F.col("h") < at[1]) | ((F.col("h") == at[1]) & (under_id | (same_id & (F.lit(k) < at[3])))))))
+        times = times + goes.cast("int")
+    return queued.select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """docs with each document as often as the mix takes it; documents without words are left out."""
-    chosen = mixed(docs).where("taken > 0").groupBy("doc_id").agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_times"))
-    chosen = chosen.withColumnRenamed("doc_id", "_id")
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"])).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
+    chosen = mixed(docs).where("taken > 0").groupBy("doc_id").agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_lamella_times"))
+    chosen = chosen.withColumnRenamed("doc_id", "_lamella_id")
+    return docs.join(chosen.hint("merge"), docs["doc_id"].eqNullSafe(chosen["_lamella_id"])).withColumn("_lamella_copy", F.explode(F.sequence(F.lit(1), F.col("_lamella_times")))).select(*[docs[c] for c in docs.columns])
 
 
 SQL = r"""
@@ -95,7 +122,9 @@ entries AS (
   FROM sent s JOIN (VALUES (0), (1), (2)) r(round)
     ON r.round <= CASE WHEN size > 0 THEN least(floor(target / greatest(source_size, 1)) + 1, 2) ELSE 0 END),
 spent AS (
-  SELECT *, sum(size) OVER (ORDER BY finish, h, doc_id, copy, round ROWS UNBOUNDED PRECEDING)::BIGINT AS spent FROM entries)
-SELECT doc_id, size, source_size, target, sum(CASE WHEN spent <= total THEN size ELSE 0 END)::BIGINT AS taken
-FROM spent GROUP BY doc_id, copy, source, size, source_size, target
+  SELECT *, sum(size) OVER (ORDER BY finish, h, doc_id NULLS FIRST, round ROWS UNBOUNDED PRECEDING)::BIGINT AS spent FROM entries),
+cut AS (SELECT finish, h, doc_id, round FROM spent WHERE spent > total ORDER BY finish, h, doc_id NULLS FIRST, round LIMIT 1)
+SELECT e.doc_id, e.size, e.source_size, e.target,
+       sum(CASE WHEN (SELECT count(*) FROM cut) = 0 OR (e.finish, e.h, coalesce(e.doc_id, -9223372036854775808), e.round) < (SELECT (finish, h, coalesce(doc_id, -9223372036854775808), round) FROM cut) THEN e.size ELSE 0 END)::BIGINT AS taken
+FROM entries e GROUP BY doc_id, copy, source, size, source_size, target
 """
