@@ -3,6 +3,11 @@
 A paragraph is a line; a line of more than LONG words is cut at sentence ends chosen by the sentence's own
 hash, so that a passage inside it is cut alike wherever it stands. Paragraphs of at least MIN_WORDS words get
 the digest of their set of SHINGLE-word shingles and a few minima; equal sets collapse before anything is joined.
+
+What these leave is searched for equal passages of PASSAGE words or more, wherever they stand in their lines. Of
+the hashes of ANCHOR consecutive words, those that are least in some window of WINDOW are anchors, so each run of
+PASSAGE words holds one, the same in every copy. Runs of PASSAGE words about anchors of several documents are then
+compared by hash, all of them: what is found is exactly what repeats.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K
-from .common import BITMAP_BITS, bitmap, is_set, stored
+from .common import BITMAP_BITS, bitmap, is_set, small_side, stored
 from .minhash import Banding, linked_components, signatures
 
 MIN_WORDS = 25
@@ -22,6 +27,10 @@ SHINGLE = 5
 #: 12 bands of 2 miss a pair of similarity 0.8 with probability (1 - 0.8**2)**12 = 5e-6; unlike paragraphs share hardly a shingle.
 PARAGRAPHS = Banding(24, 2, 9)
 
+#: Words of the least passage, and of an anchor; a run of PASSAGE words is a window of so many anchors.
+PASSAGE, ANCHOR = 51, 25
+WINDOW = PASSAGE - ANCHOR + 1
+
 _ENDS = K._flags(".!?")
 
 
@@ -137,9 +146,186 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, percent: in
     return out.select("doc_id", "paragraph", "start", "length", "n_words", F.col("first.doc_id").alias("cluster_doc_id"), F.col("first.paragraph").alias("cluster_paragraph"), (~kept).alias("removed"))
 
 
+def _spans(mask: np.ndarray, of, width: int) -> np.ndarray:
+    """of (a minimum or maximum) over mask[i : i + width], for each i that has so many."""
+    out, have = mask, 1
+    while 2 * have <= width:
+        out = of(out[:-have], out[have:])
+        have *= 2
+    return of(out[: len(out) - (width - have)], out[width - have :]) if have < width else out
+
+
+def _rolled(h: np.ndarray, row_first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and hashes of all runs of n words inside a row, and each row's first run (n + 1 entries)."""
+    at, first = K.windows(row_first, n)
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * K.powers(K._BASE, len(h)), out=total[1:])
+    return at, K.mix((total[at + n] - total[at]) * K.powers(K._BASE_INV, len(h) + 1)[at]), first
+
+
+def anchors(h: np.ndarray, row_first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the anchors among the words h: every run of PASSAGE words in a row holds one."""
+    at, g, first = _rolled(h, row_first, ANCHOR)
+    if len(g) < WINDOW:
+        return at[:0], g[:0]
+    low = np.zeros(len(g) - WINDOW + 1, np.uint64)
+    valid, _ = K.windows(first, WINDOW)
+    low[valid] = _spans(g, np.minimum, WINDOW)[valid]
+    edge = np.zeros(WINDOW - 1, np.uint64)
+    chosen = g == _spans(np.concatenate([edge, low, edge]), np.maximum, WINDOW)
+    return at[chosen], g[chosen]
+
+
+def _anchored(batches):
+    """(doc_id, text) -> (doc_id, h, w, b, e): a document's anchors, their first words and their bytes."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, data, offsets in K.pieces(batch.column(1)):
+            starts, ends, row_first, h = K.words(data, offsets, lower=True)
+            at, g = anchors(h, row_first)
+            row = np.searchsorted(row_first, at, "right") - 1
+            own, low = np.unique(row, return_index=True)
+            if not len(own):
+                continue
+            cut = pa.array([*low, len(at)], pa.int32())
+            lists = [g.view(np.int64), (at - row_first[row]).astype(np.int32), starts[at] - offsets[row], ends[at + ANCHOR - 1] - offsets[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[first + own], pa.int64()), *[pa.ListArray.from_arrays(cut, pa.array(x)) for x in lists]], names=["doc_id", "h", "w", "b", "e"])
+
+
+def _outside(cuts, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of the ranges [begin, end) meet none of the cuts, sorted (start, length) that don't overlap."""
+    if not cuts:
+        return np.ones(len(begin), bool)
+    start = np.array([c["start"] for c in cuts], np.int64)
+    stop = start + np.array([c["length"] for c in cuts], np.int64)
+    return np.searchsorted(stop, begin, "right") == np.searchsorted(start, end, "left")
+
+
+def _live(batches):
+    """(doc_id, h, w, b, e, cuts) -> (doc_id, h, w) of the anchors outside the cuts."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        h, w, b, e = (batch.column(c).flatten().to_numpy() for c in range(1, 5))
+        sizes = batch.column(1).value_lengths().to_numpy()
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        ok = np.ones(len(h), bool)
+        for i in np.flatnonzero(batch.column(5).is_valid().to_numpy(zero_copy_only=False)):
+            own = slice(at[i], at[i + 1])
+            ok[own] = _outside(batch.column(5)[int(i)].as_py(), b[own], e[own])
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)[ok], pa.int64()), pa.array(h[ok]), pa.array(w[ok])], names=["doc_id", "h", "w"])
+
+
+def _flagged(flags):
+    """(doc_id, text, p) -> (doc_id, text) of the documents whose place p is set."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(is_set(flags.value, batch.column(2).to_numpy()))).select([0, 1])
+
+    return run
+
+
+def _runs_of_passage(batches):
+    """(doc_id, text, places, cuts) -> (h, doc_id, w, b, e, paragraph) of each run of PASSAGE words that holds an anchor of places."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        for first, data, offsets in K.pieces(batch.column(1)):
+            starts, ends, row_first, h = K.words(data, offsets, lower=True)
+            at, g, run_first = _rolled(h, row_first, PASSAGE)
+            line_row, line_begin, _, _ = paragraphs(data, offsets)
+            out = []
+            for r in range(len(offsets) - 1):
+                n = run_first[r + 1] - run_first[r]
+                if n <= 0:
+                    continue
+                w = np.unique((batch.column(2)[first + r].values.to_numpy()[:, None] - np.arange(WINDOW)).ravel())
+                w = w[(w >= 0) & (w < n)]
+                word = w + row_first[r]
+                b, e = starts[word] - offsets[r], ends[word + PASSAGE - 1] - offsets[r]
+                ok = _outside(batch.column(3)[first + r].as_py(), b, e)
+                w, b, e = w[ok], b[ok], e[ok]
+                low, high = np.searchsorted(line_row, [r, r + 1])
+                number = np.searchsorted(line_begin[low:high] - offsets[r], b, "right") - 1
+                out.append((g[run_first[r] + w].view(np.int64), np.full(len(w), ids[first + r]), w, b, e, number))
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), k) for x, k in zip(zip(*out), kinds)], names=["h", "doc_id", "w", "b", "e", "paragraph"])
+
+
+def _merged(rows: pa.Table) -> pa.Table:
+    """The repeated runs of a document, each with the first place of its hash -> passages.
+
+    Runs that are first themselves stay whole; the others are joined while their first places follow each other too,
+    and lose what belongs to a passage that stays or to the passage before.
+    """
+    rows = rows.sort_by("w")
+    doc, w, b, e, number, to, place, line = (rows[c].to_numpy() for c in ("doc_id", "w", "b", "e", "paragraph", "to_doc", "to_w", "to_paragraph"))
+    first = (to == doc) & (place == w)
+    # Runs that stay are one passage as far as they overlap.
+    i = np.flatnonzero(first)
+    stays = []
+    for part in np.split(i, np.flatnonzero(w[i[1:]] > w[i[:-1]] + PASSAGE) + 1) if len(i) else ():
+        stays.append((w[part[0]], w[part[-1]] + PASSAGE, b[part[0]], e[part[-1]], part[0]))
+    out = [(*s, False) for s in stays]
+    i = np.flatnonzero(~first)
+    done = (-1, -1)  # word and byte up to which the passage before goes
+    breaks = (np.diff(w[i]) != 1) | (np.diff(to[i]) != 0) | (np.diff(place[i]) != 1)
+    for part in np.split(i, np.flatnonzero(breaks) + 1) if len(i) else ():
+        low, high, begin, end = w[part[0]], w[part[-1]] + PASSAGE, b[part[0]], e[part[-1]]
+        past = (high, end)
+        if done[0] > low:
+            low, begin = done
+        for s in stays:
+            if s[0] <= low < s[1]:
+                low, begin = s[1], s[3]
+            elif low < s[0] < high:
+                high, end = s[0], s[2]
+        done = max(done, past)
+        if low < high:
+            out.append((low, high, begin, end, part[0], True))
+    return pa.table({
+        "doc_id": pa.array([doc[0]] * len(out), pa.int64()), "paragraph": pa.array([number[x[4]] for x in out], pa.int32()), "start": pa.array([x[2] for x in out], pa.int64()), "length": pa.array([x[3] - x[2] for x in out], pa.int64()),
+        "n_words": pa.array([x[1] - x[0] for x in out], pa.int64()), "cluster_doc_id": pa.array([to[x[4]] for x in out], pa.int64()), "cluster_paragraph": pa.array([line[x[4]] for x in out], pa.int32()), "removed": pa.array([x[5] for x in out], pa.bool_()),
+    })
+
+
+def repeated_passages(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """Equal passages of PASSAGE words (A-Z lower-cased) or more in several documents, outside the removed(doc_id, start, length).
+
+    Columns as of repeated_paragraphs; paragraph is the one that a passage begins in. Of each run of PASSAGE words the
+    one of the least doc_id and place stays.
+    """
+    cuts = stored(removed.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("cuts")).withColumnRenamed("doc_id", "cut_id"), "cuts")
+    found = stored(docs.mapInArrow(_anchored, "doc_id long, h array<long>, w array<int>, b array<long>, e array<long>"), "anchors")
+    live = found.join(cuts, F.col("doc_id") == F.col("cut_id"), "left").select("doc_id", "h", "w", "b", "e", "cuts").mapInArrow(_live, "doc_id long, h long, w int")
+    live = stored(live, "live")
+    several = live.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h")
+    wanted = stored(live.join(small_side(stored(several, "several")), "h").groupBy("doc_id").agg(F.collect_set("w").alias("places")).withColumnRenamed("doc_id", "wanted_id"), "places")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("p")
+    flags = bitmap(wanted.select(F.pmod(F.xxhash64("wanted_id"), F.lit(BITMAP_BITS)).alias("p")))
+    texts = docs if flags is None else docs.select("doc_id", "text", place).mapInArrow(_flagged(flags), "doc_id long, text string")
+    texts = texts.join(wanted, F.col("doc_id") == F.col("wanted_id")).join(cuts, F.col("doc_id") == F.col("cut_id"), "left").select("doc_id", "text", "places", "cuts")
+    grams = stored(texts.mapInArrow(_runs_of_passage, "h long, doc_id long, w int, b long, e long, paragraph int"), "runs").distinct()
+    first = F.min(F.struct("doc_id", "w", "paragraph")).alias("first")
+    owners = grams.groupBy("h").agg(first, F.max("doc_id").alias("last")).where("first.doc_id < last").select("h", F.col("first.doc_id").alias("to_doc"), F.col("first.w").alias("to_w"), F.col("first.paragraph").alias("to_paragraph"))
+    fields = "doc_id long, paragraph int, start long, length long, n_words long, cluster_doc_id long, cluster_paragraph int, removed boolean"
+    return grams.join(small_side(stored(owners, "owners")), "h").groupBy("doc_id").applyInArrow(_merged, fields)
+
+
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80) -> DataFrame:
+    """repeated_paragraphs, and repeated_passages of what these do not remove.
+
+    Removed spans of a document don't overlap. A passage that stays has its own place as cluster; of a removed one it
+    is where its first words stay. Rows with a null doc_id are ignored.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    lines = stored(repeated_paragraphs(docs, min_words, percent), "lines")
+    return lines.unionByName(repeated_passages(docs, lines.where("removed").select("doc_id", "start", "length")))
+
+
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80) -> DataFrame:
-    """docs with the removed paragraphs cut out of their texts; other rows and columns as they are."""
-    cuts = repeated_paragraphs(docs, min_words, percent).where("removed").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_lamella_cuts"))
+    """docs with the removed paragraphs and passages cut out of their texts; other rows and columns as they are."""
+    cuts = repeats(docs, min_words, percent).where("removed").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_lamella_cuts"))
     joined = docs.join(cuts.withColumnRenamed("doc_id", "_lamella_id"), F.col("doc_id") == F.col("_lamella_id"), "left")
 
     @F.pandas_udf("string")

@@ -9,7 +9,7 @@ from .common import table
 
 
 def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return paragraphs.repeats(table(spark, sf_dir, "documents"))
 
 
 def op2_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,6 +132,30 @@ def test_passage_inside_long_lines(spark):
     assert {r.doc_id for r in got} == {0, 1}
 
 
+def test_short_passages_inside_lines(spark):
+    """Passages of 51 to 60 words in lines of 80 to 200 words, over line ends, twice in a document, and next to each other."""
+    rng = random.Random(8)
+    words = lambda n: [f"q{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [words(51 + i) for i in range(10)]
+    docs = []
+    for i, p in enumerate(passages):
+        docs += [words(30) + p + words(5), words(20) + p + words(130), words(3) + p[:25] + ["\n"] + p[25:] + words(40)]
+    docs += [words(9) + passages[0] + passages[1] + words(9) + passages[0], words(60) + passages[2][:49] + words(9), 2 * words(60) + words(7)]
+    texts = {i: re.sub(r" ?\n ?", "\n", " ".join(d)) for i, d in enumerate(docs)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in paragraphs.repeats(df).collect():
+        got[r.doc_id].append((texts[r.doc_id].encode()[r.start : r.start + r.length].decode().split(), r.removed, r.cluster_doc_id, r.n_words))
+    for i, p in enumerate(passages):
+        assert got.pop(3 * i) == [(p, False, 3 * i, len(p))]
+        for j in (1, 2):
+            assert got.pop(3 * i + j) == [(p, True, 3 * i, len(p))]
+    assert sorted(x[2] for x in got[30]) == [0, 0, 3] and sorted(x[0] for x in got.pop(30)) == sorted([passages[0], passages[1], passages[0]])
+    assert not got
+    left = {r.doc_id: r.text.split() for r in paragraphs.without_repeats(df).collect()}
+    assert [len(left[i]) for i in (0, 1, 2)] == [86, 150, 43] and len(left[30]) == 18
+
+
 def signed(x):
     return x - (1 << 64) if x >= 1 << 63 else x
 
