@@ -14,6 +14,7 @@ surrogate is a function of the entity alone, so texts are rewritten where they a
 
 from __future__ import annotations
 
+import itertools
 import json
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,6 +24,8 @@ from .order_minhash import let
 
 KEY = "surrogate-key-1"
 ATTEMPTS = 12
+#: Rounds after which what still collides is an error.
+ROUNDS = 100
 #: Exceptions up to so many are a literal of the plan; more are joined.
 LITERAL_ROWS = 1000
 
@@ -147,10 +150,10 @@ def _card(c: Column, d: Column) -> Column:
     return let(_like(c, d), fixed)
 
 
-def _octets(c: Column, d: Column) -> Column:
+def _octets(c: Column, d: Column, wide: Column) -> Column:
     def one(o: Column, i: Column) -> Column:
         n = _number(d, i)
-        return F.when(F.length(o) == 1, F.pmod(n, F.lit(9)) + 1).when(F.length(o) == 2, F.pmod(n, F.lit(90)) + 10).otherwise(F.pmod(n, F.lit(155)) + 100).cast("string")
+        return F.when(wide, F.pmod(n, F.lit(155)) + 100).when(F.length(o) == 1, F.pmod(n, F.lit(9)) + 1).when(F.length(o) == 2, F.pmod(n, F.lit(90)) + 10).otherwise(F.pmod(n, F.lit(155)) + 100).cast("string")
 
     return F.array_join(F.transform(F.split(c, r"\."), one), ".")
 
@@ -189,10 +192,12 @@ def surrogate(kind: Column, c: Column, attempt: Column, key: str) -> Column:
 
     def of(d: Column) -> Column:
         slash = F.instr(c, "/")
-        address = F.concat(_like(F.regexp_replace(c, r"\.[a-z]+$", ""), d), F.regexp_extract(c, r"\.[a-z]+$", 0))
+        wide = attempt >= ATTEMPTS
+        more = F.when(wide, F.translate(F.substring(d, 101, 8), "0123456789", "ghijklmnop")).otherwise(F.lit(""))
+        address = F.concat(more, _like(F.regexp_replace(c, r"\.[a-z]+$", ""), d), F.regexp_extract(c, r"\.[a-z]+$", 0))
         return (
             F.when(kind == "card", _card(c, d))
-            .when(kind == "ip", _octets(c, d))
+            .when(kind == "ip", _octets(c, d, wide))
             .when(kind == "name", _name(c, attempt, key))
             .when(kind == "email", address)
             .when(kind == "phone", F.concat(F.substring(c, F.lit(1), slash), _like(F.substring(c, slash + 1, F.length(c)), d)))
@@ -253,13 +258,15 @@ def exceptions(found: DataFrame, key: str) -> DataFrame:
     """
     named = stored(found.withColumn("attempt", F.lit(0)).withColumn("s", surrogate(F.col("kind"), F.col("c"), F.lit(0), key)), "entities")
     real = named.select("kind", F.col("c").alias("s")).withColumn("real", F.lit(True))
-    for attempt in range(1, ATTEMPTS + 1):
+    for attempt in itertools.count(1):
         owner = named.groupBy("kind", "s").agg(F.min(F.struct("attempt", "c")).alias("owner"))
         judged = named.join(owner, ["kind", "s"]).join(real, ["kind", "s"], "left")
         bad = F.coalesce("real", F.lit(False)) | (F.col("c") != F.col("owner.c"))
         judged = stored(judged.select("kind", "c", "attempt", "s", bad.alias("bad")), "judged")
         if judged.where("bad").isEmpty():
             break
+        if attempt > ROUNDS:
+            raise ValueError(f"entities without a surrogate of their own: {judged.where('bad').groupBy('kind').count().collect()}")
         again = surrogate(F.col("kind"), F.col("c"), F.lit(attempt), key)
         named = stored(judged.select("kind", "c", F.when(F.col("bad"), F.lit(attempt)).otherwise(F.col("attempt")).alias("attempt"), F.when(F.col("bad"), again).otherwise(F.col("s")).alias("s")), "entities")
     return named.where("attempt > 0").select("kind", "c", "s")

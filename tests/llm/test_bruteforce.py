@@ -356,6 +356,19 @@ def test_collisions_are_resolved(spark, monkeypatch, literal):
     assert len({r.text for r in got}) == 9 and not {r.text for r in got} & {t for _, t in rows}
 
 
+def test_full_formats_are_separated_or_refused(spark, monkeypatch):
+    """All addresses of one letter and a domain of one: each surrogate of the same length is another's real one."""
+    monkeypatch.setattr(surrogates, "ATTEMPTS", 2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters]
+    docs = spark.createDataFrame([(i, f"to {m} now") for i, m in enumerate(mails)], "doc_id long, text string")
+    got = [r.text.split()[1] for r in surrogates.anonymised(docs).collect()]
+    assert len(set(got)) == len(mails) and not set(got) & set(mails) and all(re.fullmatch(r"[a-z]+@[a-z]\.co", m) for m in got)
+    monkeypatch.setattr(surrogates, "ROUNDS", 1)
+    with pytest.raises(ValueError):
+        surrogates.anonymised(docs).collect()
+
+
 def test_luhn_and_titles(spark):
     rows = [(1, "Mr. John Smith paid with 4111 1111 1111 1111."), (2, "MRS. X. Frau Müller, Mr. JOHN SMITH"), (5, "Mr. Smith"), (3, "password=abc123DEF token: \"0123456789abcdef\""), (4, "The secret: nothing but patience. Her token = kindness; version 4.0. of 12 parts.")]
     got = {r.doc_id: r.text for r in surrogates.anonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
