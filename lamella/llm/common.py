@@ -17,10 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Where the cluster sets none (tests on one machine) a folder under /tmp/checkpoints is set.
+    Where none is set a folder under /tmp/checkpoints is, but only on one machine (a local master): elsewhere it would
+    deal the intermediate tables over the machines, so that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -108,6 +111,29 @@ def bitmap(places: DataFrame):
     return places.sparkSession.sparkContext.broadcast(flags)
 
 
+def restricted(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of docs whose `key` (a long) is in ids(key), and perhaps a few others, texts unshuffled where that can be.
+
+    Up to BROADCAST_ROWS ids are broadcast; more pass through a bitmap of fixed size; too many for that are joined.
+    """
+    ids = stored(ids.select(F.col(key).alias("_wanted")).where("_wanted is not null").distinct(), "wanted")
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return docs.join(F.broadcast(ids), F.col(key) == F.col("_wanted"), "left_semi")
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP_BITS))
+    flags = bitmap(ids.select(place("_wanted").alias("p")))
+    if flags is None:
+        return docs.join(ids.hint("merge"), F.col(key) == F.col("_wanted"), "left_semi")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = is_set(flags.value, batch.column(batch.num_columns - 1).to_numpy())
+            yield batch.filter(pa.array(keep)).select(range(batch.num_columns - 1))
+
+    return docs.where(F.col(key).isNotNull()).select("*", place(key).alias("_place")).mapInArrow(run, docs.schema)
+
+
 def is_set(flags, p):
     """Which of the places p (a NumPy array) are set; bits count from the lowest of each byte."""
     return (flags[p >> 3] >> (p & 7)) & 1 == 1

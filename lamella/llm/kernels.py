@@ -117,12 +117,11 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False):
     return starts, ends, first, hashes(LOWER[data] if lower else data, starts, ends)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int):
-    """Yields for each row the sorted distinct hashes of its k-word shingles (lower-cased words).
+def shingles_of(h: np.ndarray, first: np.ndarray, k: int):
+    """Yields for each row the sorted distinct hashes of its shingles of k words, h[first[r] : first[r + 1]].
 
     A row with fewer words has one: all of them; a row without words has none.
     """
-    _, _, first, h = words(data, offsets, lower=True)
     counts = np.diff(first)
     at, span = windows(first, k)
     full = chained(h, at, k)
@@ -140,6 +139,12 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int):
             yield np.zeros(0, np.uint64)
 
 
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int):
+    """shingles_of the lower-cased words of each row."""
+    _, _, first, h = words(data, offsets, lower=True)
+    yield from shingles_of(h, first, k)
+
+
 def per_row(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Number of True (or sum) of mask between consecutive offsets."""
     total = np.zeros(len(mask) + 1, np.int64)

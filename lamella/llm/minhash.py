@@ -1,15 +1,17 @@
 """Near-duplicate groups: many universal hash minima, banding, signature check, exact check, star components.
 
 Plan. One pass over the texts gives each document the digest of its shingle set and, for sets that are not
-empty, HASHES universal-hash minima. Equal sets collapse to their least id before anything is joined, so
-exact copies cost one row each. Band keys of the representatives are counted; only members of buckets with
-company go on. A small bucket is joined pairwise; a large one (many near copies) is joined to its most
-central member only, the one that shares most large buckets, which links almost all of a group of copies
-without all its pairs. Candidates pass a loose signature check and then the exact one on whole sets.
-Members of large buckets that lie in different components after that are compared in blocks: blocks of
-strays against blocks of their candidate group, signatures first and then whole sets, inside a task; only
-links come out. So every pair that shares a bucket has been tested or lies in one component, and no link
-is lost to the size of a bucket.
+empty, HASHES universal-hash minima. Equal sets collapse to one numbered row before anything is joined, so
+exact copies cost one row each. Band keys are counted; only members of buckets with company go on. A small
+bucket is joined pairwise; a large one (many near copies) is joined to its most central member only, the one
+that shares most large buckets, which links almost all of a group of copies without all its pairs. Candidates
+pass a loose signature check and then the exact one on whole sets.
+
+What a star leaves in different components of one large bucket is banded again, by longer rows (FINER) of
+minima taken from its whole sets: unlike members, which shared a short band, part there, so the pairs that are
+compared are those likely to be links. Buckets that are still large and of several components after their star
+are compared in blocks inside tasks, where only links come out. So every pair that shares a bucket in the first
+banding has shared one in the second (but for the misses stated there), been tested, or lies in one component.
 """
 
 from __future__ import annotations
@@ -23,11 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K
-from .common import BITMAP_BITS, bitmap, is_set, stored
+from .common import restricted, stored
 from .components import components
 
 
-
 @dataclass(frozen=True)
 class Banding:
     """hashes minima in bands of `rows`; a candidate's sets are compared if at least `agree` minima are equal.
@@ -42,18 +43,19 @@ class Banding:
 
 #: 32 bands of 4 miss a pair of similarity 0.8 with probability (1 - 0.8**4)**32 = 5e-8.
 DOCUMENTS = Banding(128, 4, 79)
-MOST = DOCUMENTS.hashes
+#: 96 bands of 8, for members of large buckets that their star left apart; a pair is missed with probability 2e-8.
+FINER = Banding(768, 8, 559)
 SMALL_BUCKET = 12
-#: Documents in a block of the second comparison.
+#: Sets in a block of the last comparison.
 BLOCK = 128
 
 _rng = np.random.default_rng(20240613)
-_A = _rng.integers(0, 1 << 64, MOST, np.uint64) | np.uint64(1)
-_B = _rng.integers(0, 1 << 64, MOST, np.uint64)
+_A = _rng.integers(0, 1 << 64, FINER.hashes, np.uint64) | np.uint64(1)
+_B = _rng.integers(0, 1 << 64, FINER.hashes, np.uint64)
 _C = _rng.integers(0, 1 << 64, 8, np.uint64) | np.uint64(1)
 
 
-def signatures(sets: list[np.ndarray], hashes: int = MOST) -> np.ndarray:
+def signatures(sets: list[np.ndarray], hashes: int = DOCUMENTS.hashes) -> np.ndarray:
     """The minima (32 bits of multiply-shift) of each non-empty set."""
     at = np.cumsum([0, *map(len, sets[:-1])])
     x = K.mix(np.concatenate(sets))
@@ -69,6 +71,11 @@ def bands(sigs: np.ndarray, rows: int) -> np.ndarray:
     return K.mix((K.mix(parts) * _C[:rows]).sum(axis=2, dtype=np.uint64) + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
+def digest(s: np.ndarray) -> bytes:
+    """The key of a sorted set."""
+    return xxhash.xxh3_128_digest(s.tobytes())
+
+
 def _features(k: int):
     def run(batches):
         for batch in batches:
@@ -79,7 +86,7 @@ def _features(k: int):
                 sig = signatures([sets[i] for i in full]) if full else None
                 keys, minima = [None] * len(sets), [None] * len(sets)
                 for i, s in zip(full, sig if full else ()):
-                    keys[i], minima[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), s.tobytes()
+                    keys[i], minima[i] = digest(sets[i]), s.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(row, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(minima, pa.binary())],
                     names=["id", "n", "set_key", "minima"],
@@ -92,36 +99,43 @@ def _minima(column: pa.Array, hashes: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, hashes)
 
 
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+
+
 def _unpacked(how: Banding):
     """(rep, minima) -> (bucket, rep), a row for each band."""
 
     def run(batches):
         for batch in batches:
             keys = bands(_minima(batch.column(1), how.hashes), how.rows)
-            reps = batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), reps], names=["bucket", "rep"])
+            reps = np.repeat(batch.column(0).to_numpy(), keys.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(reps)], names=["bucket", "rep"])
 
     return run
 
 
-def _agreeing(how: Banding):
-    """Keeps candidate pairs of which enough minima are equal."""
+def _unpacked_sets(how: Banding):
+    """(rep, shingles) -> (bucket, rep), a row for each band of the set's minima."""
 
     def run(batches):
         for batch in batches:
-            a, b = (_minima(batch.column(c), how.hashes) for c in (2, 3))
-            ok = pa.array((a == b).sum(axis=1) >= how.agree)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                keys = bands(signatures(_arrays(part.column(1)), how.hashes), how.rows)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), keys.shape[1]))], names=["bucket", "rep"])
 
     return run
 
 
-def _sets(k: int):
+def _agreeing(how: Banding):
+    """Keeps candidate pairs of which enough minima are equal."""
+
     def run(batches):
         for batch in batches:
-            for row, data, offsets in K.pieces(batch.column(1)):
-                sets = [s.tobytes() for s in K.shingles(data, offsets, k)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), pa.array(sets, pa.large_binary()).cast(pa.binary())], names=["id", "shingles"])
+            a, b = (_minima(batch.column(c), how.hashes) for c in (2, 3))
+            ok = pa.array((a == b).sum(axis=1) >= how.agree)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
     return run
 
@@ -134,23 +148,19 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _linked(percent: int):
     def run(batches):
         for batch in batches:
-            sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in (2, 3)]
-            ok = pa.array([_similar(a, b, percent) for a, b in zip(*sets)], pa.bool_())
+            ok = pa.array([_similar(a, b, percent) for a, b in zip(_arrays(batch.column(2)), _arrays(batch.column(3)))], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["u", "v"])
 
     return run
 
 
 def _blocks(percent: int, how: Banding):
-    """Links between documents of different components, of a stray block and another block."""
+    """Links between sets of different components, of a stray block and another block."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        rep, component = (np.unique(np.array(rows[c].to_pylist(), object), return_inverse=True) for c in ("rep", "component"))
-        (names, rep), (_, component) = rep, component
-        sig = _minima(rows["minima"], how.hashes)
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]]
-        side = rows["side"].to_numpy()
+        rep, component, side = (rows[c].to_numpy() for c in ("rep", "component", "side"))
+        sig, sets = _minima(rows["minima"], how.hashes), _arrays(rows["shingles"])
         root = {c: c for c in component.tolist()}  # as links are found, further pairs of the two components are no longer needed
 
         def top(c):
@@ -163,126 +173,154 @@ def _blocks(percent: int, how: Banding):
             others = np.flatnonzero((component != component[i]) & ((sig == sig[i]).sum(axis=1) >= how.agree))
             others = others[(side[others] == 1) | (rep[others] < rep[i])]
             for j in others[np.argsort(component[others], kind="stable")]:
-                a, b = top(component[i]), top(component[j])
+                a, b = top(int(component[i])), top(int(component[j]))
                 if a != b and _similar(sets[i], sets[j], percent):
                     root[a] = b
-                    u.append(names[rep[i]])
-                    v.append(names[rep[j]])
-        kind = rows.schema.field("rep").type
-        return pa.table({"u": pa.array(u, kind), "v": pa.array(v, kind)})
+                    u.append(rep[i])
+                    v.append(rep[j])
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
 
-def _sets_of(k: int, flags):
-    """(id, text, p) -> (id, shingles) of the documents whose place p is set."""
+def _shared(slots: DataFrame) -> DataFrame:
+    """slots(bucket, rep) of buckets with company, with their size, stored."""
+    sizes = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return stored(slots.join(sizes, "bucket"), "members")
 
-    def run(batches):
-        for batch in batches:
-            chosen = batch.filter(pa.array(is_set(flags.value, batch.column(2).to_numpy())))
-            yield from _sets(k)([chosen])
 
-    return run
+def _stars(members: DataFrame) -> DataFrame:
+    """(bucket, rep, pivot) of the large buckets: their most central member."""
+    large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep")
+    central = large.join(large.groupBy("rep").agg(F.count(F.lit(1)).alias("c")), "rep")
+    pivots = central.groupBy("bucket").agg(F.max(F.struct("c", "rep")).alias("m")).select("bucket", F.col("m.rep").alias("pivot"))
+    return stored(large.join(pivots, "bucket"), "large")
 
 
-def _with_sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(id, shingles) of the documents in ids(id), and perhaps of a few others, stored.
+def _pairs(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b), a < b: all of small buckets, those with the pivot of large ones."""
+    small = members.where(F.col("size") <= SMALL_BUCKET)
+    extra = [c for c in members.columns if c == "component"]
+    a, b = (small.select("bucket", F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in extra]) for x in "ab")
+    pairs = a.join(b, "bucket").where("a < b" + (" and component_a <> component_b" if extra else "")).select("a", "b")
+    stars = stars.where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+    return pairs.unionByName(stars).distinct()
 
-    The texts are filtered by a bitmap of the ids where they are read, so they aren't shuffled. With too many ids for
-    the bitmap's fixed size they are joined.
-    """
-    ids = stored(ids.distinct(), "wanted")
-    place = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS)).alias("p")
-    flags = bitmap(ids.select(place))
-    if flags is None:
-        found = docs.join(ids, "id").mapInArrow(_sets(k), "id long, shingles binary")
-    else:
-        found = docs.where("id is not null").select("id", "text", place).mapInArrow(_sets_of(k, flags), "id long, shingles binary")
-    return stored(found.dropDuplicates(["id"]), "sets")
-
-
-def _stray_links(large: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame | None:
-    """Links (u, v) between members of large buckets that are candidates of each other but not of one component yet."""
-    group = components(large.select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
-    placed = group.select(F.col("node").alias("rep"), F.col("component").alias("grp")).join(roots, F.col("rep") == F.col("node"), "left")
-    placed = stored(placed.select("rep", "grp", F.coalesce("component", "rep").alias("component")), "placed")
-    sizes = placed.groupBy("grp", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("grp").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all")).where("n_all > n_main")
-    open_ = placed.join(main, "grp")
-    side = (F.col("component") == F.col("main")).cast("int")  # 1: the group's largest component
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """members(bucket, rep) with their component, of buckets of several components, stored."""
+    placed = members.join(roots, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    return stored(placed.join(mixed, "bucket"), "open")
+
+
+def _merged(links: DataFrame, roots: DataFrame) -> DataFrame:
+    return components(links.unionByName(roots.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+
+
+def _compared(pairs: DataFrame, signed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame:
+    """The links (u, v) among the pairs (a, b)."""
+    a = signed.select(F.col("rep").alias("a"), F.col("minima").alias("ma"))
+    b = signed.select(F.col("rep").alias("b"), F.col("minima").alias("mb"))
+    likely = stored(pairs.join(a, "a").join(b, "b").select("a", "b", "ma", "mb").mapInArrow(_agreeing(how), "a long, b long"), "likely")
+    sets = sets_of(likely.select(F.explode(F.array("a", "b")).alias("rep")))
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
+    return likely.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "u long, v long")
+
+
+def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame:
+    """roots after members of large buckets that lie in several components have been banded again and compared."""
+    sets = with_sets(open_.select("rep"))
+    slots = sets.mapInArrow(_unpacked_sets(FINER), "bucket long, rep long")
+    places = open_.select("rep", "component").distinct()
+    again = _shared(slots.join(places, "rep")).drop("size")
+    mixed = again.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
+    members = stored(again.join(mixed, "bucket"), "finer")
+    stars = _stars(members)
+    roots = _merged(stored(_compared(_pairs(members, stars), signed, lambda ids: sets, percent, how), "links"), roots)
+    left = _open(stars.select("bucket", "rep"), roots)
+    if left.isEmpty():
+        return roots
+    return _merged(_block_links(left, sets, signed, percent, how), roots)
+
+
+def _block_links(open_: DataFrame, sets: DataFrame, signed: DataFrame, percent: int, how: Banding) -> DataFrame:
+    """Links (u, v) within the buckets of open_(bucket, rep, component): blocks of strays against all other blocks of the bucket."""
+    sizes = open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
+    open_ = open_.join(main, "bucket")
+    side = (F.col("component") == F.col("main")).cast("int")  # 1: the bucket's largest component
     strays = F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int")
     mains = F.ceil(F.col("n_main") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("rep"), F.when(side == 1, mains).otherwise(strays)).cast("int")
-    open_ = open_.select("rep", "grp", "component", side.alias("side"), strays.alias("strays"), mains.alias("mains"), block.alias("block"))
-    if open_.isEmpty():
-        return None
-    open_ = stored(open_, "open")
-    full = open_.join(with_sets(open_.select(F.col("rep").alias("id"))), F.col("rep") == F.col("id")).join(signed, "rep")
-    full = stored(full.select("rep", "grp", "component", "side", "strays", "mains", "block", "minima", "shingles"), "strays")
+    open_ = open_.select("rep", "bucket", "component", side.alias("side"), strays.alias("strays"), mains.alias("mains"), block.alias("block"))
     # Blocks (a, b): a of strays, b of strays (a <= b) or, from `far` on, of the main component.
     far = F.lit(1 << 40)
     own = F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda o: F.struct(F.least(o, F.col("block")).cast("long").alias("a"), F.greatest(o, F.col("block")).cast("long").alias("b"), F.when(o < F.col("block"), 1).otherwise(0).alias("s")))
     to_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda o: F.struct(F.col("block").cast("long").alias("a"), (far + o).alias("b"), F.lit(0).alias("s")))
     to_stray = F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda o: F.struct(o.cast("long").alias("a"), (far + F.col("block")).alias("b"), F.lit(1).alias("s")))
     pairs = F.explode(F.when(F.col("side") == 1, to_stray).otherwise(F.concat(own, to_main)))
-    dealt = full.select("rep", "grp", "component", "minima", "shingles", pairs.alias("p")).select("rep", "component", "minima", "shingles", "grp", "p.a", "p.b", F.col("p.s").alias("side"))
-    return stored(dealt.groupBy("grp", "a", "b").applyInArrow(_blocks(percent, how), _edge(signed)), "links")
-
-
-def _edge(signed: DataFrame) -> str:
-    kind = signed.schema["rep"].dataType.simpleString()
-    return f"u {kind}, v {kind}"
+    dealt = open_.select("rep", "bucket", "component", pairs.alias("p")).select("rep", "component", "bucket", "p.a", "p.b", F.col("p.s").alias("side"))
+    full = dealt.join(sets, "rep").join(signed.select("rep", "minima"), "rep").select("rep", "component", "minima", "shingles", "bucket", "a", "b", "side")
+    return stored(full.groupBy("bucket", "a", "b").applyInArrow(_blocks(percent, how), "u long, v long"), "links")
 
 
 def linked_components(signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame:
-    """(node, component) of the representatives in signed(rep, minima) that are linked with another.
+    """(node, component) of the sets in signed(rep long, minima) that are linked with another.
 
-    with_sets(ids(id)) gives (id, shingles), the sorted 64-bit hashes of the wanted sets.
+    with_sets(ids(rep)) gives (rep, shingles), the sorted 64-bit hashes of the wanted sets, stored.
     """
-    kind = signed.schema["rep"].dataType.simpleString()
-    slots = signed.mapInArrow(_unpacked(how), f"bucket long, rep {kind}")
-    shared = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(slots.join(shared, "bucket"), "members")
+    members = _shared(signed.select("rep", "minima").mapInArrow(_unpacked(how), "bucket long, rep long"))
+    stars = _stars(members)
+    roots = components(_compared(_pairs(members, stars), signed, with_sets, percent, how))
+    open_ = _open(stars.select("bucket", "rep"), roots)
+    return roots if open_.isEmpty() else _finer(open_, roots, signed, with_sets, percent, how)
 
-    small = members.where(F.col("size") <= SMALL_BUCKET).select("bucket", "rep")
-    pairs = small.select("bucket", F.col("rep").alias("a")).join(small.select("bucket", F.col("rep").alias("b")), "bucket").where("a < b").select("a", "b")
-    large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep")
-    central = large.join(large.groupBy("rep").agg(F.count(F.lit(1)).alias("c")), "rep")
-    pivots = central.groupBy("bucket").agg(F.max(F.struct("c", "rep")).alias("m")).select("bucket", F.col("m.rep").alias("pivot"))
-    large = stored(large.join(pivots, "bucket").where("rep <> pivot").select("rep", "pivot").distinct(), "large")
-    stars = large.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
 
-    a = signed.select(F.col("rep").alias("a"), F.col("minima").alias("ma"))
-    b = signed.select(F.col("rep").alias("b"), F.col("minima").alias("mb"))
-    candidates = pairs.unionByName(stars).distinct().join(a, "a").join(b, "b").select("a", "b", "ma", "mb")
-    likely = stored(candidates.mapInArrow(_agreeing(how), f"a {kind}, b {kind}"), "likely")
-    sets = with_sets(likely.select(F.explode(F.array("a", "b")).alias("id")))
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    links = likely.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked(percent), _edge(signed))
-    roots = components(links)
-    more = _stray_links(large, roots, signed, with_sets, percent, how)
-    if more is not None:
-        roots = components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("component").alias("v"))))
-    return roots
+def _keyed_sets(k: int):
+    """(text) -> (set_key, shingles)"""
+
+    def run(batches):
+        for batch in batches:
+            for _, data, offsets in K.pieces(batch.column(0)):
+                sets = [s for s in K.shingles(data, offsets, k) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())], names=["set_key", "shingles"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row of docs.
 
     Documents are linked if the Jaccard similarity of their sets of k-word shingles (A-Z lower-cased) is at
-    least percent / 100. component_id is the least id reachable; kept marks the row with that id.
-    Null and word-less texts have no shingles and link with nothing. Repeated rows of one id are returned
-    as often as they stand, each with the same component. A null id keeps its row, unlinked, with a null
-    component, and is not kept. An empty table gives no rows. Other columns are ignored.
+    least percent / 100; rows of one id are one document, linked with all that any of its texts is linked with.
+    component_id is the least id reachable; kept marks the rows with that id. Null and word-less texts have no
+    shingles and link with nothing. Repeated rows of one id are returned as often as they stand, each with the same
+    component. A null id keeps its row, unlinked, with a null component, and is not kept. An empty table gives no
+    rows. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = stored(docs.mapInArrow(_features(k), "id long, n long, set_key binary, minima binary"), "minima")
-    groups = stored(found.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep")), "groups")
-    signed = found.join(groups, (found["set_key"] == groups["set_key"]) & (found["id"] == groups["rep"])).select("rep", "minima").dropDuplicates(["rep"])
-    signed = stored(signed, "signed")
-    roots = linked_components(signed, lambda ids: _with_sets(ids, docs, k), percent, DOCUMENTS)
-    of_set = groups.join(roots, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    worded = found.where("set_key is not null and id is not null")
+    sets = worded.groupBy("set_key").agg(F.min("minima").alias("minima"), F.min("id").alias("first"), F.max("id").alias("last"))
+    signed = stored(sets.withColumn("rep", F.monotonically_increasing_id()), "signed")  # numbered as they are written
+
+    def with_sets(ids: DataFrame) -> DataFrame:
+        wanted = stored(signed.select("rep", "set_key", "first").join(ids.select("rep").distinct(), "rep"), "wanted")
+        texts = restricted(docs, wanted.select(F.col("first").alias("id")), "id").select("text")
+        sets = texts.mapInArrow(_keyed_sets(k), "set_key binary, shingles binary").join(wanted.select("rep", "set_key"), "set_key")
+        return stored(sets.select("rep", "shingles").dropDuplicates(["rep"]), "sets")
+
+    roots = linked_components(signed, with_sets, percent, DOCUMENTS)
+    numbered = worded.select("id", "set_key").join(signed.select("set_key", "rep"), "set_key").select("id", "rep")
+    several = numbered.groupBy("id").agg(F.min("rep").alias("u"), F.max("rep").alias("w")).where("u < w")  # ids of several texts
+    several = stored(several.select("id", "u"), "several")
+    if not several.isEmpty():
+        roots = _merged(numbered.join(several, "id").select(F.col("u"), F.col("rep").alias("v")).where("u <> v").distinct(), roots)
+    least = roots.join(signed.select("rep", "first"), F.col("node") == F.col("rep")).groupBy("component").agg(F.min("first").alias("least"))
+    of_rep = roots.join(least, "component").select(F.col("node").alias("rep"), "least")
+    of_set = signed.select("set_key", "rep", "first", "last").join(of_rep, "rep", "left").where("least is not null or first < last").select("set_key", F.coalesce("least", "first").alias("component"))
     out = found.select("id", "n", "set_key").join(of_set, "set_key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
@@ -291,10 +329,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def kept_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each near-duplicate group, its columns unchanged.
 
-    Rows with a null id are kept (they are in no group); of repeated rows of a kept id, one stays.
+    Rows with a null id are kept (they are in no group); of the rows of a kept id, the one of the least text stays (of
+    equal texts, of the least hash of the other columns).
     """
     groups = near_duplicates(docs, k=k, percent=percent)
     keep = groups.where("kept").select(F.col("id").alias("_lamella_kept")).distinct()
-    known = docs.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"])
+    others = [c for c in docs.columns if c != "text" and "map" not in docs.schema[c].dataType.simpleString()]
+    row = F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*others))).alias("_lamella_row")
     # A merge join at every size: the ids kept are a share of the rows, not a small table.
-    return known.join(keep.hint("merge"), known["doc_id"] == keep["_lamella_kept"], "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))
+    known = docs.where(docs["doc_id"].isNotNull()).join(keep.hint("merge"), docs["doc_id"] == keep["_lamella_kept"], "left_semi")
+    known = known.groupBy(F.col("doc_id").alias("_lamella_id")).agg(row).select("_lamella_row.*")
+    return known.unionByName(docs.where(docs["doc_id"].isNull()))

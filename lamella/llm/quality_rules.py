@@ -1,58 +1,52 @@
-"""Rule counts and perplexity bands: a modified Kneser-Ney model over characters, counted by Spark.
-
-Characters are folded to a 64-symbol alphabet and four of them form a gram, so a language has at most 2**24
-grams however large the corpus: counts of all texts are summed by task first and then per gram. A language's
-model is four sorted arrays of gram keys (the packed symbols, a collision-free hash) with log-probabilities
-and back-off weights, looked up by binary search. A document's perplexity under its language's model must
-lie in that language's band: BAND interquartile ranges about the quartiles of the documents that pass the
-base rules.
+"""Rule counts and perplexity bands: a modified Kneser-Ney model over byte n-grams, counted by Spark.
+
+A gram is up to ORDER bytes of UTF-8, none folded, packed into one number with its length in front, so keys are
+exact. Each task sums its texts' grams of the highest order, Spark sums them by (language, gram); the lower orders
+are groupings of these tables by suffix, and probabilities follow from joins along the suffixes, so no task holds a
+language. Grams seen fewer than MIN_COUNT times are left to the lower orders (their mass is the context's back-off),
+else a rare string would vouch for itself. The model grows with the corpus: it is range-sorted by language and key
+and written as files of SHARD sorted entries into the shared folder. Scoring tasks take the documents CHUNK bytes at
+a time, look their keys up shard by shard, and hold CACHE shards at most: neither broadcast nor memory grows with
+the model. A document's log perplexity must lie in its language's band: BAND interquartile ranges about the
+quartiles of the documents that pass the base rules.
 """
 
 from __future__ import annotations
 
-import io
+from collections import OrderedDict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K
-from .common import small_side, stored
+from .common import scratch, small_side, stored
 
-ORDER = 4
-PAD = 63
-#: Interquartile ranges outside the quartiles of log perplexity, and the least half-width in nats.
-BAND, LEAST = 6.0, 0.2
-#: Bytes of models that are broadcast at once; more languages are scored in several passes.
-MODEL_BYTES = 256 << 20
+ORDER = 6
+#: The byte that stands before a text's start (no byte of UTF-8).
+PAD = 0xFF
+MIN_COUNT = 2
+#: Interquartile ranges below the lower and above the upper quartile of log perplexity, and the least margin in nats a
+#: byte. Texts that stand in the corpus many times have a low perplexity and are not bad for it, so that side is wider.
+BAND, LEAST = (3.0, 2.0), 0.02
+#: Entries of a shard (16 bytes each), shards that a worker keeps, bytes of text that are scored at a time.
+SHARD, CACHE, CHUNK = 1 << 20, 12, 16 << 20
 
-
-def _alphabet() -> np.ndarray:
-    fold = np.full(256, 48, np.int32)
-    fold[97:123] = np.arange(1, 27)
-    fold[65:91] = 27
-    fold[48:58] = 28
-    fold[K.SPACE] = 0
-    fold[list(b".,!?;:'\"-()#*$%&|<>")] = np.arange(29, 48)
-    fold[128:] = 49 + (np.arange(128) & 15) % 13
-    return fold
-
-
-ALPHABET = _alphabet()
+_LENGTH = 48  # the bits below hold the bytes, those above the gram's length
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The packed gram that ends at each byte; what lies before a row's start is PAD."""
-    symbols = ALPHABET[data]
-    code = symbols.copy()
+    """The packed ORDER bytes that end at each byte; what lies before a row's start is PAD."""
+    code = data.astype(np.int64)
     for lag in range(1, ORDER):
-        before = np.full(len(symbols), PAD, np.int32)
-        before[lag:] = symbols[:-lag] if len(symbols) > lag else symbols[:0]
+        before = np.full(len(data), PAD, np.int64)
+        before[lag:] = data[: max(len(data) - lag, 0)]
         for t in range(lag):
             at = offsets[:-1] + t
             before[at[at < offsets[1:]]] = PAD
-        code |= before << (6 * lag)
+        code |= before << (8 * lag)
     return code
 
 
@@ -62,8 +56,15 @@ def _counts(batches):
 
     def squeeze(parts):
         codes, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        found, inverse = np.unique(codes, return_inverse=True)
-        return [(found, np.bincount(inverse, weights=n, minlength=len(found)).astype(np.int64))]
+        order = np.argsort(codes, kind="stable")
+        codes, n = codes[order], n[order]
+        at = np.flatnonzero(np.diff(codes, prepend=codes[:1] - 1))
+        return codes[at], np.add.reduceat(n, at)
+
+    def out(lang, codes, n):
+        for low in range(0, len(codes), 1 << 16):
+            part = slice(low, low + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes[part])), pa.array(codes[part]), pa.array(n[part])], names=["lang", "code", "n"])
 
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), object)
@@ -73,136 +74,224 @@ def _counts(batches):
             for lang in set(here.tolist()):
                 own = code[np.repeat(here == lang, lengths)]
                 if len(own):
-                    held.setdefault(lang, []).append(np.unique(own, return_counts=True))
-                    if len(held[lang]) > 24:
-                        held[lang] = squeeze(held[lang])
+                    parts = held.setdefault(lang, [])
+                    parts.append(np.unique(own, return_counts=True))
+                    if len(parts) > 24:
+                        held[lang] = [squeeze(parts)]
+                        if len(held[lang][0][0]) > 1 << 22:
+                            yield from out(lang, *held.pop(lang)[0])
     for lang, parts in held.items():
-        codes, n = squeeze(parts)[0]
-        for low in range(0, len(codes), 1 << 16):
-            part = slice(low, low + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes[part])), pa.array(codes[part], pa.int32()), pa.array(n[part])], names=["lang", "code", "n"])
-
-
-def kneser_ney(codes: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
-    """Sorted keys, log-probabilities and context back-offs of each order, from the counts of the highest."""
-    by_order = {}
-    codes, counts = codes.astype(np.int64), counts.astype(np.int64)
-    for order in range(ORDER, 0, -1):
-        by_order[order] = (codes, counts)
-        codes, counts = np.unique(codes & ((1 << (6 * (order - 1))) - 1), return_counts=True)  # continuation counts
-    out: dict[str, np.ndarray] = {}
-    lower_keys, lower = None, None
+        yield from out(lang, *squeeze(parts))
+
+
+def _discounts(of: DataFrame) -> DataFrame:
+    """(l, d1, d2, d3): the three modified discounts of a language, of of(lang, c)."""
+    n = [F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
+    y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
+    part = lambda i: F.greatest(F.lit(0.0), F.least(F.lit(0.9 * i), i - (i + 1) * y * F.col(f"n{i + 1}") / F.greatest(F.col(f"n{i}"), F.lit(1.0)))).alias(f"d{i}")
+    return of.groupBy("lang").agg(*n).select(F.col("lang").alias("l"), part(1), part(2), part(3))
+
+
+def kneser_ney(counts: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """(lang, key, logp, logg) from counts(lang, code, n): log-probability of a gram's last byte (null for PAD alone), and its back-off as a context.
+
+    c is the count of a highest gram and, below, the number of different bytes before it; raw is how often a gram
+    occurs, and only those of raw >= min_count are kept. What the others had is the context's back-off. Single bytes
+    are all kept, and back off to 1 / 256.
+    """
+    tables = {ORDER: stored(counts.select("lang", "code", F.col("n").alias("raw"), F.col("n").alias("c")), "grams")}
+    for order in range(ORDER - 1, 0, -1):
+        suffix = F.col("code").bitwiseAND(F.lit((1 << (8 * order)) - 1)).alias("code")
+        tables[order] = stored(tables[order + 1].groupBy("lang", suffix).agg(F.sum("raw").alias("raw"), F.count(F.lit(1)).alias("c")), "grams")
+    lower, parts = None, []
     for order in range(1, ORDER + 1):
-        codes, counts = by_order[order]
-        n1, n2, n3, n4 = ((counts == i).sum() for i in (1, 2, 3, 4))
-        y = n1 / max(n1 + 2 * n2, 1)
-        discounts = np.clip([0.0, 1 - 2 * y * n2 / max(n1, 1), 2 - 3 * y * n3 / max(n2, 1), 3 - 4 * y * n4 / max(n3, 1)], 0.0, [0.0, 0.9, 1.8, 2.7])
-        d = discounts[np.minimum(counts, 3)]
-        contexts, inverse = np.unique(codes >> 6, return_inverse=True)
-        total = np.bincount(inverse, weights=counts, minlength=len(contexts))
-        gamma = np.bincount(inverse, weights=d, minlength=len(contexts)) / total
-        if order == 1:
-            below = np.full(len(codes), 1 / 64)
+        own = tables[order].withColumn("ctx", F.shiftright("code", 8)).withColumn("live", (F.col("raw") >= min_count) | F.lit(order == 1))
+        own = own.join(F.broadcast(_discounts(tables[order])), F.col("lang") == F.col("l")).drop("l")  # a row a language
+        d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+        own = own.withColumn("mass", F.when(F.col("live"), F.col("c") - d).otherwise(F.lit(0.0))).select("lang", "code", "ctx", "c", "mass", "live")
+        of_context = own.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), F.sum("mass").alias("kept")).select("lang", "ctx", "total", (1 - F.col("kept") / F.col("total")).alias("gamma"))
+        of_context = stored(of_context, "contexts")
+        live = own.where("live").join(of_context, ["lang", "ctx"]).withColumn("below", F.col("code").bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1)))
+        if lower is None:
+            p = live.withColumn("p", F.col("mass") / F.col("total") + F.col("gamma") / 256)
         else:
-            below = lower[np.searchsorted(lower_keys, codes & ((1 << (6 * (order - 1))) - 1))]
-        p = (counts - d) / total[inverse] + gamma[inverse] * below
-        lower_keys, lower = codes, p
-        out |= {f"k{order}": codes.astype(np.int32), f"p{order}": np.log(p).astype(np.float32), f"c{order}": contexts.astype(np.int32), f"g{order}": np.log(np.maximum(gamma, 1e-9)).astype(np.float32)}
+            p = live.join(lower.select("lang", F.col("code").alias("below"), F.col("p").alias("q")), ["lang", "below"]).withColumn("p", F.col("mass") / F.col("total") + F.col("gamma") * F.col("q"))
+            # The back-off of each gram of the order below, as a context; of one that no byte follows it is 1. A context
+            # of PAD alone is no gram: it has a back-off without a probability.
+            back = lower.join(of_context.where("gamma < 1").select("lang", F.col("ctx").alias("code"), "gamma"), ["lang", "code"], "full")
+            parts.append(back.select("lang", (F.lit((order - 1) << _LENGTH) + F.col("code")).alias("key"), F.log("p").alias("logp"), F.log(F.greatest(F.coalesce("gamma", F.lit(1.0)), F.lit(1e-9))).alias("logg")))
+        lower = stored(p.select("lang", "code", "p"), "probabilities")
+    parts.append(lower.select("lang", (F.lit(ORDER << _LENGTH) + F.col("code")).alias("key"), F.log("p").alias("logp"), F.lit(0.0).alias("logg")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
-def log_probability(model: dict[str, np.ndarray], codes: np.ndarray, order: int = ORDER) -> np.ndarray:
-    if order == 0:
-        return np.full(len(codes), -np.log(64), np.float32)
-    keys = model[f"k{order}"]
-    at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
-    out = model[f"p{order}"][at]
-    missing = np.flatnonzero(keys[at] != codes)
-    if len(missing):
-        contexts, rare = model[f"c{order}"], codes[missing]
-        c = np.minimum(np.searchsorted(contexts, rare >> 6), len(contexts) - 1)
-        backoff = np.where(contexts[c] == rare >> 6, model[f"g{order}"][c], np.float32(0))
-        out[missing] = backoff + log_probability(model, rare & ((1 << (6 * (order - 1))) - 1), order - 1)
-    return out
+def _written(folder: str):
+    """(lang, key, logp, logg), sorted -> (lang, path, low, high, n): writes shards, each of one language and a range of keys."""
 
+    def run(batches):
+        fs, root = pyarrow.fs.FileSystem.from_uri(folder)
+        fs.create_dir(root, recursive=True)
+        import uuid
+
+        def shard(lang, rows):
+            table = pa.table(rows, names=["key", "logp", "logg"])
+            name = f"{uuid.uuid4().hex}.parquet"
+            with fs.open_output_stream(f"{root}/{name}") as out:
+                pq.write_table(table, out)
+            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([name]), pa.array([table["key"][0].as_py()], pa.int64()), pa.array([table["key"][-1].as_py()], pa.int64())], names=["lang", "path", "low", "high"])
+
+        lang, held, n = None, [], 0
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            at = 0
+            while at < len(names):
+                end = at
+                while end < len(names) and names[end] == names[at] and n + end - at < SHARD:
+                    end += 1
+                if held and (names[at] != lang or n >= SHARD):
+                    yield shard(lang, [pa.concat_arrays(c) for c in zip(*held)])
+                    held, n = [], 0
+                    continue
+                lang = names[at]
+                part = batch.slice(at, end - at)
+                held.append((part.column(1), part.column(2).cast(pa.float32()), part.column(3).cast(pa.float32())))
+                n += end - at
+                at = end
+        if held:
+            yield shard(lang, [pa.concat_arrays(c) for c in zip(*held)])
 
-def _packed(model: dict[str, np.ndarray]) -> bytes:
-    np.savez(found := io.BytesIO(), **model)
-    return found.getvalue()
+    return run
 
 
-def _unpacked(blob: bytes) -> dict[str, np.ndarray]:
-    with np.load(io.BytesIO(blob)) as found:
-        return dict(found)
+class Shards:
+    """The shards of a model in a folder, of which the CACHE used last are kept."""
 
+    def __init__(self, folder: str, index: dict[str, list[tuple[int, int, str]]]):
+        self.folder, self.index, self.held = folder, index, OrderedDict()
 
-def _trained(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("code")
-    return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "model": [_packed(kneser_ney(pdf["code"].to_numpy(), pdf["n"].to_numpy()))]})
+    def read(self, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if name in self.held:
+            self.held.move_to_end(name)
+        else:
+            fs, root = pyarrow.fs.FileSystem.from_uri(self.folder)
+            with fs.open_input_file(f"{root}/{name}") as source:
+                found = pq.read_table(source)
+            self.held[name] = tuple(found[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("key", "logp", "logg"))
+            while len(self.held) > CACHE:
+                self.held.popitem(last=False)
+        return self.held[name]
+
+    def find(self, lang: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each key: whether the model has it, logp, logg."""
+        has, logp, logg = np.zeros(len(keys), bool), np.zeros(len(keys), np.float32), np.zeros(len(keys), np.float32)
+        if len(keys):
+            order = np.argsort(keys)
+            ranked = keys[order]
+            for low, high, name in self.index.get(lang, ()):
+                a, b = np.searchsorted(ranked, [low, high + 1])
+                if a < b:
+                    own, p, g = self.read(name)
+                    at = np.minimum(np.searchsorted(own, ranked[a:b]), len(own) - 1)
+                    hit = own[at] == ranked[a:b]
+                    to, at = order[a:b][hit], at[hit]
+                    has[to], logp[to], logg[to] = ~np.isnan(p[at]), p[at], g[at]
+        return has, logp, logg
+
+    def log_probability(self, lang: str, codes: np.ndarray) -> np.ndarray:
+        """Of the last byte of each packed gram after the others."""
+        out, open_ = np.zeros(len(codes)), np.arange(len(codes))
+        for order in range(ORDER, 0, -1):
+            code = codes[open_] & ((1 << (8 * order)) - 1)
+            has, logp, _ = self.find(lang, code + (order << _LENGTH))
+            out[open_[has]] += logp[has]
+            open_, code = open_[~has], code[~has]
+            if not len(open_):
+                return out
+            if order > 1:
+                _, _, logg = self.find(lang, (code >> 8) + ((order - 1) << _LENGTH))
+                out[open_] += logg  # 0 for a context without an entry
+        out[open_] -= np.log(256)
+        return out
+
+
+def shards(model: DataFrame, name: str = "model") -> Shards:
+    """Writes model(lang, key, logp, logg) as shards; what reaches the driver is a row a shard."""
+    folder = scratch(model.sparkSession, name)
+    if "://" not in folder and not folder.startswith("/"):
+        folder = f"/{folder}"
+    ranged = model.repartitionByRange("lang", "key").sortWithinPartitions("lang", "key")
+    index: dict[str, list[tuple[int, int, str]]] = {}
+    for r in stored(ranged.mapInArrow(_written(folder), "lang string, path string, low long, high long"), "shards").collect():
+        index.setdefault(r["lang"], []).append((r["low"], r["high"], r["path"]))
+    return Shards(folder, {lang: sorted(found) for lang, found in index.items()})
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _rules(models):
+def _rules(shared):
+    def judged(model: Shards, batch: pa.RecordBatch):
+        langs = np.array(batch.column(1).to_pylist(), object)
+        for row, data, offsets in K.pieces(batch.column(2), CHUNK):
+            lengths = np.diff(offsets)
+            here = langs[row : row + len(lengths)]
+            code = grams(data, offsets)
+            logs = np.zeros(len(code))
+            for lang in set(here.tolist()):
+                own = np.repeat(here == lang, lengths)
+                codes, inverse = np.unique(code[own], return_inverse=True)
+                logs[own] = model.log_probability(lang, codes)[inverse]
+            total = np.zeros(len(logs) + 1)
+            np.cumsum(logs, out=total[1:])
+            mean = -np.diff(total[offsets]) / np.maximum(lengths, 1)
+            counts = K.base_counts(data, offsets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(row, len(lengths)), pa.array(here.tolist(), pa.string()), *[pa.array(counts[c], pa.int64()) for c in COUNTS], pa.array(mean, mask=lengths == 0)],
+                names=["doc_id", "lang", *COUNTS, "log_perplexity"],
+            )
+
     def run(batches):
-        known = {lang: _unpacked(blob) for lang, blob in models.value.items()}
+        folder, index = shared.value
+        model, held, size = Shards(folder, index), [], 0
         for batch in batches:
-            langs = np.array(batch.column(1).to_pylist(), object)
-            for row, data, offsets in K.pieces(batch.column(2)):
-                lengths = np.diff(offsets)
-                here = langs[row : row + len(lengths)]
-                code = grams(data, offsets)
-                logs = np.zeros(len(code), np.float64)
-                for lang in set(here.tolist()) & set(known):
-                    own = np.repeat(here == lang, lengths)
-                    logs[own] = log_probability(known[lang], code[own])
-                total = np.zeros(len(logs) + 1)
-                np.cumsum(logs, out=total[1:])
-                mean = -np.diff(total[offsets]) / np.maximum(lengths, 1)
-                counts = K.base_counts(data, offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(lengths)), pa.array(here.tolist(), pa.string()), *[pa.array(counts[c], pa.int64()) for c in COUNTS], pa.array(mean, mask=lengths == 0)],
-                    names=["doc_id", "lang", *COUNTS, "log_perplexity"],
-                )
+            held.append(batch)
+            size += batch.column(2).nbytes
+            if size >= CHUNK:
+                yield from judged(model, pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                held, size = [], 0
+        held = [b for b in held if b.num_rows]
+        if held:
+            yield from judged(model, pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     return run
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
+def perplexities(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """(doc_id, lang, counts, log_perplexity) of docs(doc_id, text, lang), stored; a null lang stays null."""
+    texts = docs.select("doc_id", F.concat(F.when(F.col("lang").isNull(), F.lit("-")).otherwise(F.lit("+")), F.coalesce("lang", F.lit(""))).alias("lang"), "text")
+    counted = texts.select("lang", "text").mapInArrow(_counts, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    model = shards(kneser_ney(counted, min_count))
+    shared = docs.sparkSession.sparkContext.broadcast((model.folder, model.index))  # a row a shard of SHARD grams
+    fields = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", log_perplexity double"
+    found = texts.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(_rules(shared), fields)
+    return stored(found.withColumn("lang", F.when(F.col("lang") != "-", F.substring("lang", 2, 1 << 30))), "judged")
+
+
+def quality_rules(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_perplexity) of each row.
 
-    docs(doc_id, text, lang): a null lang is a language of its own; a null text has no words, no perplexity, and fails
-    the base rules. kept: not base_failed, and the log perplexity lies in the language's band (a language all of whose
-    documents fail has none, and they are not kept anyway). Repeated rows count as often in the corpus and are judged
-    alike. An empty table gives no rows. Extra columns are ignored.
+    docs(doc_id, text, lang): a null lang is a language of its own, an empty one another; a null text has no words, no
+    perplexity, and fails the base rules. log_perplexity is in nats a byte. kept: not base_failed, and the log perplexity
+    lies in the language's band (a language all of whose documents fail has none, and they are not kept anyway). Repeated
+    rows count as often in the corpus and are judged alike. An empty table gives no rows. Extra columns are ignored.
     """
-    spark = docs.sparkSession
-    texts = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
-    counted = texts.select("lang", "text").mapInArrow(_counts, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    models = stored(counted.groupBy("lang").applyInPandas(_trained, "lang string, model binary"), "models")
-    passes: list[list[str]] = [[]]
-    room = MODEL_BYTES
-    for lang, size in sorted(models.select("lang", F.length("model")).collect()):
-        if size > room and passes[-1]:
-            passes.append([])
-            room = MODEL_BYTES
-        passes[-1].append(lang)
-        room -= size
-    judged = None
-    for k, langs in enumerate(passes):
-        of_pass = F.col("lang").isin(langs) if len(passes) > 1 else F.lit(True)
-        blobs = {r["lang"]: bytes(r["model"]) for r in models.where(F.col("lang").isin(langs)).collect()} if langs else {}
-        shared = spark.sparkContext.broadcast(blobs)
-        if len(passes) > 1 and k == 0:  # languages without a gram have no model
-            of_pass = of_pass | ~F.col("lang").isin([x for p in passes for x in p])
-        part = texts.where(of_pass).mapInArrow(_rules(shared), "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", log_perplexity double")
-        judged = part if judged is None else judged.unionByName(part)
-    judged = judged.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    judged = stored(judged, "judged")
+    judged = perplexities(docs).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     quartiles = judged.where("not base_failed").groupBy("lang").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10000).alias("q"))
-    margin = F.greatest(F.lit(BAND) * (F.col("q")[1] - F.col("q")[0]), F.lit(LEAST))
-    bands = quartiles.select(F.col("lang").alias("l"), (F.col("q")[0] - margin).alias("low"), (F.col("q")[1] + margin).alias("high"))
-    out = judged.join(small_side(bands), F.col("lang") == F.col("l"), "left")
+    low, high = (F.greatest(F.lit(b) * (F.col("q")[1] - F.col("q")[0]), F.lit(LEAST)) for b in band)
+    bands = quartiles.select(F.col("lang").alias("l"), (F.col("q")[0] - low).alias("low"), (F.col("q")[1] + high).alias("high"))
+    out = judged.join(small_side(bands), F.col("lang").eqNullSafe(F.col("l")), "left")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False))
     return out.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "log_perplexity")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lamella.llm import components, kernels as K, language_id, minhash, order_minhash as OM, packing, paragraphs, quality_classifier, quality_rules, queries, surrogates, warc
+from lamella.llm import common, components, kernels as K, language_id, minhash, order_minhash as OM, packing, paragraphs, quality_classifier, quality_rules, queries, surrogates, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -76,12 +76,41 @@ def test_near_duplicates(groups):
         assert {r.id: r.n_shingles for r in got} == {i: len(shingles(t, k)) for i, t in texts.items()}
 
 
-def test_without_bitmap(groups, monkeypatch):
+@pytest.mark.parametrize("flags", [True, False])
+def test_without_broadcast_and_bitmap(groups, monkeypatch, flags):
     texts, docs = groups
-    monkeypatch.setattr(minhash, "bitmap", lambda places: None)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    if not flags:
+        monkeypatch.setattr(common, "bitmap", lambda places: None)
     assert {r.id: r.component_id for r in minhash.near_duplicates(docs, k=4).collect()} == clusters({i: shingles(t, 4) for i, t in texts.items()})
 
 
+def test_repeated_ids(spark):
+    rng = random.Random(31)
+    a, b = ([f"r{rng.randrange(10**6)}" for _ in range(120)] for _ in "ab")
+    rows = [(5, a), (5, b), (6, [*a[:-1], "x"]), (7, [*b[:-1], "y"]), (8, ["z"]), (8, ["z"]), (None, a)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = minhash.near_duplicates(docs).collect()
+    assert sorted((r.id, r.component_id, r.kept) for r in got if r.id) == [(5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (8, 8, True), (8, 8, True)]
+    kept = minhash.kept_documents(docs).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [(5, min(" ".join(a), " ".join(b))), (8, "z")]
+
+
+def test_strays_of_large_buckets(spark, monkeypatch):
+    """Several families that share half their words fill common buckets: found by the second banding, and by blocks alone."""
+    rng = random.Random(44)
+    common_words = [f"c{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for _ in range(9):
+        family = common_words + [f"f{rng.randrange(10**6)}" for _ in range(40)]
+        texts += variants(rng, family, 30, 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = clusters({i: shingles(t, 5) for i, t in enumerate(texts)})
+    assert {r.id: r.component_id for r in minhash.near_duplicates(docs).collect()} == want
+    monkeypatch.setattr(minhash, "_pairs", lambda members, stars: stars.where("rep <> pivot").selectExpr("least(rep, pivot) as a", "greatest(rep, pivot) as b").distinct())
+    assert {r.id: r.component_id for r in minhash.near_duplicates(docs).collect()} == want
+
+
 def test_star_components(spark):
     rng = random.Random(9)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(33)]
@@ -111,16 +140,23 @@ def test_paragraphs(spark):
         if rng.random() < 0.6:
             lines.insert(rng.randrange(4), variants(rng, rng.choice(shared), 1, 3)[0])
         docs.append((i, "\n".join(lines)))
-    sets = {(i, n): shingles(line, 5) for i, t in docs for n, line in enumerate(t.split("\n")) if 25 <= len(WORD.findall(line)) <= paragraphs.LONG}
+    sets = {}
+    for i, t in docs:
+        at = 0
+        for line in t.split("\n"):
+            n = len(WORD.findall(line))
+            if 25 <= n <= paragraphs.LONG:
+                sets[i, at] = shingles(line, 5)
+            at += n
     root = clusters(sets)
     spans = collections.defaultdict(set)
     for k, r in root.items():
         spans[r].add(k[0])
     want = {(k, r) for k, r in root.items() if len(spans[r]) > 1}
     got = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert {((r.doc_id, r.paragraph), (r.cluster_doc_id, r.cluster_paragraph)) for r in got} == want
-    text = dict(docs)
-    assert all(len(WORD.findall(text[r.doc_id].encode()[r.start : r.start + r.length].decode())) == r.n_words for r in got)
+    assert {((r.doc_id, r.start), (r.cluster_doc_id, r.cluster_start)) for r in got} == want
+    text = {i: WORD.findall(t) for i, t in docs}
+    assert all(shingles(" ".join(text[r.doc_id][r.start : r.start + r.n_words]), 5) == sets[r.doc_id, r.start] for r in got)
 
 
 def test_passage_inside_long_lines(spark):
@@ -145,7 +181,7 @@ def test_short_passages_inside_lines(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = collections.defaultdict(list)
     for r in paragraphs.repeats(df).collect():
-        got[r.doc_id].append((texts[r.doc_id].encode()[r.start : r.start + r.length].decode().split(), r.removed, r.cluster_doc_id, r.n_words))
+        got[r.doc_id].append((texts[r.doc_id].split()[r.start : r.start + r.n_words], r.removed, r.cluster_doc_id, r.n_words))
     for i, p in enumerate(passages):
         assert got.pop(3 * i) == [(p, False, 3 * i, len(p))]
         for j in (1, 2):
@@ -156,6 +192,61 @@ def test_short_passages_inside_lines(spark):
     assert [len(left[i]) for i in (0, 1, 2)] == [86, 150, 43] and len(left[30]) == 18
 
 
+@pytest.mark.parametrize("words, wrap", [(0, 0), (95, 0), (300, 0), (300, 12)])
+def test_planted_passages(spark, words, wrap):
+    """60 passages of 51 to 80 words, each in two documents: on a line of their own, inside lines, wrapped."""
+    rng = random.Random(words + wrap)
+    sentence = lambda n: " ".join(f"p{rng.randrange(20000)}" for _ in range(n))
+    docs = []
+    for i in range(60):
+        passage = sentence(51 + i % 30)
+        for _ in range(2):
+            before = rng.randint(0, words)
+            text = " ".join([sentence(before), passage, sentence(words - before)]).strip()
+            if wrap:
+                w = text.split()
+                text = "\n".join(" ".join(w[j : j + wrap]) for j in range(0, len(w), wrap))
+            docs.append((len(docs), sentence(40) + "\n" + text + "\n" + sentence(40)))
+    got = {r.doc_id for r in paragraphs.repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(got) == 120
+
+
+def test_passages_equal_brute_force(spark):
+    """Every run of 51 words that two documents share is in a span, and nothing else is."""
+    rng = random.Random(21)
+    base = [[f"b{rng.randrange(3000)}" for _ in range(300)] for _ in range(3)]
+    docs = []
+    for i in range(40):
+        w = []
+        for _ in range(rng.randint(1, 4)):
+            b, a = rng.choice(base), rng.randrange(250)
+            w += b[a : a + rng.randint(20, 120)] + [f"u{rng.randrange(10**6)}" for _ in range(rng.randint(0, 30))]
+        docs.append((i, " ".join(w)))
+    docs.append((40, "same word " * 200))
+    docs.append((41, "same word " * 150))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    holders = collections.defaultdict(set)
+    for i, t in docs:
+        w = t.split()
+        for j in range(len(w) - 50):
+            holders[tuple(w[j : j + 51])].add((i, j))
+    covered = collections.defaultdict(set)
+    for places in holders.values():
+        if len({i for i, _ in places}) > 1:
+            for i, j in places:
+                covered[i] |= set(range(j, j + 51))
+    got, removed = collections.defaultdict(set), collections.defaultdict(set)
+    for r in paragraphs.repeated_passages(df, df.selectExpr("doc_id", "0L as start", "0L as n_words").limit(0)).collect():
+        span = set(range(r.start, r.start + r.n_words))
+        got[r.doc_id] |= span
+        assert not (removed[r.doc_id] & span)
+        if r.removed:
+            removed[r.doc_id] |= span
+    assert got == covered
+    left = {tuple(t.split()[j : j + 51]) for i, t in docs for j in range(len(t.split()) - 50) if not set(range(j, j + 51)) & removed[i]}
+    assert all(g in left for g, places in holders.items() if len({i for i, _ in places}) > 1)
+
+
 def signed(x):
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -231,15 +322,75 @@ def test_rules_base(spark, data):
         assert g.base_failed == (w[0] < 50 or 100 * w[4] > 50 * w[0]) and not (g.base_failed and g.kept)
 
 
-def test_kneser_ney_is_a_distribution():
-    rng = np.random.default_rng(0)
-    text = bytes(rng.choice(list(b"abcde ."), 4000, p=[0.3, 0.2, 0.1, 0.1, 0.1, 0.15, 0.05]))
-    data = np.frombuffer(text, np.uint8)
-    codes, counts = np.unique(quality_rules.grams(data, np.array([0, len(data)])), return_counts=True)
-    model = quality_rules.kneser_ney(codes, counts)
-    for context in ((1, 2, 3), (5, 5, 5), (40, 41, 42)):
-        c = (context[0] << 12 | context[1] << 6 | context[2]) << 6
-        assert np.exp(quality_rules.log_probability(model, (c + np.arange(64)).astype(np.int32))).sum() == pytest.approx(1, abs=1e-3)
+def plain_kneser_ney(texts, order, least):
+    """p(byte | bytes before) by the definition, over dictionaries."""
+    c = [None] * (order + 1)
+    raw = [collections.Counter() for _ in range(order + 1)]
+    for t in texts:
+        data = (255,) * (order - 1) + tuple(t.encode())
+        for i in range(order, len(data) + 1):
+            for n in range(1, order + 1):
+                raw[n][data[i - n : i]] += 1
+    c[order] = raw[order]
+    for n in range(order - 1, 0, -1):
+        c[n] = collections.Counter(g[1:] for g in c[n + 1])
+    d = [None] * (order + 1)
+    for n in range(1, order + 1):
+        k = collections.Counter(c[n].values())
+        y = k[1] / max(k[1] + 2 * k[2], 1)
+        d[n] = [0] + [max(0, min(0.9 * i, i - (i + 1) * y * k[i + 1] / max(k[i], 1))) for i in (1, 2, 3)]
+    live = [None] + [{g for g in c[n] if raw[n][g] >= least or n == 1} for n in range(1, order + 1)]
+    mass = lambda n, g: c[n][g] - d[n][min(c[n][g], 3)]
+
+    def p(g):
+        if not g:
+            return 1 / 256
+        n = len(g)
+        follow = [x for x in c[n] if x[:-1] == g[:-1]]
+        if not follow:
+            return p(g[1:])
+        total = sum(c[n][x] for x in follow)
+        gamma = 1 - sum(mass(n, x) for x in follow if x in live[n]) / total
+        return (mass(n, g) / total if g in live[n] else 0.0) + gamma * p(g[1:])
+
+    return p
+
+
+def test_perplexity_equals_a_plain_model(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcd é.") for _ in range(rng.randint(1, 40))) for _ in range(12)]
+    texts += texts[:3] + ["", "zq", "abab " * 12]
+    docs = spark.createDataFrame([(i, t, ("x", None)[i % 2]) for i, t in enumerate(texts)] + [(99, None, "x")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.log_perplexity for r in quality_rules.perplexities(docs).collect()}
+    for part in (0, 1):
+        own = {i: t for i, t in enumerate(texts) if i % 2 == part}
+        p = plain_kneser_ney(own.values(), quality_rules.ORDER, quality_rules.MIN_COUNT)
+        for i, t in own.items():
+            data = (255,) * (quality_rules.ORDER - 1) + tuple(t.encode())
+            n = len(t.encode())
+            logs = [np.log(p(data[j : j + quality_rules.ORDER])) for j in range(n)]
+            assert got[i] == (pytest.approx(-sum(logs) / n, abs=1e-4) if n else None)
+    assert got[99] is None
+
+
+def test_many_shards(spark, monkeypatch):
+    """Shards of 50 grams, of which two are held, and chunks of 2 kB give what one shard gives."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30).repartition(3)
+    want = {r.doc_id: r.log_perplexity for r in quality_rules.perplexities(docs).collect()}
+    for name, value in (("SHARD", 50), ("CACHE", 2), ("CHUNK", 2000)):
+        monkeypatch.setattr(quality_rules, name, value)
+    assert {r.doc_id: r.log_perplexity for r in quality_rules.perplexities(docs).collect()} == want
+
+
+def test_bands_reject_gibberish_and_keep_prose(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(3)
+    odd = [(10**6 + i, " ".join("".join(rng.choice("qxzjkvwbpf") for _ in range(rng.randint(2, 9))) for _ in range(200)), "en") for i in range(20)]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs.unionByName(spark.createDataFrame(odd, docs.schema))).collect()}
+    assert not any(got[i].kept for i, _, _ in odd) and not any(got[i].base_failed for i, _, _ in odd)
+    good = [r.doc_id for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").collect()]
+    passed = [i for i in good if not got[i].base_failed]
+    assert sum(got[i].kept for i in passed) >= 0.93 * len(passed)
 
 
 def test_isotonic():
