@@ -2,24 +2,26 @@
 
 A gram is up to ORDER bytes of UTF-8, none folded, packed into one number with its length in front, so keys are
 exact. Each task sums its texts' grams of the highest order, Spark sums them by (language, gram); the lower orders
-are groupings of these tables by suffix, and probabilities follow from joins along the suffixes, so no task holds a
-language. Grams seen fewer than MIN_COUNT times are left to the lower orders (their mass is the context's back-off),
-else a rare string would vouch for itself. The model grows with the corpus: it is range-sorted by language and key
-and written as files of SHARD sorted entries into the shared folder. Scoring tasks take the documents CHUNK bytes at
-a time, look their keys up shard by shard, and hold CACHE shards at most: neither broadcast nor memory grows with
-the model. A document's log perplexity must lie in its language's band: BAND interquartile ranges about the
-quartiles of the documents that pass the base rules.
+are groupings of these tables by suffix. Range-sorted by language and key, the grams that share a context lie next
+to each other (256 at most), so a window gives their shares and the context's back-off, and the same tasks write
+them as files of at most SHARD sorted entries into the shared folder; no task holds a language, and nothing is
+joined. Grams seen fewer than MIN_COUNT times are left to the lower orders (their mass is the context's back-off),
+else a rare string would vouch for itself. The model grows with the corpus. Scoring tasks take the documents CHUNK
+bytes at a time, look their distinct grams up shard by shard, from the shortest to the longest, and hold CACHE shards
+at most: neither broadcast nor memory grows with the model. A document's log perplexity must lie in its language's
+band: BAND interquartile ranges about the quartiles of the documents that pass the base rules.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import kernels as K
 from .common import scratch, small_side, stored
@@ -31,10 +33,13 @@ MIN_COUNT = 2
 #: Interquartile ranges below the lower and above the upper quartile of log perplexity, and the least margin in nats a
 #: byte. Texts that stand in the corpus many times have a low perplexity and are not bad for it, so that side is wider.
 BAND, LEAST = (3.0, 2.0), 0.02
-#: Entries of a shard (16 bytes each), shards that a worker keeps, bytes of text that are scored at a time.
-SHARD, CACHE, CHUNK = 1 << 20, 12, 16 << 20
+#: Entries of a shard (12 bytes each), shards that a worker keeps, bytes of text that are scored at a time.
+SHARD, CACHE, CHUNK = 1 << 20, 16, 4 << 20
+#: Grams that a counting task holds before it sends what it has.
+HELD = 6 << 20
 
 _LENGTH = 48  # the bits below hold the bytes, those above the gram's length
+_CONTEXT = 1 << 52  # marks the key of a context
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -74,12 +79,12 @@ def _counts(batches):
             for lang in set(here.tolist()):
                 own = code[np.repeat(here == lang, lengths)]
                 if len(own):
-                    parts = held.setdefault(lang, [])
-                    parts.append(np.unique(own, return_counts=True))
-                    if len(parts) > 24:
-                        held[lang] = [squeeze(parts)]
-                        if len(held[lang][0][0]) > 1 << 22:
-                            yield from out(lang, *held.pop(lang)[0])
+                    held.setdefault(lang, []).append(np.unique(own, return_counts=True))
+            if sum(len(p[0]) for parts in held.values() for p in parts) > HELD:
+                held = {lang: [squeeze(parts)] for lang, parts in held.items()}
+                while sum(len(parts[0][0]) for parts in held.values()) > HELD // 2:
+                    lang = max(held, key=lambda x: len(held[x][0][0]))
+                    yield from out(lang, *held.pop(lang)[0])
     for lang, parts in held.items():
         yield from out(lang, *squeeze(parts))
 
@@ -92,76 +97,71 @@ def _discounts(of: DataFrame) -> DataFrame:
     return of.groupBy("lang").agg(*n).select(F.col("lang").alias("l"), part(1), part(2), part(3))
 
 
-def kneser_ney(counts: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """(lang, key, logp, logg) from counts(lang, code, n): log-probability of a gram's last byte (null for PAD alone), and its back-off as a context.
+def kneser_ney(counts: DataFrame, folder: str, min_count: int = MIN_COUNT) -> DataFrame:
+    """(lang, path, low, high) of the shards that hold the model of counts(lang, code, n), written into folder.
 
     c is the count of a highest gram and, below, the number of different bytes before it; raw is how often a gram
-    occurs, and only those of raw >= min_count are kept. What the others had is the context's back-off. Single bytes
-    are all kept, and back off to 1 / 256.
+    occurs, and only those of raw >= min_count are kept (single bytes all). A gram's entry is its discounted share of
+    its context, a context's is what it leaves to the lower order; what pruned grams had is left too. Single bytes
+    leave theirs to 1 / 256.
     """
-    tables = {ORDER: stored(counts.select("lang", "code", F.col("n").alias("raw"), F.col("n").alias("c")), "grams")}
-    for order in range(ORDER - 1, 0, -1):
-        suffix = F.col("code").bitwiseAND(F.lit((1 << (8 * order)) - 1)).alias("code")
-        tables[order] = stored(tables[order + 1].groupBy("lang", suffix).agg(F.sum("raw").alias("raw"), F.count(F.lit(1)).alias("c")), "grams")
-    lower, parts = None, []
-    for order in range(1, ORDER + 1):
-        own = tables[order].withColumn("ctx", F.shiftright("code", 8)).withColumn("live", (F.col("raw") >= min_count) | F.lit(order == 1))
-        own = own.join(F.broadcast(_discounts(tables[order])), F.col("lang") == F.col("l")).drop("l")  # a row a language
+    own, done = stored(counts.select("lang", "code", F.col("n").alias("raw")), "grams"), None
+    for order in range(ORDER, 0, -1):
+        c = F.col("raw") if order == ORDER else F.col("c")
+        table = own.select("lang", "code", "raw", c.alias("c"))
         d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        own = own.withColumn("mass", F.when(F.col("live"), F.col("c") - d).otherwise(F.lit(0.0))).select("lang", "code", "ctx", "c", "mass", "live")
-        of_context = own.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), F.sum("mass").alias("kept")).select("lang", "ctx", "total", (1 - F.col("kept") / F.col("total")).alias("gamma"))
-        of_context = stored(of_context, "contexts")
-        live = own.where("live").join(of_context, ["lang", "ctx"]).withColumn("below", F.col("code").bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1)))
-        if lower is None:
-            p = live.withColumn("p", F.col("mass") / F.col("total") + F.col("gamma") / 256)
-        else:
-            p = live.join(lower.select("lang", F.col("code").alias("below"), F.col("p").alias("q")), ["lang", "below"]).withColumn("p", F.col("mass") / F.col("total") + F.col("gamma") * F.col("q"))
-            # The back-off of each gram of the order below, as a context; of one that no byte follows it is 1. A context
-            # of PAD alone is no gram: it has a back-off without a probability.
-            back = lower.join(of_context.where("gamma < 1").select("lang", F.col("ctx").alias("code"), "gamma"), ["lang", "code"], "full")
-            parts.append(back.select("lang", (F.lit((order - 1) << _LENGTH) + F.col("code")).alias("key"), F.log("p").alias("logp"), F.log(F.greatest(F.coalesce("gamma", F.lit(1.0)), F.lit(1e-9))).alias("logg")))
-        lower = stored(p.select("lang", "code", "p"), "probabilities")
-    parts.append(lower.select("lang", (F.lit(ORDER << _LENGTH) + F.col("code")).alias("key"), F.log("p").alias("logp"), F.lit(0.0).alias("logg")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _written(folder: str):
-    """(lang, key, logp, logg), sorted -> (lang, path, low, high, n): writes shards, each of one language and a range of keys."""
+        live = (F.col("raw") >= min_count) | F.lit(order == 1)
+        shares = table.join(F.broadcast(_discounts(table)), F.col("lang") == F.col("l"))  # a row a language
+        shares = shares.select("lang", "code", F.shiftright("code", 8).alias("ctx"), "c", F.when(live, F.col("c") - d).alias("mass"))
+        alike = W.partitionBy("lang", "ctx")
+        ranged = shares.repartitionByRange("lang", "ctx").sortWithinPartitions("lang", "ctx", "code")
+        shares = ranged.withColumn("total", F.sum("c").over(alike)).withColumn("left", 1 - F.coalesce(F.sum("mass").over(alike), F.lit(0.0)) / F.col("total"))
+        rows = shares.select("lang", "code", (F.col("mass") / F.col("total")).alias("share"), "ctx", "left")
+        part = stored(rows.mapInArrow(_written(folder, order), "lang string, path string, low long, high long"), "shards")
+        done = part if done is None else done.unionByName(part)
+        if order > 1:
+            suffix = F.col("code").bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1)).alias("code")
+            own = stored(own.groupBy("lang", suffix).agg(F.sum("raw").alias("raw"), F.count(F.lit(1)).alias("c")), "grams")
+    return done
+
+
+def _written(folder: str, order: int):
+    """(lang, code, share, ctx, left), sorted -> (lang, path, low, high): writes shards, each of one language and a range of keys."""
 
     def run(batches):
         fs, root = pyarrow.fs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        import uuid
-
-        def shard(lang, rows):
-            table = pa.table(rows, names=["key", "logp", "logg"])
-            name = f"{uuid.uuid4().hex}.parquet"
-            with fs.open_output_stream(f"{root}/{name}") as out:
-                pq.write_table(table, out)
-            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([name]), pa.array([table["key"][0].as_py()], pa.int64()), pa.array([table["key"][-1].as_py()], pa.int64())], names=["lang", "path", "low", "high"])
+        open_: dict[int, list] = {0: [], 1: []}  # pieces (keys, values) of grams and of contexts
+        lang = None
+
+        def finished(kind):
+            if open_[kind]:
+                keys, values = (np.concatenate(c) for c in zip(*open_[kind]))
+                open_[kind] = []
+                name = f"{uuid.uuid4().hex}.parquet"
+                with fs.open_output_stream(f"{root}/{name}") as out:
+                    pq.write_table(pa.table([pa.array(keys), pa.array(values.astype(np.float32))], names=["key", "value"]), out, compression="none", use_dictionary=False)
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([name]), pa.array(keys[:1]), pa.array(keys[-1:])], names=["lang", "path", "low", "high"])
 
-        lang, held, n = None, [], 0
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            at = 0
-            while at < len(names):
-                end = at
-                while end < len(names) and names[end] == names[at] and n + end - at < SHARD:
-                    end += 1
-                if held and (names[at] != lang or n >= SHARD):
-                    yield shard(lang, [pa.concat_arrays(c) for c in zip(*held)])
-                    held, n = [], 0
-                    continue
-                lang = names[at]
-                part = batch.slice(at, end - at)
-                held.append((part.column(1), part.column(2).cast(pa.float32()), part.column(3).cast(pa.float32())))
-                n += end - at
-                at = end
-        if held:
-            yield shard(lang, [pa.concat_arrays(c) for c in zip(*held)])
+            names = np.array(batch.column(0).to_pylist(), object)
+            code, ctx = batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            share, left = batch.column(2).to_numpy(zero_copy_only=False), batch.column(4).to_numpy()
+            for part in np.split(np.arange(len(names)), np.flatnonzero(names[1:] != names[:-1]) + 1) if len(names) else ():
+                if names[part[0]] != lang:
+                    yield from finished(0)
+                    yield from finished(1)
+                    lang, last = names[part[0]], None
+                live = part[~np.isnan(share[part])]
+                new = part[np.diff(ctx[part], prepend=ctx[part[:1]] - 1 if last is None else [last]) != 0]
+                last = ctx[part[-1]]
+                open_[0].append((code[live] + (order << _LENGTH), share[live]))
+                open_[1].append((ctx[new] + (order << _LENGTH) + _CONTEXT, left[new]))
+                for kind in (0, 1):
+                    if sum(len(p[0]) for p in open_[kind]) >= SHARD:
+                        yield from finished(kind)
+        yield from finished(0)
+        yield from finished(1)
 
     return run
 
@@ -172,59 +172,47 @@ class Shards:
     def __init__(self, folder: str, index: dict[str, list[tuple[int, int, str]]]):
         self.folder, self.index, self.held = folder, index, OrderedDict()
 
-    def read(self, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def read(self, name: str) -> tuple[np.ndarray, np.ndarray]:
         if name in self.held:
             self.held.move_to_end(name)
         else:
             fs, root = pyarrow.fs.FileSystem.from_uri(self.folder)
             with fs.open_input_file(f"{root}/{name}") as source:
                 found = pq.read_table(source)
-            self.held[name] = tuple(found[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("key", "logp", "logg"))
+            self.held[name] = tuple(found[c].combine_chunks().to_numpy() for c in ("key", "value"))
             while len(self.held) > CACHE:
                 self.held.popitem(last=False)
         return self.held[name]
 
-    def find(self, lang: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each key: whether the model has it, logp, logg."""
-        has, logp, logg = np.zeros(len(keys), bool), np.zeros(len(keys), np.float32), np.zeros(len(keys), np.float32)
-        if len(keys):
-            order = np.argsort(keys)
-            ranked = keys[order]
-            for low, high, name in self.index.get(lang, ()):
-                a, b = np.searchsorted(ranked, [low, high + 1])
-                if a < b:
-                    own, p, g = self.read(name)
-                    at = np.minimum(np.searchsorted(own, ranked[a:b]), len(own) - 1)
-                    hit = own[at] == ranked[a:b]
-                    to, at = order[a:b][hit], at[hit]
-                    has[to], logp[to], logg[to] = ~np.isnan(p[at]), p[at], g[at]
-        return has, logp, logg
-
-    def log_probability(self, lang: str, codes: np.ndarray) -> np.ndarray:
-        """Of the last byte of each packed gram after the others."""
-        out, open_ = np.zeros(len(codes)), np.arange(len(codes))
-        for order in range(ORDER, 0, -1):
-            code = codes[open_] & ((1 << (8 * order)) - 1)
-            has, logp, _ = self.find(lang, code + (order << _LENGTH))
-            out[open_[has]] += logp[has]
-            open_, code = open_[~has], code[~has]
-            if not len(open_):
-                return out
-            if order > 1:
-                _, _, logg = self.find(lang, (code >> 8) + ((order - 1) << _LENGTH))
-                out[open_] += logg  # 0 for a context without an entry
-        out[open_] -= np.log(256)
+    def find(self, lang: str, keys: np.ndarray, missing: float) -> np.ndarray:
+        """The values of ascending keys; `missing` for those without an entry."""
+        out = np.full(len(keys), missing)
+        for low, high, name in self.index.get(lang, ()):
+            a, b = np.searchsorted(keys, [low, high + 1])
+            if a < b:
+                own, value = self.read(name)
+                at = np.minimum(np.searchsorted(own, keys[a:b]), len(own) - 1)
+                out[a:b] = np.where(own[at] == keys[a:b], value[at], missing)
         return out
 
+    def probability(self, lang: str, codes: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Of the last byte of each packed gram (ascending) after the others: its share, and what the context leaves times
+        the probability after one byte less. An unknown context leaves all."""
+        if order == 0:
+            return np.full(len(codes), 1 / 256)
+        shorter, back = np.unique(codes & ((1 << (8 * (order - 1))) - 1), return_inverse=True)
+        contexts, of = np.unique(codes >> 8, return_inverse=True)
+        left = self.find(lang, contexts + (order << _LENGTH) + _CONTEXT, 1.0)[of]
+        return self.find(lang, codes + (order << _LENGTH), 0.0) + left * self.probability(lang, shorter, order - 1)[back]
+
 
-def shards(model: DataFrame, name: str = "model") -> Shards:
-    """Writes model(lang, key, logp, logg) as shards; what reaches the driver is a row a shard."""
-    folder = scratch(model.sparkSession, name)
+def model_of(counts: DataFrame, min_count: int = MIN_COUNT) -> Shards:
+    """The model of counts(lang, code, n); what reaches the driver is a row a shard."""
+    folder = scratch(counts.sparkSession, "model")
     if "://" not in folder and not folder.startswith("/"):
         folder = f"/{folder}"
-    ranged = model.repartitionByRange("lang", "key").sortWithinPartitions("lang", "key")
     index: dict[str, list[tuple[int, int, str]]] = {}
-    for r in stored(ranged.mapInArrow(_written(folder), "lang string, path string, low long, high long"), "shards").collect():
+    for r in kneser_ney(counts, folder, min_count).collect():
         index.setdefault(r["lang"], []).append((r["low"], r["high"], r["path"]))
     return Shards(folder, {lang: sorted(found) for lang, found in index.items()})
 
@@ -243,7 +231,7 @@ def _rules(shared):
             for lang in set(here.tolist()):
                 own = np.repeat(here == lang, lengths)
                 codes, inverse = np.unique(code[own], return_inverse=True)
-                logs[own] = model.log_probability(lang, codes)[inverse]
+                logs[own] = np.log(model.probability(lang, codes))[inverse]
             total = np.zeros(len(logs) + 1)
             np.cumsum(logs, out=total[1:])
             mean = -np.diff(total[offsets]) / np.maximum(lengths, 1)
@@ -273,7 +261,7 @@ def perplexities(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """(doc_id, lang, counts, log_perplexity) of docs(doc_id, text, lang), stored; a null lang stays null."""
     texts = docs.select("doc_id", F.concat(F.when(F.col("lang").isNull(), F.lit("-")).otherwise(F.lit("+")), F.coalesce("lang", F.lit(""))).alias("lang"), "text")
     counted = texts.select("lang", "text").mapInArrow(_counts, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    model = shards(kneser_ney(counted, min_count))
+    model = model_of(counted, min_count)
     shared = docs.sparkSession.sparkContext.broadcast((model.folder, model.index))  # a row a shard of SHARD grams
     fields = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", log_perplexity double"
     found = texts.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(_rules(shared), fields)
