@@ -1,12 +1,15 @@
 """Order MinHash fingerprints, with built-in functions only.
 
-A text is cut into tokens (at most TOKEN characters that are not white space, with the white space after
-them), a k-mer being K consecutive tokens. Of a text's k-mers, numbered by occurrence, the POOL least by
-(hash, occurrence) are dealt over SKETCHES sketches by a hash of both; each sketch keeps its two least, puts
-them back in text order and hashes that ordered pair. Exchanged passages therefore change sketches that a
-set-based MinHash would leave alone, and repeated k-mers count as often as they occur.
-
-All is done on arrays within a row: no row per k-mer is made, and only the document's text is shuffled, once.
+A text is cut into tokens: words of at most TOKEN characters with the white space after them, and single characters
+of longer runs without white space, so an insertion moves no token boundary but its own. A k-mer is K consecutive
+tokens. All k-mers of a text are numbered by occurrence; a hash of (k-mer, occurrence) deals each to one of SKETCHES
+sketches and ranks it there. Each sketch keeps the two least of what it was dealt, puts them back in text order and
+hashes that ordered pair. Exchanged passages therefore change sketches that a set-based MinHash would leave alone,
+and repeated k-mers count as often as they occur. Sketches see disjoint k-mers (one permutation for all of them), and
+a pair is equal in two texts if the two least of the k-mers that either text deals to the sketch are common and in one order.
+
+All is done on arrays within a row: a k-mer is one long, its hash above its place in the text, so sorting puts equal
+k-mers together in text order. No row per k-mer is made, and only the document's text is shuffled, once.
 """
 
 from __future__ import annotations
@@ -17,12 +20,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import parallelism
 
-TOKEN = 8
+TOKEN = 16
 K = 2
-SKETCHES = 64
-POOL = 6 * SKETCHES
-#: Blocks into which ids are cut by quantiles at most; the bounds are a literal in the plan.
-BLOCKS = 4096
+SKETCH_BITS = 6
+SKETCHES = 1 << SKETCH_BITS
+#: Low bits of a k-mer's long that hold its place (beyond 67 million tokens places repeat).
+PLACE = 26
+#: Blocks into which ids are cut by quantiles at most; the bounds, a long each, are a literal in the plan.
+BLOCKS = 1 << 16
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -30,52 +35,62 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _packed(h: Column, place: Column) -> Column:
+    return h.bitwiseAND(F.lit(-1 << PLACE)).bitwiseOR(place)
+
+
 def _kmers(tokens: Column) -> Column:
-    """(h, i) of each k-mer; a text of fewer than K tokens has one, of all its tokens."""
+    """The k-mers, a long each, sorted by hash and place; a text of fewer than K tokens has one, of all its tokens."""
     n = F.size(tokens)
     at = F.when(n == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))))
-    return F.transform(at, lambda i: F.struct(F.xxhash64(*[F.get(tokens, i + j) for j in range(K)]).alias("h"), i.alias("i")))
+    return F.sort_array(F.transform(at, lambda i: _packed(F.xxhash64(*[F.get(tokens, i + j) for j in range(K)]), i.bitwiseAND(F.lit((1 << PLACE) - 1)))))
+
+
+def _numbered(kmers: Column) -> Column:
+    """Longs of (k-mer, occurrence), sorted: hash and place. Runs of equal k-mers are taken apart only where there are any."""
 
+    def entry(x: Column, o: Column) -> Column:
+        return _packed(F.xxhash64(F.shiftright(x, PLACE), o), x.bitwiseAND(F.lit((1 << PLACE) - 1)))
 
-def _least(kmers: Column) -> Column:
-    """The POOL least by (h, i). Those under a hash that twice as many should be under are sorted, and all only if they are too few."""
-    n = F.size(kmers)
-    below = (F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), F.lit(2.0 * POOL) / n)).cast("double")
-    some = F.when(n <= 2 * POOL, kmers).otherwise(F.filter(kmers, lambda x: x["h"].cast("double") <= below))
-    return let(some, lambda s: F.slice(F.array_sort(F.when((F.size(s) >= POOL) | (n <= 2 * POOL), s).otherwise(kmers)), 1, POOL))
+    def begins(j: Column) -> Column:
+        return (j == 0) | (F.shiftright(F.get(kmers, j), PLACE) != F.shiftright(F.get(kmers, j - 1), PLACE))
 
+    def taken(starts: Column) -> Column:
+        def run(s: Column, r: Column) -> Column:
+            return F.transform(F.slice(kmers, s + 1, F.coalesce(F.get(starts, r + 1), F.size(kmers)) - s), entry)
 
-def _numbered(least: Column) -> Column:
-    """(b, h, o, i) sorted: sketch, hash, occurrence number, position."""
+        return F.when(F.size(starts) == F.size(kmers), F.transform(kmers, lambda x: entry(x, F.lit(0)))).otherwise(F.flatten(F.transform(starts, run)))
 
-    def number(hs: Column) -> Column:
-        def one(x: Column, j: Column) -> Column:
-            again = (j > 0) & (F.get(hs, j - 1) == x["h"])
-            o = F.when(again, j - (F.array_position(hs, x["h"]).cast("int") - 1)).otherwise(F.lit(0))
-            return F.struct(F.pmod(F.xxhash64(x["h"], o, F.lit(77)), F.lit(SKETCHES)).cast("int").alias("b"), x["h"].alias("h"), o.alias("o"), x["i"].alias("i"))
+    places = F.when(F.size(kmers) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.size(kmers) - 1))
+    return let(F.filter(places, begins), lambda starts: F.sort_array(taken(starts)))
 
-        return F.array_sort(F.transform(least, one))
 
-    return let(F.transform(least, lambda x: x["h"]), number)
+def _least(numbered: Column) -> Column:
+    """The two least of each sketch."""
+    sketch = lambda x: F.shiftright(x, 64 - SKETCH_BITS)
+    return F.filter(numbered, lambda x, j: (j < 2) | (sketch(F.get(numbered, j - 2)) != sketch(x)))
 
 
-def _pairs(numbered: Column) -> Column:
+def _pairs(least: Column) -> Column:
     """(b, hash) of each sketch's two least k-mers in text order; of one, if it has one."""
+    sketch = lambda x: F.shiftright(x, 64 - SKETCH_BITS)
+    place = lambda x: x.bitwiseAND(F.lit((1 << PLACE) - 1))
+    name = lambda x: F.shiftright(x, PLACE)
 
     def pair(x: Column, j: Column) -> Column:
-        nxt = F.get(numbered, j + 1)
-        two = F.coalesce(nxt["b"] == x["b"], F.lit(False))
-        h = F.when(~two, F.xxhash64(x["h"])).when(nxt["i"] < x["i"], F.xxhash64(nxt["h"], x["h"])).otherwise(F.xxhash64(x["h"], nxt["h"]))
-        first = (j == 0) | (F.get(numbered, j - 1)["b"] != x["b"])
-        return F.when(first, F.struct(x["b"].alias("b"), h.alias("t")))
+        nxt = F.get(least, j + 1)
+        two = F.coalesce(sketch(nxt) == sketch(x), F.lit(False))
+        h = F.when(~two, F.xxhash64(name(x))).when(place(nxt) < place(x), F.xxhash64(name(nxt), name(x))).otherwise(F.xxhash64(name(x), name(nxt)))
+        first = (j == 0) | (sketch(F.get(least, j - 1)) != sketch(x))
+        return F.when(first, F.struct((sketch(x) + SKETCHES // 2).cast("int").alias("b"), h.alias("t")))
 
-    return F.filter(F.transform(numbered, pair), lambda p: p.isNotNull())
+    return F.filter(F.transform(least, pair), lambda p: p.isNotNull())
 
 
 def sketches(text: Column) -> Column:
     """array<struct<b int, t long>>: the filled sketches of a text, ascending b. Empty texts have none; null gives null."""
-    tokens = F.regexp_extract_all(text, F.lit(rf"(?s)\S{{1,{TOKEN}}}\s*|\s+"), F.lit(0))
-    return let(tokens, lambda t: let(_kmers(t), lambda k: let(_least(k), lambda m: let(_numbered(m), _pairs))))
+    tokens = F.regexp_extract_all(text, F.lit(rf"(?s)(?<!\S)\S{{1,{TOKEN}}}(?!\S)\s*|\S\s*|\s+"), F.lit(0))
+    return let(tokens, lambda t: let(_kmers(t), lambda k: let(_numbered(k), lambda m: let(_least(m), _pairs))))
 
 
 def as_text(found: Column) -> Column:
@@ -94,13 +109,17 @@ def with_next(docs: DataFrame, values: list[str]) -> DataFrame:
     """docs(doc_id, *values) with `next`, a struct of `values` of the next row by doc_id (after the last: the first).
 
     Ids are cut into blocks by approximate quantiles; each block's first row is also sent, marked, to the block
-    before, so one shuffle deals every row together with its next one. The bounds are at most BLOCKS numbers.
-    Rows of one id follow each other in the order of their values; rows of a null id come first.
+    before, so one shuffle deals every row together with its next one. There are as many blocks as shuffle partitions,
+    up to BLOCKS. Rows of one id are one block's and follow each other in the order of their values; rows of a null id
+    come first.
     """
     blocks = min(parallelism(docs.sparkSession), BLOCKS)
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)] or [0.5], 10000)).first()[0] or []
+    cuts = docs.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)] or [0.5], max(10000, 4 * blocks))).first()[0] or []
     cuts = sorted(set(cuts))
-    block = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
+    bounds = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    # The number of bounds up to an id, by halving: a step of each power of two.
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    block = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(bounds, low + step - 1) <= F.col("doc_id"), low + step).otherwise(low)) if cuts else F.lit(0)
     placed = docs.withColumn("_block", block)
     firsts = sorted((r[0], r[1]) for r in placed.groupBy("_block").agg(F.min("doc_id")).collect() if r[1] is not None)
     to = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]

@@ -1,6 +1,7 @@
 """Operators that SQL can't express against plain Python."""
 
 import collections
+import hashlib
 import itertools
 import random
 import re
@@ -261,28 +262,66 @@ def xx(*values):
 
 
 def order_minhash(text):
-    tokens = re.findall(r"(?s)[^ \t\n\x0b\f\r]{1,8}[ \t\n\x0b\f\r]*|[ \t\n\x0b\f\r]+", text)
-    kmers = sorted((xx(*tokens[i : i + OM.K]), i) for i in range(max(1, len(tokens) - OM.K + 1))) if tokens else []
-    seen, buckets = collections.Counter(), collections.defaultdict(list)
-    for h, i in kmers[: OM.POOL]:
-        o = seen[h]
+    """By the definition: k-mers with their occurrence, dealt and ranked by hash, two least of each sketch in text order."""
+    space = " \t\n\x0b\f\r"
+    tokens = []
+    for m in re.finditer(rf"(?s)[^{space}]+[{space}]*|[{space}]+", text):
+        run, tail = m[0].rstrip(space), m[0][len(m[0].rstrip(space)) :]
+        tokens += [m[0]] if len(run) <= OM.TOKEN else [*run[:-1], run[-1] + tail]
+    low = (1 << OM.PLACE) - 1
+    seen, dealt = collections.Counter(), collections.defaultdict(list)
+    for i in range(max(1, len(tokens) - OM.K + 1) if tokens else 0):
+        h = xx(*tokens[i : i + OM.K]) >> OM.PLACE
+        rank = xx(h, (seen[h],)) >> OM.PLACE
         seen[h] += 1
-        buckets[xx(h, (o,), (77,)) % OM.SKETCHES].append((h, o, i))
+        dealt[(rank >> (64 - OM.SKETCH_BITS - OM.PLACE)) + OM.SKETCHES // 2].append((rank, i))
     out = {}
-    for b, items in buckets.items():
-        two = sorted(sorted(items)[:2], key=lambda t: t[2])
-        out[b] = xx(*[h for h, _, _ in two])
+    for b, items in dealt.items():
+        two = sorted(sorted(items)[:2], key=lambda t: t[1])
+        out[b] = xx(*[r for r, _ in two])
     return sorted(out.items())
 
 
+def overlap(a, b):
+    a, b = order_minhash(a), order_minhash(b)
+    either = {x for x, _ in a} | {x for x, _ in b}
+    return len(set(a) & set(b)) / len(either) if either else 1.0
+
+
 def test_order_minhash(spark):
     rng = random.Random(1)
-    texts = ["", "a", "tail  ", "same same same same same " * 300, " ".join(f"é{rng.randrange(300)}" for _ in range(2500)), "x" * 100, *(" ".join(f"w{rng.randrange(50)}" for _ in range(rng.randint(1, 400))) for _ in range(12))]
+    texts = ["", "a", "tail  ", "same same same same same " * 300, " ".join(f"é{rng.randrange(300)}" for _ in range(2500)), "x" * 100, "你好吗" * 40 + " end", "w" * 16 + " " + "v" * 17, *(" ".join(f"w{rng.randrange(50)}" for _ in range(rng.randint(1, 400))) for _ in range(12))]
     got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", OM.sketches(F.col("text")).alias("s")).collect()
     for r in got:
         assert [(p.b, p.t) for p in r.s] == order_minhash(r.text)
 
 
+def test_insertions_move_little(spark):
+    rng = random.Random(17)
+    cjk = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(2000))
+    word = "same " * 3000
+    tails = [" ".join(f"t{rng.randrange(10**6)}" for _ in range(300)) for _ in range(2)]
+    for a, b, least in ((cjk, "x" + cjk, 0.9), (cjk, cjk[:1000] + "字" + cjk[1000:], 0.9), (word + tails[0], word + tails[1], 0.6)):
+        near = spark.createDataFrame([(a, b)], "a string, b string").select(OM.likeness(OM.sketches(F.col("a")), OM.sketches(F.col("b")))).first()[0]
+        assert near >= least and near == pytest.approx(overlap(a, b))
+
+
+def test_whole_fingerprint_query(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.collect())
+    got = {r.doc_id: r for r in order_minhash_query(spark, data)}
+    for (i, a), (_, b) in zip(rows, rows[1:] + rows[:1]):
+        edited = a[: len(a) - len(a) // 2] + b[: len(a) // 2]
+        r = got.pop(i)
+        assert (r.n_chars, r.edited_sha256) == (len(a), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.near_edited, r.near_next) == (pytest.approx(overlap(a, edited)), pytest.approx(overlap(a, b)))
+    assert not got
+
+
+def order_minhash_query(spark, data):
+    return queries.op3_order_minhash(spark, data).collect()
+
+
 def test_next_row_over_blocks(spark):
     rows = [(rng, f"t{rng}") for rng in random.Random(4).sample(range(-500, 5000), 300)]
     got = OM.with_next(spark.createDataFrame(rows, "doc_id long, text string"), ["text"]).collect()
