@@ -8,7 +8,7 @@ spent. Both running sums are sums over ranges, so a source that holds a third of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import WORD, parallelism, running_sum, small_side, stored
 
@@ -37,25 +37,38 @@ def targets(sizes: DataFrame) -> DataFrame:
     return levelled.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("w") * fill)).select("source", "source_size", "target", "total")
 
 
+#: Entries of a range that are summed row by row in one task.
+ROWS = 1 << 20
+
+
 def _cut(sent: DataFrame, keys: list[str], total: int):
     """The key of the first entry, in the order of keys, with which the running sum of size exceeds total; None if none does.
 
-    The entries are range-sorted; a sum per range reaches the driver, and only the range in which the budget ends is
-    summed row by row.
+    The entries are range-sorted; a sum per range reaches the driver, and the range in which the budget ends is sorted
+    into ranges again until it has at most ROWS entries (or holds equal keys only); only these are summed row by row.
     """
     n = parallelism(sent.sparkSession)
-    ranged = stored(sent.select(*keys, "size").repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()), "queue")
-    before = 0
-    for r in sorted(ranged.groupBy("_range").agg(F.sum("size").alias("own")).collect()):
-        if before + (r["own"] or 0) > total:
-            own = ranged.where(F.col("_range") == r["_range"]).withColumn("spent", F.sum("size").over(W.orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)))
-            return own.where(F.col("spent") > total - before).agg(F.min(F.struct(*keys))).first()[0]
-        before += r["own"] or 0
-    return None
-
-
-def mixed(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of each row of docs.
+    part, before, size = sent.select(*keys, "size"), 0, None
+    while True:
+        ranged = stored(part.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()), "queue")
+        found = None
+        for r in sorted(ranged.groupBy("_range").agg(F.sum("size").alias("own"), F.count(F.lit(1)).alias("n")).collect()):
+            if before + (r["own"] or 0) > total:
+                found = r
+                break
+            before += r["own"] or 0
+        if found is None:
+            return None
+        part = ranged.where(F.col("_range") == found["_range"]).select(*keys, "size")
+        if found["n"] <= ROWS or found["n"] == size:
+            break
+        size = found["n"]
+    own = part.withColumn("spent", F.sum("size").over(W.orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)))
+    return own.where(F.col("spent") > total - before).agg(F.min(F.struct(*keys))).first()[0]
+
+
+def mixed(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of each row of docs, and, where `row` names the rows, row.
 
     size: words of the text (null: 0). taken: words that the mix takes of the row, up to REPEATS times its size.
     The document at which the budget (the sum of all sizes) would be exceeded, and all after it, are left out.
@@ -63,10 +76,11 @@ def mixed(docs: DataFrame) -> DataFrame:
     after the other. An empty table gives no rows; extra columns are ignored.
     """
     words = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
-    sized = docs.select("doc_id", "source", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(words).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
+    sized = docs.select("doc_id", "source", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(words).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"), *([] if row is None else [row.alias("row")]))
     sized = stored(sized, "sized")
+    extra = [] if row is None else ["row"]
     aims = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumnRenamed("source", "s"), "targets")
-    queued = running_sum(sized, ["h", "doc_id", "size"], "size", "sent", group="source")
+    queued = running_sum(sized, ["h", "doc_id", "size", *extra], "size", "sent", group="source")
     queued = stored(queued.join(small_side(aims), queued["source"].eqNullSafe(aims["s"])).drop("s"), "queued")
     total = aims.agg(F.max("total")).first()[0] or 0
 
@@ -86,14 +100,25 @@ def mixed(docs: DataFrame) -> DataFrame:
             f = finish(F.lit(k))
             goes = goes & ((f < at[0]) | ((f == at[0]) & ((F.col("h") < at[1]) | ((F.col("h") == at[1]) & (under_id | (same_id & (F.lit(k) < at[3])))))))
         times = times + goes.cast("int")
-    return queued.select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"))
+    return queued.select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"), *extra)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """docs with each document as often as the mix takes it; documents without words are left out."""
-    chosen = mixed(docs).where("taken > 0").groupBy("doc_id").agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_lamella_times"))
-    chosen = chosen.withColumnRenamed("doc_id", "_lamella_id")
-    return docs.join(chosen.hint("merge"), docs["doc_id"].eqNullSafe(chosen["_lamella_id"])).withColumn("_lamella_copy", F.explode(F.sequence(F.lit(1), F.col("_lamella_times")))).select(*[docs[c] for c in docs.columns])
+    """docs with each row as often as the mix takes it; rows without words are left out.
+
+    Rows are told apart by a hash of their columns, so rows of one doc_id (or of a null one) are each taken as `mixed`
+    says. Wholly equal rows are interchangeable: together they stand as often as they are taken together.
+    """
+    plain = [c for c in docs.columns if "map" not in docs.schema[c].dataType.simpleString()]
+    row = F.struct(F.xxhash64(*plain).alias("a"), F.xxhash64(F.lit(1), *plain).alias("b"))
+    chosen = mixed(docs, row).where("taken > 0").groupBy("row").agg(F.sum((F.col("taken") / F.col("size")).cast("long")).alias("_lamella_times"))
+    chosen = chosen.select(F.col("row").alias("_lamella_key"), "_lamella_times")
+    own = docs.withColumn("_lamella_row", row)
+    # Of equal rows the first takes the copies; they are numbered where their hash is shared.
+    joined = own.join(chosen.hint("merge"), own["_lamella_row"] == chosen["_lamella_key"])
+    number = F.row_number().over(W.partitionBy("_lamella_key").orderBy("_lamella_times"))
+    first = joined.withColumn("_lamella_number", number).where("_lamella_number = 1")
+    return first.withColumn("_lamella_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_lamella_times")))).select(*docs.columns)
 
 
 SQL = r"""
