@@ -23,7 +23,7 @@ import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from .common import parallelism, scratch, stored
+from .common import parallelism, scratch, small_side, stored
 
 #: Least payload of which a repetition is a revisit (fixed by the contract).
 REVISIT_BYTES = 1000
@@ -293,7 +293,9 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     hashed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), payload.alias("html"), F.when(F.length(payload) >= REVISIT_BYTES, F.sha1(payload)).alias("d"))
     several = hashed.where("d is not null").groupBy("d").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select("d", "last")
     ref = F.when(F.col("page_id") < F.col("last"), F.col("last"))
-    marked = hashed.join(several, "d", "left").select("page_id", "url", "html", ref.alias("refers_to"))
+    # Small payloads have no digest here and need no join: as one key they would meet in one task.
+    small = hashed.where("d is null").select("page_id", "url", "html", F.lit(None).cast("long").alias("refers_to"))
+    marked = hashed.where("d is not null").join(small_side(stored(several, "repeated")), "d", "left").select("page_id", "url", "html", ref.alias("refers_to")).unionByName(small)
     return stored(marked.mapInArrow(_writer(folder), "archive string, records long"), "archives")
 
 
