@@ -17,8 +17,8 @@ from .common import stored
 
 FEATURES = 384
 BINS = 1000
-#: Partial sums that reach the driver (1.2 MB each).
-GATHER = 12
+#: Partial sums (1.2 MB each) that are added at a time, and that reach the driver at most.
+GATHER = 16
 RIDGE = 1e-3
 THRESHOLD = 0.3
 
@@ -108,20 +108,21 @@ def _equations(to_features: Map):
     return run
 
 
-def _added(batches):
-    total = None
-    for batch in batches:
-        for part in batch.column(0).to_pylist():
-            x = np.frombuffer(part)
-            total = x.copy() if total is None else total + x
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+def _added(pdf):
+    """The sum of a group's byte rows, as one row."""
+    import pandas as pd
+
+    return pd.DataFrame({"part": [np.sum([np.frombuffer(x) for x in pdf["part"]], axis=0).tobytes()]})
 
 
 def _sum_of(parts: DataFrame) -> np.ndarray | None:
-    """The sum of the byte rows of all partitions; GATHER rows, of groups of partitions, reach the driver."""
-    dealt = parts.repartition(GATHER).mapInArrow(_added, "part binary").collect()
-    return np.sum([np.frombuffer(r[0]) for r in dealt], axis=0) if dealt else None
+    """The sum of the byte rows of all partitions, GATHER of them at a time, in as many rounds as that takes."""
+    parts = stored(parts, "parts")
+    while (n := parts.count()) > GATHER:
+        dealt = parts.withColumn("grp", F.pmod(F.xxhash64(F.substring("part", 1, 512), F.monotonically_increasing_id()), F.lit(-(-2 * n // GATHER))))
+        parts = stored(dealt.groupBy("grp").applyInPandas(_added, "part binary"), "parts")
+    rows = parts.collect()
+    return np.sum([np.frombuffer(r[0]) for r in rows], axis=0) if rows else None
 
 
 def isotonic(x: np.ndarray, weight: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
