@@ -4,7 +4,8 @@ One pattern finds the entities of a text. An entity's canonical form (digits of
 address or a name) and a key give, through SHA-256, a surrogate of the same type and format: digits become
 digits, letters letters of their case and script, IPv4 octets octets, a card number that passes the Luhn
 check another that does, a name another name of the gender that its title tells. The same entity gets the
-same surrogate wherever it stands, so the corpus keeps its coreference.
+same surrogate wherever it stands, so the corpus keeps its coreference; a name that stands with a title somewhere in
+a text is replaced in it without one too, whole or by its last word.
 
 Distinct entities must stay distinct: all canonical forms of the corpus are collected (one row each, however
 often they occur), and those whose surrogate equals another's, or a real entity of the corpus, are derived
@@ -38,17 +39,25 @@ FEMALE = ("Anna", "Berta", "Clara", "Diana", "Elena", "Flora", "Greta", "Helen",
 NEUTRAL = ("Alex", "Chris", "Dana", "Eli", "Jean", "Kim", "Lee", "Noel", "Robin", "Sam", "Sascha", "Toni")
 SYLLABLES = ("ba", "be", "bo", "da", "den", "do", "fa", "fer", "ga", "gor", "ha", "hel", "ka", "kel", "la", "len", "ma", "mer", "na", "nor", "pa", "pel", "ra", "ros", "sa", "sen", "ta", "tor", "va", "vel", "wa", "win")
 
+# Scripts, their first small and capital letter, and how many follow each other.
+SCRIPTS = (
+    ("Latin", "à", "À", 22), ("Cyrillic", "а", "А", 32), ("Greek", "α", "Α", 17), ("Armenian", "ա", "Ա", 38), ("Georgian", "ა", "Ა", 33), ("Cherokee", "ꭰ", "Ꭰ", 80),
+    ("Hebrew", "א", "א", 27), ("Arabic", "ا", "ا", 20), ("Devanagari", "क", "क", 37), ("Thai", "ก", "ก", 46), ("Hiragana", "か", "か", 60), ("Katakana", "カ", "カ", 60),
+    ("Hangul", "가", "가", 11172), ("Han", "一", "一", 20000),
+)
+
 #: Patterns by type, in the order in which they are tried at a place.
 PATTERNS = {
-    "secret": r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\b["']?(?:=|\s{0,3}[=:]\s{0,3}(?=["']?[\w+/.~-]*\d))["']?)[A-Za-z0-9+/_.~-]{6,}""",
+    "secret": r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\b["']?(?:=|\s{0,3}[=:]\s{0,3}(?=["']?[\w+/.~-]*\d))["']?)[A-Za-z0-9+/_.~-]{6,}|(?i:\b(?:password|passwd|pwd|api[_-]?key|access[_-]?key)\b["']?\s{0,3}:\s{0,3}["']?)[A-Za-z0-9+/_.~-]{5,}[A-Za-z0-9+/_~-](?=["']?\s{0,3}(?:$|[\n,;}\]]))""",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9-]{16,}|\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}",
     "email": r"[A-Za-z0-9][\w.%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "ip": r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}(?![\d]|\.\d)",
+    "ip6": r"(?<![\w:])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<!\d)(?:\d{4}[ -]){3}\d{1,7}(?!\d)|(?<!\d)\d{13,19}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<!\d)\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
-    "name": rf"\b(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\.?[ \u00a0]\p{{Lu}}[\p{{L}}'-]+(?:[ \u00a0]\p{{Lu}}[\p{{L}}'-]+){{0,2}}",
+    "phone": r"(?<!\d)\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<![\d.,/-])0\d{2,4}[ /-]\d{5,9}(?!\d)",
+    "name": rf"\b(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\.?[ \u00a0]\p{{Lu}}[\p{{L}}'-]+(?:[ \u00a0](?!(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\b)\p{{Lu}}[\p{{L}}'-]+){{0,2}}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds; texts without any of it are not searched.
@@ -57,9 +66,41 @@ _NAME_TITLE = rf"^((?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\.?[ \u00a0])
 _SECRET_HEAD = r"""^((?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)["']?\s{0,3}[=:]\s{0,3}["']?))"""
 
 
+def mentions(text: Column) -> Column:
+    """The entities of a text: struct<pattern, found array<struct<e, form>>>, in order; none for a null text.
+
+    e is the mention as it stands and form the entity as its type's pattern has it. They differ where a name that has a
+    title elsewhere in the text stands without one, whole or by its last word: form adds the title. pattern is what was
+    searched: ENTITY and such names.
+    """
+    own = F.when(F.coalesce(text.rlike(HINT), F.lit(False)), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+    def named(found: Column) -> Column:
+        titled = F.array_distinct(F.filter(found, lambda e: e.rlike(_NAME_TITLE)))
+
+        def with_names(titled: Column) -> Column:
+            title = lambda t: F.regexp_extract(t, _NAME_TITLE, 1)
+            bare = F.transform(titled, lambda t: F.substring(t, F.length(title(t)) + 1, F.length(t)))
+            parts = F.array_distinct(F.flatten(F.transform(bare, lambda n: F.array(n, F.regexp_extract(n, r"[^ \u00a0]+$", 0)))))
+            names = F.filter(parts, lambda n: F.length(n) > 2)
+            longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("k"), n.alias("n")))), lambda x: x["n"])
+            pattern = F.when(F.size(longest) > 0, F.concat(F.lit(ENTITY + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))).otherwise(F.lit(ENTITY))
+
+            def form(e: Column) -> Column:
+                of = F.get(F.filter(titled, lambda t: t.endswith(e) & F.substring(t, F.length(t) - F.length(e), F.lit(1)).isin(" ", "\u00a0")), F.lit(0))
+                return F.when(F.array_contains(names, e), F.coalesce(F.concat(title(of), e), e)).otherwise(e)
+
+            return let(pattern, lambda p: F.struct(p.alias("pattern"), F.transform(F.regexp_extract_all(text, p, F.lit(0)), lambda e: F.struct(e.alias("e"), form(e).alias("form"))).alias("found")))
+
+        plain = F.struct(F.lit(ENTITY).alias("pattern"), F.transform(found, lambda e: F.struct(e.alias("e"), e.alias("form"))).alias("found"))
+        return let(titled, lambda t: F.when(F.size(t) == 0, plain).otherwise(with_names(t)))
+
+    return let(own, named)
+
+
 def entities(text: Column) -> Column:
-    """The entities of a text as an array of strings, in order; none for a null text."""
-    return F.when(F.coalesce(text.rlike(HINT), F.lit(False)), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    """The entities of a text as an array of strings, as their types' patterns have them, in order."""
+    return F.transform(mentions(text)["found"], lambda x: x["form"])
 
 
 def type_of(e: Column) -> Column:
@@ -76,7 +117,7 @@ def _head(kind: Column, e: Column) -> Column:
         .when(kind == "key", F.regexp_extract(e, r"^(AKIA|ASIA|gh[pousr]_|sk-|eyJ)", 1))
         .when(kind == "name", F.regexp_extract(e, _NAME_TITLE, 1))
         .when(kind == "iban", F.substring(e, 1, 2))
-        .when(kind == "phone", F.regexp_extract(e, r"^(\+\d{1,3}(?=[ .(-]))", 1))
+        .when(kind == "phone", F.regexp_extract(e, r"^(\+\d{1,3}(?=[ .(-])|0(?=\d{2,4}[ /-]))", 1))
         .otherwise(F.lit(""))
     )
 
@@ -93,7 +134,7 @@ def canonical(kind: Column, e: Column) -> Column:
         F.when(kind.isin("card", "ssn"), F.regexp_replace(e, r"\D", ""))
         .when(kind == "phone", F.concat(F.regexp_replace(head, r"\D", ""), F.lit("/"), F.regexp_replace(body, r"\D", "")))
         .when(kind == "iban", F.regexp_replace(e, " ", ""))
-        .when(kind == "email", F.lower(e))
+        .when(kind.isin("email", "ip6"), F.lower(e))
         .when(kind == "name", F.concat(_gender(head), F.lit("/"), F.lower(F.regexp_replace(body, "\u00a0", " "))))
         .otherwise(body)
     )
@@ -115,6 +156,16 @@ def _letter(c: Column, n: Column, low: str, count: int | Column) -> Column:
     return F.char(F.lit(ord(low)) + F.pmod(n, F.lit(count) if isinstance(count, int) else count))
 
 
+def _of_script(c: Column, n: Column) -> Column:
+    """A letter of the script and case of the letter c."""
+    at = F.lit(None).cast("struct<first:int,count:int>")
+    for script, low, high, count in reversed(SCRIPTS):
+        first = F.lit(ord(low)) if low == high else F.when(c.rlike(r"^\p{Lu}$"), ord(high)).otherwise(ord(low))
+        at = F.when(c.rlike(rf"^\p{{Is{script}}}$"), F.struct(first.alias("first"), F.lit(count).alias("count"))).otherwise(at)
+    letter = let(at, lambda s: F.decode(F.unhex(F.lpad(F.hex(s["first"] + F.pmod(n, s["count"])), 4, "0")), "UTF-16BE"))
+    return F.coalesce(letter, c)
+
+
 def _like(body: Column, d: Column) -> Column:
     """Each character of body replaced by one of its kind: digit, letter (of a to f in hexadecimal values), letter of its script."""
 
@@ -123,14 +174,11 @@ def _like(body: Column, d: Column) -> Column:
             n = _number(d, i)
             letters = F.when(hexadecimal, F.lit(6)).otherwise(F.lit(26))
             out = F.when(c.rlike(r"^\d$"), _letter(c, n, "0", 10)).when(c.rlike("^[a-z]$"), _letter(c, n, "a", letters)).when(c.rlike("^[A-Z]$"), _letter(c, n, "A", letters))
-            for script, low, count in (("[а-я]", "а", 32), ("[А-Я]", "А", 32), ("[α-ρ]", "α", 17), ("[Α-Ρ]", "Α", 17)):
-                at = F.pmod(n, F.lit(count)) + 1
-                out = out.when(c.rlike(f"^{script}$"), F.substring(F.lit("".join(chr(ord(low) + j) for j in range(count))), at, F.lit(1)))
-            return out.when(c.rlike(r"^\p{Ll}$"), F.element_at(F.split(F.lit("à á â ä é è ê ó ö ú ü ñ"), " "), F.pmod(n, F.lit(12)) + 1)).when(c.rlike(r"^\p{Lu}$"), F.element_at(F.split(F.lit("À Á Â Ä É È Ê Ó Ö Ú Ü Ñ"), " "), F.pmod(n, F.lit(12)) + 1)).otherwise(c)
+            return out.when(c.rlike(r"^[\p{L}&&[^\x00-\x7F]]$"), _of_script(c, n)).otherwise(c)
 
         return put
 
-    return let(body.rlike("^[0-9a-f]+$"), lambda h: F.array_join(F.transform(F.split(body, "(?!^)(?=.)"), one(h)), ""))
+    return let(body.rlike("^[0-9a-f:]+$"), lambda h: F.array_join(F.transform(F.split(body, "(?!^)(?=.)"), one(h)), ""))
 
 
 def _luhn(digits: Column) -> Column:
@@ -140,14 +188,10 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
-def _card(c: Column, d: Column) -> Column:
-    """Digits like c; the Luhn sum keeps its remainder, so valid numbers give valid ones."""
-
-    def fixed(fresh: Column) -> Column:
-        last = F.pmod(F.substring(fresh, F.length(fresh), F.lit(1)).cast("int") + _luhn(c) - _luhn(fresh), F.lit(10))
-        return F.concat(F.substring(fresh, F.lit(1), F.length(fresh) - 1), last.cast("string"))
-
-    return let(_like(c, d), fixed)
+def _card(c: Column, fresh: Column) -> Column:
+    """fresh with a last digit that keeps the remainder of c's Luhn sum, so valid numbers give valid ones."""
+    last = F.pmod(F.substring(fresh, F.length(fresh), F.lit(1)).cast("int") + _luhn(c) - _luhn(fresh), F.lit(10))
+    return F.concat(F.substring(fresh, F.lit(1), F.length(fresh) - 1), last.cast("string"))
 
 
 def _octets(c: Column, d: Column, wide: Column) -> Column:
@@ -194,16 +238,21 @@ def surrogate(kind: Column, c: Column, attempt: Column, key: str) -> Column:
         slash = F.instr(c, "/")
         wide = attempt >= ATTEMPTS
         more = F.when(wide, F.translate(F.substring(d, 101, 8), "0123456789", "ghijklmnop")).otherwise(F.lit(""))
-        address = F.concat(more, _like(F.regexp_replace(c, r"\.[a-z]+$", ""), d), F.regexp_extract(c, r"\.[a-z]+$", 0))
-        return (
-            F.when(kind == "card", _card(c, d))
-            .when(kind == "ip", _octets(c, d, wide))
-            .when(kind == "name", _name(c, attempt, key))
-            .when(kind == "email", address)
-            .when(kind == "phone", F.concat(F.substring(c, F.lit(1), slash), _like(F.substring(c, slash + 1, F.length(c)), d)))
-            .when(kind == "iban", F.concat(F.substring(c, 1, 2), _like(F.substring(c, F.lit(3), F.length(c)), d)))
-            .otherwise(_like(c, d))
-        )
+        domain = r"\.[a-z]+$"
+        body = F.when(kind == "email", F.regexp_replace(c, domain, "")).when(kind == "phone", F.substring(c, slash + 1, F.length(c))).when(kind == "iban", F.substring(c, F.lit(3), F.length(c))).otherwise(c)
+
+        def whole(fresh: Column) -> Column:
+            return (
+                F.when(kind == "card", _card(c, fresh))
+                .when(kind == "ip", _octets(c, d, wide))
+                .when(kind == "name", _name(c, attempt, key))
+                .when(kind == "email", F.concat(more, fresh, F.regexp_extract(c, domain, 0)))
+                .when(kind == "phone", F.concat(F.substring(c, F.lit(1), slash), fresh))
+                .when(kind == "iban", F.concat(F.substring(c, 1, 2), fresh))
+                .otherwise(fresh)
+            )
+
+        return let(F.when(kind.isin("ip", "name"), F.lit("")).otherwise(_like(body, d)), whole)
 
     return let(_digest(kind, c, attempt, key), of)
 
@@ -226,19 +275,23 @@ def rendered(kind: Column, e: Column, s: Column) -> Column:
     return (
         F.when(kind.isin("card", "ssn", "iban"), digits(s))
         .when(kind == "phone", digits(F.regexp_replace(s, "/", "")))
-        .when(kind == "email", cased(s))
+        .when(kind.isin("email", "ip6"), cased(s))
         .when(kind == "name", F.concat(head, F.when(body == F.upper(body), F.upper(name)).otherwise(F.initcap(name))))
         .otherwise(F.concat(head, s))
     )
 
 
 def _replaced(text: Column, found: Column, each) -> Column:
-    """text with its entities found[i] replaced by each(entity)."""
+    """text with its mentions (of mentions(text)) replaced: each(form) stands for the form, less the title that the form adds."""
+
+    def one(x: Column) -> Column:
+        put = each(x["form"])
+        return F.when(x["form"] == x["e"], put).otherwise(let(put, lambda r: F.substring(r, F.length(x["form"]) - F.length(x["e"]) + 1, F.length(r))))
 
     def joined(parts: Column) -> Column:
-        return F.array_join(F.zip_with(parts, F.transform(found, each), lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
+        return F.array_join(F.zip_with(parts, F.transform(found["found"], one), lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
 
-    return F.when(F.size(found) == 0, text).otherwise(let(F.split(text, ENTITY, -1), joined))
+    return F.when(F.size(found["found"]) == 0, text).otherwise(let(F.split(text, found["pattern"], -1), joined))
 
 
 def _replacement(e: Column, key: str, special: Column | None = None) -> Column:
@@ -286,8 +339,8 @@ def anonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     def rewritten(rows: DataFrame, each) -> DataFrame:
         # The explode of one element keeps the optimiser from searching the text again for every use of the entities.
-        once = rows.withColumn("_lamella_found", F.explode(F.array(entities(F.col("text")))))
-        return once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), each).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found").alias("n_entities"))
+        once = rows.withColumn("_lamella_found", F.explode(F.array(mentions(F.col("text")))))
+        return once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), each).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found.found").alias("n_entities"))
 
     n = odd.limit(BROADCAST_ROWS + 1).count()
     if n <= LITERAL_ROWS:
@@ -297,13 +350,13 @@ def anonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     # Texts that mention an exception take their surrogates from a join; all others need none.
     tagged = docs.withColumn("_lamella_row", F.struct(F.monotonically_increasing_id(), F.xxhash64("text")))
     tagged = stored(tagged, "tagged")
-    mentions = tagged.select("_lamella_row", F.explode(F.array_distinct(entities(F.col("text")))).alias("e")).withColumn("kind", type_of(F.col("e")))
-    mentions = mentions.withColumn("c", canonical(F.col("kind"), F.col("e"))).join(F.broadcast(odd) if n <= BROADCAST_ROWS else odd, ["kind", "c"])
-    special = mentions.groupBy("_lamella_row").agg(F.map_from_entries(F.collect_list(F.struct("e", rendered(F.col("kind"), F.col("e"), F.col("s"))))).alias("_lamella_special"))
+    told = tagged.select("_lamella_row", F.explode(F.array_distinct(entities(F.col("text")))).alias("e")).withColumn("kind", type_of(F.col("e")))
+    told = told.withColumn("c", canonical(F.col("kind"), F.col("e"))).join(F.broadcast(odd) if n <= BROADCAST_ROWS else odd, ["kind", "c"])
+    special = told.groupBy("_lamella_row").agg(F.map_from_entries(F.collect_list(F.struct("e", rendered(F.col("kind"), F.col("e"), F.col("s"))))).alias("_lamella_special"))
     joined = tagged.join(special, "_lamella_row", "left")
     plain = rewritten(joined.where("_lamella_special is null").select(*docs.columns), lambda e: _replacement(e, key))
-    once = joined.where("_lamella_special is not null").withColumn("_lamella_found", F.explode(F.array(entities(F.col("text")))))
-    other = once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), lambda e: F.coalesce(F.element_at("_lamella_special", e), _replacement(e, key))).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found").alias("n_entities"))
+    once = joined.where("_lamella_special is not null").withColumn("_lamella_found", F.explode(F.array(mentions(F.col("text")))))
+    other = once.select(*[_replaced(F.col("text"), F.col("_lamella_found"), lambda e: F.coalesce(F.element_at("_lamella_special", e), _replacement(e, key))).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size("_lamella_found.found").alias("n_entities"))
     return plain.unionByName(other.select(*rest, "text", "n_entities").select(*plain.columns))
 
 

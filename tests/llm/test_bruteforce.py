@@ -443,6 +443,56 @@ def test_isotonic():
     assert np.allclose(fit, want)
 
 
+def test_statistics_by_plain_python():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = ["", "A b, c.\nA b, c.\n\n#x! 12?", "é ü…|", *(" ".join(rng.choice(["Ab", "cde", "1,2.", "\n", "f|g!", "hij"]) for _ in range(60)) for _ in range(4))]
+    (_, data, offsets), = K.pieces(pa.array(texts))
+    for text, got in zip(texts, quality_classifier.statistics(data, offsets)):
+        w, n_symbols, dup, rep = WORD.findall(text), base(text)[2], base(text)[3], base(text)[4]
+        size, count = [len(x.encode()) for x in w], max(len(w), 1)
+        chars, lines = max(sum(map(len, w)), 1), sum(bool(WORD.search(x)) for x in text.split("\n"))
+        raw = text.encode()
+        share = lambda f: sum(map(f, raw))
+        mean = sum(size) / count
+        want = [
+            np.log1p(len(w)), np.log1p(lines), sum(map(len, w)) / count, np.sqrt(max(sum(x * x for x in size) / count - mean**2, 0)), np.log1p(max(size, default=0)), n_symbols / chars, dup / max(lines, 1), rep / count,
+            len({lowered(x) for x in w}) / count, share(lambda c: 65 <= c <= 90) / chars, share(lambda c: 97 <= c <= 122) / chars, share(lambda c: 48 <= c <= 57) / chars, share(lambda c: c >= 0xC0) / chars, share(lambda c: c == 46) / count,
+            share(lambda c: c in b",;:") / count, share(lambda c: c in b"!?") / count, share(lambda c: c == 124) / count, sum(x <= 3 for x in size) / count,
+        ]
+        assert np.allclose(got, want)
+
+
+def test_scores_equal_one_dense_solve(spark, data, monkeypatch):
+    """The whole query on the smallest tables against one matrix of all rows; sums in several rounds."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(quality_classifier, "GATHER", 2)
+    QC = quality_classifier
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    got = {r.doc_id: r.score for r in QC.quality_scores(docs.repartition(9), labels).collect()}
+    folds = {r.doc_id: r.f for r in docs.select("doc_id", QC.fold(5).alias("f")).collect()}
+    ids, texts = zip(*[(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    x = np.concatenate([QC.statistics(d, o) for _, d, o in K.pieces(pa.array(texts))]).astype(np.float32).astype(float)
+    x = dict(zip(ids, x))
+    y = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and folds[r.doc_id] != 0}
+    every = np.array([x[i] for i in y])
+    phi = QC.Map(every.mean(axis=0), np.sqrt(np.maximum((every**2).mean(axis=0) - every.mean(axis=0) ** 2, 0)) + 1e-6)
+    fit = [i for i in y if folds[i] != 4]
+    z = phi(np.array([x[i] for i in fit]))
+    beta = np.linalg.solve(z.T @ z + QC.RIDGE * len(fit) / QC.FEATURES * np.eye(z.shape[1]), z.T @ np.array([y[i] for i in fit], float))
+    place = lambda i: int(np.clip(np.floor((phi(x[i][None]) @ beta + 0.5) / 2 * QC.BINS), 0, QC.BINS - 1)[0])
+    held = collections.defaultdict(list)
+    for i in y:
+        if folds[i] == 4:
+            held[place(i)].append(y[i])
+    grid = sorted(held)
+    _, fitted = QC.isotonic(np.array(grid), np.array([len(held[b]) for b in grid], float), np.array([np.mean(held[b]) for b in grid]))
+    want = {i: np.interp(place(i), grid, fitted) for i in ids}
+    assert sum(abs(got[i] - want[i]) < 1e-6 for i in ids) >= 0.99 * len(ids)  # a score on a bin's edge may fall either way
+
+
 def test_quality_on_held_out_rows(spark):
     got = quality_classifier.quality_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
     both = got.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("held_out")
@@ -491,6 +541,62 @@ def test_tokens_equal_the_tokenizer_file():
         assert packing.token_ids(text, "byte_bpe_50k").tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_tokens_of_all_documents_and_random_unicode():
+    """The rank file gives what the named tokenizer file gives on every text of the tables and on 500 random ones."""
+    import public_tokenizers
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    rng = random.Random(12)
+    ranges = ((0, 0x80), (0x80, 0x250), (0x370, 0x600), (0x900, 0xE80), (0x2000, 0x2C00), (0x3000, 0xD7FF), (0xE000, 0x10000), (0x1F300, 0x1FAFF), (0x10000, 0x10FFFF))
+    odd = ["".join(chr(rng.randrange(*rng.choice(ranges))) if rng.random() < 0.7 else rng.choice(" \n\t'sS12") for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist() if t] + odd
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text, found in zip(texts, tok.encode_batch(texts, add_special_tokens=False)):
+        assert packing.token_ids(text, "byte_bpe_50k").tolist() == [*found.ids, 2]
+
+
+def test_whole_packing_query(spark, data):
+    """start, length, ids_crc32 and places of every piece by the named tokenizer file."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.read.parquet(f"{data}/documents.parquet").collect()
+    got = collections.defaultdict(list)
+    fill = collections.Counter()
+    rows = queries.op6_best_fit_packing(spark, data).collect()
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert fill[r.sequence_id] == r.offset
+        fill[r.sequence_id] += r.length
+        got[r.doc_id].append(r)
+    assert max(fill.values()) <= 1024 and len(fill) <= -(-sum(fill.values()) // 1024) + 1
+    for d in docs:
+        ids = np.array([*tok.encode(d.text or "", add_special_tokens=False).ids, 2], "<u4")
+        pieces = sorted(got.pop(d.doc_id), key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces))) and sum(r.length for r in pieces) == len(ids) and (len(pieces) == 1 or all(r.length == 1024 for r in pieces[1:]))
+        for r in pieces:
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) and r.start == sum(x.length for x in pieces[: r.piece])
+    assert not got
+
+
+def test_stage_emits_what_the_mix_takes(spark):
+    from lamella.llm import mixing
+
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(12)]), " ".join("w" * rng.randint(1, 9)), rng.choice("abc")) for _ in range(60)]
+    rows += rows[:6]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, out = collections.Counter(), collections.Counter()
+    for r in mixing.mixed(docs).collect():
+        taken[r.doc_id, r.source] += r.taken
+    for r in mixing.mixed_documents(docs).collect():
+        out[r.doc_id, r.source] += len(r.text.split())
+    assert +taken == +out
+
+
 def test_local_search_raises_squared_fill():
     rng = random.Random(7)
     for _ in range(40):
@@ -571,6 +677,21 @@ def test_luhn_and_titles(spark):
     assert re.fullmatch(r'password=[a-z]{3}\d{3}[A-Z]{3} token: "[0-9a-f]{16}"', got[3])
 
 
+def test_untitled_mentions_and_scripts(spark):
+    rows = [
+        (1, "Mr John Smith came. Later Smith said so; John Smith agreed, Smithson and John not."),
+        (2, "Mr Алёша Попов и Попов. Mrs Άγγελος Mr Անահիտ"),
+        (3, 'password: hunterhunter\n the password: required. {"pwd": "correcthorse"} at 2001:db8::ff00:42:8329, 10:30:45, call 0151 23456789'),
+    ]
+    got = {r.doc_id: r.text for r in surrogates.anonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. Later (\w+) said so; (\w+ \w+) agreed, Smithson and John not\.", got[1])
+    assert m and m[2] == m[3] != "Smith" and m[4] == f"{m[1]} {m[2]}" and m[1] in surrogates.MALE
+    m = re.fullmatch(r"Mr ([А-Я][а-я]{4}) ([А-Я][а-я]{4}) и ([А-Я][а-я]{4})\. Mrs ([Α-Ρ][α-ρ]{6}) Mr ([Ա-Ֆ][ա-ֆ]{5})", got[2])
+    assert m and m[2] == m[3] != "Попов" and m[1] != "Алёша"
+    m = re.fullmatch(r'password: ([a-z]{12})\n the password: required\. \{"pwd": "([a-z]{12})"\} at (\d{4}:[0-9a-f]{3}::[0-9a-f]{4}:\d\d:\d{4}), 10:30:45, call (0\d{3} \d{8})', got[3])
+    assert m and m[1] != "hunterhunter" and m[2] != "correcthorse" and m[3] != "2001:db8::ff00:42:8329" and m[4] != "0151 23456789"
+
+
 def test_kernel_words():
     texts = ["", "  a b\tc ", "é è\x0bü", "A\nB"]
     import pyarrow as pa
