@@ -51,3 +51,19 @@ def remapped(labels: DataFrame, remap: DataFrame, label: str = "label") -> DataF
     joined = labels.join(remap.withColumnRenamed("old", "_old"), F.col(label) == F.col("_old"), "left")
     new = F.when(F.col("new").isNull() & F.col(label).isNotNull(), F.raise_error(F.concat(F.lit("label without a place in the map: "), F.col(label).cast("string"))).cast("long")).otherwise(F.col("new"))
     return joined.withColumn(label, new).drop("_old", "new")
+
+
+def chains(merges: DataFrame) -> DataFrame:
+    """(id, root): where the chain of parents of each id ends. merges(hi, lo): an id's parent is the least lo below it.
+
+    One parent an id, unlike `roots`: ids that share a child stay apart. A round replaces each pointer by that of its
+    target, so the paths halve; background (0) and pairs with lo >= hi are ignored.
+    """
+    state = merges.where("lo > 0 and lo < hi").groupBy(F.col("hi").cast("long").alias("id")).agg(F.min("lo").cast("long").alias("root"))
+    state = written(state, "chains")
+    while True:
+        up = state.select(F.col("id").alias("root"), F.col("root").alias("up"))
+        moved = written(state.join(up, "root", "left").select("id", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")), "chains")
+        state = moved.select("id", "root")
+        if moved.where("moved").isEmpty():
+            return state

@@ -26,6 +26,16 @@ def problem(segments: DataFrame, sets: DataFrame, links: DataFrame) -> tuple[Dat
     return objective, rows
 
 
+def links_only(segments: DataFrame, sets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables of a program whose objective is the links' worth alone: segments are worth nothing by themselves."""
+    return segments.withColumn("worth", F.lit(0.0)), sets, links
+
+
+def pairwise(sets: DataFrame) -> DataFrame:
+    """(set, a, b): exclusions of two segments each in place of sets(set, label); a set's size is the number of candidates at a pixel."""
+    return sets.select("set", F.col("label").alias("a")).join(sets.select("set", F.col("label").alias("b")), "set").where("a < b").distinct()
+
+
 def branching_rows(links: DataFrame, most: int) -> DataFrame:
     """(row, name, coef, sense, rhs): links of a segment on one side are at most min(their number, most) times it."""
     out = None
@@ -51,7 +61,9 @@ def label_loss_rows(segments: DataFrame, links: DataFrame, loss: float) -> DataF
 def solved(segments: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """(label, chosen): the best selection, exactly, for each component of segments that share a set or a link.
 
-    A component is one task; its size is the number of overlapping candidates of an object, not of the volume.
+    A component is one task. Links should stay inside a block (as the plans see to), else an object that runs through
+    the stack is one component. Segments without conflict cost nothing; the search is exponential in the number of
+    conflicting ones of a component at worst.
     """
     pairs = sets.groupBy("set").agg(F.min("label").alias("first")).join(sets, "set").select(F.col("label").alias("a"), F.col("first").alias("b"))
     every = segments.select(F.col("label").alias("a"), F.col("label").alias("b"))

@@ -376,37 +376,91 @@ def maxout(x: np.ndarray, weights: np.ndarray, bias: np.ndarray, pieces: int) ->
     return y.reshape(*y.shape[:-1], -1, pieces).max(axis=-1)
 
 
+def heaviest_links(links: list[tuple[int, int, float]]) -> float:
+    """The largest total worth of links (a, b, worth) of which each a and each b has one at most, by augmenting paths."""
+    out: dict[int, dict[int, float]] = {}
+    for a, b, w in links:
+        if w > 0:
+            out.setdefault(a, {})[b] = max(w, out.get(a, {}).get(b, 0.0))
+    mate: dict[int, int] = {}  # b -> a
+    total = 0.0
+    while True:
+        # The best gain of a path from a free a to each b, going back along links that are taken.
+        taken = {a: b for b, a in mate.items()}
+        gain = {a: (0.0 if a not in taken else -np.inf) for a in out}
+        before: dict[int, int] = {}
+        reach: dict[int, float] = {}
+        for _ in range(2 * len(out) + 1):
+            changed = False
+            for a, near in out.items():
+                for b, w in near.items():
+                    if mate.get(b) != a and gain[a] + w > reach.get(b, -np.inf) + 1e-12:
+                        reach[b], before[b], changed = gain[a] + w, a, True
+                        if b in mate and reach[b] - out[mate[b]][b] > gain[mate[b]] + 1e-12:
+                            gain[mate[b]] = reach[b] - out[mate[b]][b]
+            if not changed:
+                break
+        ends = [b for b in reach if b not in mate]
+        # A path may also end by giving up the link of a taken a.
+        last = max(ends, key=lambda b: reach[b], default=None)
+        worth = reach[last] if last is not None else 0.0
+        loose = max((a for a in taken), key=lambda a: gain[a], default=None)
+        if max(worth, gain[loose] if loose is not None else 0.0) <= 1e-12:
+            return total
+        if last is None or (loose is not None and gain[loose] > worth):
+            total += gain[loose]
+            b = taken[loose]
+        else:
+            total += worth
+            b = last
+        while True:
+            a = before[b]
+            following = taken.get(a)
+            mate[b] = a
+            if following is None:
+                break
+            b = following
+
+
 def best_selection(worth: list[float], excluded: list[set[int]], links: list[tuple[int, int, float]]) -> tuple[float, list[int]]:
-    """The exact fusion of a small conflict component: segments of largest total worth, at most one of each excluded
-    set, with the links whose ends are both chosen, each segment linked at most once upwards and once downwards.
+    """The exact fusion of a conflict component: segments of largest total worth, at most one of each excluded set, with
+    the links whose ends are both chosen, each segment linked at most once upwards and once downwards.
 
-    Branch and bound over segments, the most worth first; the bound adds all worths left and their links'.
+    Segments that exclude none are chosen (worths are not negative). The others are decided one by one, the most worth
+    first, on a stack; the bound adds the worth of what may still be chosen, of each segment's first set only the most,
+    and all links between what is or may be chosen.
     """
-    order = sorted(range(len(worth)), key=lambda i: (-worth[i], i))
-    conflicts = {i: set().union(*[s for s in excluded if i in s]) - {i} for i in range(len(worth))}
-    gain = [worth[i] + sum(w for a, b, w in links if i in (a, b)) for i in range(len(worth))]
-    best = (0.0, [])
-
-    def linked(chosen: set[int]) -> float:
-        total, up, down = 0.0, set(), set()
-        for a, b, w in sorted(links, key=lambda t: (-t[2], t[0], t[1])):
-            if a in chosen and b in chosen and a not in up and b not in down and w > 0:
-                total += w
-                up.add(a)
-                down.add(b)
-        return total
-
-    def go(k: int, chosen: list[int], total: float) -> None:
-        nonlocal best
-        value = total + linked(set(chosen))
-        if value > best[0] + 1e-12:
-            best = (value, sorted(chosen))
-        if k == len(order) or value + sum(gain[i] for i in order[k:]) <= best[0]:
-            return
-        i = order[k]
-        if not conflicts[i] & set(chosen):
-            go(k + 1, [*chosen, i], total + worth[i])
-        go(k + 1, chosen, total)
+    n = len(worth)
+    conflicts = {i: set().union(*[s for s in excluded if i in s]) - {i} for i in range(n)}
+    free = [i for i in range(n) if not conflicts[i]]
+    order = sorted((i for i in range(n) if conflicts[i]), key=lambda i: (-worth[i], i))
+    clique = {i: next(k for k, s in enumerate(excluded) if i in s and len(s) > 1) for i in order}
 
-    go(0, [], 0.0)
-    return best
+    def value(chosen: set[int]) -> float:
+        return sum(worth[i] for i in chosen) + heaviest_links([l for l in links if l[0] in chosen and l[1] in chosen])
+
+    best, found = -1.0, []
+    stack: list[tuple[int, frozenset[int]]] = [(0, frozenset(free))]
+    while stack:
+        k, chosen = stack.pop()
+        if k == len(order):
+            now = value(set(chosen))
+            if now > best + 1e-12:
+                best, found = now, sorted(chosen)
+            continue
+        maybe = [i for i in order[k:] if not conflicts[i] & chosen]
+        most: dict[int, float] = {}
+        for i in maybe:
+            most[clique[i]] = max(most.get(clique[i], 0.0), worth[i])
+        alive = chosen | set(maybe)
+        up: dict[int, float] = {}
+        for a, b, w in links:
+            if a in alive and b in alive:
+                up[a] = max(up.get(a, 0.0), w)
+        if sum(worth[i] for i in chosen) + sum(most.values()) + sum(up.values()) <= best + 1e-12:
+            continue
+        i = order[k]
+        stack.append((k + 1, chosen))
+        if not conflicts[i] & chosen:
+            stack.append((k + 1, chosen | {i}))
+    return max(best, 0.0), found

@@ -88,38 +88,41 @@ def proximity(model_leaves: DataFrame, key: str = "id") -> DataFrame:
     return a.join(b, ["tree", "leaf"]).where("a < b").groupBy("a", "b").agg((F.count(F.lit(1)) / trees).alias("share"))
 
 
-def on_tiles(image: DataFrame, size: int, halo: int, run, schema: str = "y int, x int, v double") -> DataFrame:
-    """run(array of the tile with halo) -> array, on tiles of size x size; halos are cut off, beyond the image values mirror.
+def on_tiles(image: DataFrame, size: int, halo: int, run) -> DataFrame:
+    """(z, y, x, v): run(array of the tile with halo) -> array, on tiles of size x size; halos are cut off, beyond the image values mirror.
 
-    A pixel is sent to every tile whose halo holds it (a narrow explode); a task holds one tile.
+    image(z, y, x, v) is a stack of planes, each tiled for itself. A pixel is sent to every tile whose halo holds it (a narrow explode); a task holds one tile.
     """
     tile = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / size).cast("int"), F.floor((F.col(c) + halo) / size).cast("int")))
-    box = image.agg(F.max("y").alias("hy"), F.max("x").alias("hx")).first()
-    last = {"y": (box[0] or 0) // size, "x": (box[1] or 0) // size}
-    spread = image.select("y", "x", "v").withColumn("ty", tile("y")).withColumn("tx", tile("x")).where(f"ty between 0 and {last['y']} and tx between 0 and {last['x']}")
+    spread = image.select("z", "y", "x", "v").withColumn("ty", tile("y")).withColumn("tx", tile("x")).where("ty >= 0 and tx >= 0")
+    # A tile that holds halo alone is none.
+    own = (F.floor(F.col("y") / size) == F.col("ty")) & (F.floor(F.col("x") / size) == F.col("tx"))
+    spread = spread.withColumn("own", own)
 
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        if not pdf["own"].any():
+            return pd.DataFrame({"z": [], "y": [], "x": [], "v": []})
         y0, x0 = pdf["y"].min(), pdf["x"].min()
         a = np.zeros((pdf["y"].max() - y0 + 1, pdf["x"].max() - x0 + 1))
         a[pdf["y"] - y0, pdf["x"] - x0] = pdf["v"]
-        ty, tx = key[0] * size, key[1] * size
+        ty, tx = key[1] * size, key[2] * size
         pad = [(halo - (ty - y0), halo - (y0 + a.shape[0] - min(ty + size, y0 + a.shape[0]))), (halo - (tx - x0), halo - (x0 + a.shape[1] - min(tx + size, x0 + a.shape[1])))]
         core = (min(ty + size, y0 + a.shape[0]) - ty, min(tx + size, x0 + a.shape[1]) - tx)
         out = run(np.pad(a, [(max(p, 0), max(q, 0)) for p, q in pad], "symmetric"))[halo : halo + core[0], halo : halo + core[1]]
         y, x = np.mgrid[ty : ty + core[0], tx : tx + core[1]]
-        return pd.DataFrame({"y": y.ravel().astype(np.int32), "x": x.ravel().astype(np.int32), "v": out.ravel().astype(float)})
+        return pd.DataFrame({"z": np.full(y.size, key[0], np.int32), "y": y.ravel().astype(np.int32), "x": x.ravel().astype(np.int32), "v": out.ravel().astype(float)})
 
-    return spread.groupBy("ty", "tx").applyInPandas(one, schema)
+    return spread.groupBy("z", "ty", "tx").applyInPandas(one, "z int, y int, x int, v double")
 
 
 def membrane_response(image: DataFrame, window: int = 19, width: int = 3, rotations: int = 8, size: int = 64) -> DataFrame:
-    """(y, x, v): the largest normalised correlation with a dark line turned `rotations` ways."""
+    """(z, y, x, v): the largest normalised correlation with a dark line turned `rotations` ways."""
     templates = [kernels.membrane_template(window, width, 180 * k / rotations) for k in range(rotations)]
     return on_tiles(image, size, window // 2, lambda a: np.max([kernels.correlated(a, t) for t in templates], axis=0))
 
 
 def vesicle_response(image: DataFrame, radii: tuple[int, ...] = (2, 3, 4, 5, 6), size: int = 64) -> DataFrame:
-    """(y, x, v): the largest correlation with rings of several radii."""
+    """(z, y, x, v): the largest correlation with rings of several radii."""
     edge = max(radii) + 2
     y, x = np.mgrid[-edge : edge + 1, -edge : edge + 1]
     rings = [np.where(np.abs(np.hypot(y, x) - r) <= 0.75, -1.0, 1.0) for r in radii]
@@ -127,7 +130,7 @@ def vesicle_response(image: DataFrame, radii: tuple[int, ...] = (2, 3, 4, 5, 6),
 
 
 def network(image: DataFrame, layers: list[tuple[np.ndarray, np.ndarray]], head: tuple[np.ndarray, np.ndarray], size: int = 64) -> DataFrame:
-    """(y, x, v): probability of class 1 of each pixel by a convolutional net without pooling and a softmax layer."""
+    """(z, y, x, v): probability of class 1 of each pixel by a convolutional net without pooling and a softmax layer."""
     halo = sum(w.shape[2] // 2 for w, _ in layers)
 
     def run(a: np.ndarray) -> np.ndarray:
@@ -141,8 +144,8 @@ def network(image: DataFrame, layers: list[tuple[np.ndarray, np.ndarray]], head:
 
 
 def ensemble(parts: list[DataFrame]) -> DataFrame:
-    """(y, x, v): the mean over networks."""
+    """(z, y, x, v): the mean over networks."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("y", "x").agg(F.avg("v").alias("v"))
+    return out.groupBy("z", "y", "x").agg(F.avg("v").alias("v"))

@@ -2,86 +2,62 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import written
 
 
-def stable(pairs: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """(l1, l2): the stable matching that l1's propose, by overlap, the smaller id first on ties. pairs(l1, l2, ov).
+def matched(pairs: DataFrame, k: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, l1, l2): the stable matching with up to k partners on both sides that l1's propose. pairs(*by, l1, l2, ov).
 
-    Set-based rounds: every free l1 proposes to its best l2 that has not refused it, every l2 keeps its best proposal.
-    With strict preferences the result does not depend on the order of proposals. A round is one written table.
+    Both sides prefer the larger overlap, the smaller id first on ties. In a round every l1 proposes to the first k on
+    its list, and every l2 holds the best k of its proposers. Once an l2 holds k, pairs that it likes less than all of
+    them can never hold again and leave the table, so a round works on open pairs only. The rounds end when none leaves:
+    then every proposal is held. The outcome does not depend on an order of proposals.
     """
-    state = written(pairs.select("l1", "l2", "ov", F.lit(False).alias("refused")), "proposals")
-    mine = W.partitionBy("l1").orderBy(F.col("refused"), F.col("ov").desc(), "l2")
-    hers = W.partitionBy("l2").orderBy((~F.col("proposes")).cast("int"), F.col("ov").desc(), "l1")
-    for _ in range(max_rounds):
-        proposed = state.withColumn("proposes", (F.row_number().over(mine) == 1) & ~F.col("refused"))
-        judged = proposed.withColumn("now", F.col("proposes") & (F.row_number().over(hers) > 1))
-        state = written(judged.select("l1", "l2", "ov", (F.col("refused") | F.col("now")).alias("refused"), "proposes", "now"), "proposals")
-        if not state.where("now").limit(1).count():
-            return state.where("proposes and not now").select("l1", "l2")
-        state = state.select("l1", "l2", "ov", "refused")
-    raise RuntimeError("matching did not settle")
-
-
-def _engaged(pairs: list[tuple[int, int, int]], k: int) -> list[tuple[int, int]]:
-    """Several-partner matching of one block pair, proposers in ascending order, k rounds of proposals each."""
-    likes: dict[int, list[int]] = {}
-    rank: dict[int, dict[int, int]] = {}
-    for a, b, _ in sorted(pairs, key=lambda t: (-t[2], t[1])):
-        likes.setdefault(a, []).append(b)
-    for a, b, _ in sorted(pairs, key=lambda t: (-t[2], t[0])):
-        order = rank.setdefault(b, {})
-        order[a] = len(order)
-    held: dict[int, list[int]] = {}
-    queue = sorted(likes) * k
-    for a in iter(lambda: queue.pop(0) if queue else None, None):
-        if not likes[a]:
-            continue
-        b = likes[a].pop(0)
-        now = held.setdefault(b, [])
-        if not now or (len(now) < k and a not in now):
-            now.append(a)
-            continue
-        worse = next((c for c in now if rank[b][c] > rank[b][a]), None)
-        if worse is not None:
-            now[now.index(worse)] = a
-            now.append(now.pop(now.index(a)))
-            if likes[worse]:
-                queue.append(worse)
-        elif likes[a]:
-            queue.append(a)
-    return sorted((a, b) for b, those in held.items() for a in set(those))
+    likes = F.row_number().over(W.partitionBy(*by, "l1").orderBy(F.col("ov").desc(), "l2"))
+    liked = F.row_number().over(W.partitionBy(*by, "l2").orderBy(F.col("ov").desc(), "l1"))
+    live = written(pairs.select(*by, "l1", "l2", likes.alias("r1"), liked.alias("r2")), "open")
+    n = live.count()
+    while True:
+        proposed = live.withColumn("p", F.row_number().over(W.partitionBy(*by, "l1").orderBy("r1"))).where(F.col("p") <= k)
+        held = proposed.withColumn("h", F.row_number().over(W.partitionBy(*by, "l2").orderBy("r2"))).where(F.col("h") <= k)
+        worst = held.groupBy(*by, "l2").agg(F.max("r2").alias("worst"), F.count(F.lit(1)).alias("size")).where(F.col("size") == k).drop("size")
+        live = written(live.join(worst, [*by, "l2"], "left").where("worst is null or r2 <= worst").select(*by, "l1", "l2", "r1", "r2"), "open")
+        left = live.count()
+        if left == n:
+            return proposed.select(*by, "l1", "l2")
+        n = left
+
+
+def stable(pairs: DataFrame) -> DataFrame:
+    """(l1, l2): the stable matching of pairs(l1, l2, ov), one partner each."""
+    return matched(pairs)
 
 
 def polygamous(pairs: DataFrame, k: int, by: str = "pair") -> DataFrame:
-    """(by, l1, l2): up to k partners each, run in sequence within a block pair; a group is one block pair's overlaps."""
+    """(by, l1, l2): up to k partners each, every block pair for itself."""
+    return matched(pairs, k, (by,))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _engaged(list(zip(pdf["l1"].tolist(), pdf["l2"].tolist(), pdf["ov"].tolist())), k)
-        return pd.DataFrame({by: pdf[by].iloc[0], "l1": [a for a, _ in found], "l2": [b for _, b in found]}, columns=[by, "l1", "l2"])
 
-    return pairs.select(by, "l1", "l2", "ov").groupBy(by).applyInPandas(run, f"{by} long, l1 long, l2 long")
+def orphans(pairs: DataFrame, matched: DataFrame, total: float | None = None, least_overlap: float = 0.9, least_total: float = 0.001, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, l1, l2): each label's best partner that covers enough of it and of the slab, both ways, unless matched already.
 
-
-def orphans(pairs: DataFrame, matched: DataFrame, total: float, least_overlap: float = 0.9, least_total: float = 0.001) -> DataFrame:
-    """(l1, l2): each label's best partner that covers enough of it and of the slab, both ways, unless matched already.
-
-    pairs(l1, l2, ov, a1, a2).
+    pairs(*by, l1, l2, ov, a1, a2); the slab's size is total, or a column of that name.
     """
-    out = None
+    size, out = F.col("total") if total is None else F.lit(float(total)), None
     for own, other, area in (("l1", "l2", "a1"), ("l2", "l1", "a2")):
-        best = pairs.withColumn("r", F.row_number().over(W.partitionBy(own).orderBy(F.col("ov").desc(), other))).where("r = 1")
-        best = best.where((F.col("ov") / F.col(area) >= least_overlap) & (F.col("ov") / F.lit(float(total)) >= least_total)).select("l1", "l2")
+        best = pairs.withColumn("r", F.row_number().over(W.partitionBy(*by, own).orderBy(F.col("ov").desc(), other))).where("r = 1")
+        best = best.where((F.col("ov") / F.col(area) >= least_overlap) & (F.col("ov") / size >= least_total)).select(*by, "l1", "l2")
         out = best if out is None else out.unionByName(best)
-    return out.join(matched.select("l1", "l2"), ["l1", "l2"], "left_anti").distinct()
+    return out.join(matched.select(*by, "l1", "l2"), [*by, "l1", "l2"], "left_anti").distinct()
 
 
-def multimatch(pairs: DataFrame, total: float, k: int, least_partner: float = 0.001) -> DataFrame:
-    """(l1, l2): the live matcher: filter by share of the slab, k-partner matching, orphans."""
-    fit = pairs.where(F.col("ov") / F.lit(float(total)) >= least_partner)
-    engaged = polygamous(fit.withColumn("pair", F.lit(0).cast("long")), k).select("l1", "l2")
-    return engaged.unionByName(orphans(fit, engaged, total)).distinct()
+def multimatch(pairs: DataFrame, k: int, least_partner: float = 0.001, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, l1, l2): the live matcher, every block pair (by) for itself: filter by share of the slab, k-partner matching, orphans.
+
+    pairs(*by, l1, l2, ov, a1, a2, total), total being the pair's slab.
+    """
+    fit = pairs.where(F.col("ov") / F.col("total") >= least_partner)
+    engaged = matched(fit, k, by)
+    return engaged.unionByName(orphans(fit, engaged, by=by)).distinct()

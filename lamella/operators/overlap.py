@@ -50,21 +50,26 @@ def condensed(cells: DataFrame, label: str = "label", cell: str = "cell") -> Dat
     return shape.join(least, ["n", "h1", "h2", "h3"]).select(label, "kept")
 
 
-def dense_ids(labels: DataFrame, column: str, start: int = 1) -> DataFrame:
-    """(column, new): consecutive ids in ascending order of the distinct values.
+def numbered(df: DataFrame, order: list[str], out: str, start: int = 1) -> DataFrame:
+    """df with `out` (long): consecutive numbers in the order of columns that tell its rows apart.
 
-    Ranks are the position within a range-sorted part plus the sizes of the parts before, so no task sorts all values.
+    A number is the place within a range-sorted part plus the sizes of the parts before, so no task sorts all rows.
     """
     from pyspark.sql import Window as W
 
     from ..session import written
 
-    n = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = written(labels.select(column).distinct().repartitionByRange(n, column).withColumn("part", F.spark_partition_id()), "ranked")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = written(df.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), "ranked")
     sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     before = sizes.select("part", F.coalesce(F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    own = F.row_number().over(W.partitionBy("part").orderBy(column)) - 1
-    return parts.join(before, "part").select(column, (F.col("before") + own + start).cast("long").alias("new"))
+    own = F.row_number().over(W.partitionBy("part").orderBy(*order)) - 1
+    return parts.join(before, "part").select(*df.columns, (F.col("before") + own + start).cast("long").alias(out))
+
+
+def dense_ids(labels: DataFrame, column: str, start: int = 1) -> DataFrame:
+    """(column, new): consecutive ids in ascending order of the distinct values."""
+    return numbered(labels.select(column).distinct(), [column], "new", start)
 
 
 def dominant(pairs: DataFrame, key: str, partner: str, weight: str) -> DataFrame:

@@ -31,6 +31,19 @@ def sized(components: DataFrame, least: int) -> DataFrame:
     return components.join(big, "root").select("z", "y", "x", "root")
 
 
+def blank_regions(image: DataFrame, most: int, dust: int) -> DataFrame:
+    """(z, y, x, blank): 1 in components of zero pixels of more than `most` pixels, and in what they leave of less than `dust`.
+
+    image(z, y, x, pid, v); both are 4-connected components of a plane, pid being unique and positive.
+    """
+    size = lambda c: c.join(c.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root").select("z", "y", "x", "n")
+    zero = size(mask_components(image.where("v = 0").select("z", "y", "x", "pid"))).where(F.col("n") > most)
+    places = ["z", "y", "x"]
+    rest = image.join(zero.select(*places), places, "left_anti").select(*places, "pid")
+    kept = size(mask_components(rest)).where(F.col("n") >= dust).select(*places, F.lit(0).alias("kept"))
+    return image.join(kept, places, "left").select(*places, F.coalesce("kept", F.lit(1)).alias("blank"))
+
+
 def per_plane(image: DataFrame, run, schema: str) -> DataFrame:
     """run(array of the plane) -> dict of columns, on dense planes (z, y, x, v) in one task each."""
 
@@ -106,20 +119,20 @@ def euler_numbers(components: DataFrame) -> DataFrame:
     return near.groupBy("root").agg((F.count(F.lit(1)) - F.count_if(same("w")) - F.count_if(same("n")) + F.count_if(square)).alias("euler"))
 
 
-def local_maxima(image: DataFrame, radius: int = 1, smallest: bool = False) -> DataFrame:
-    """(y, x, v): pixels above (or below) all others of the square about them; equal ones count for none."""
-    around = box(image, radius, smallest)
-    return around.where("v = best and ties = 1").select("y", "x", "v")
+def local_maxima(image: DataFrame, radius: int = 1, smallest: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, y, x, v): pixels above (or below) all others of the square about them; equal ones count for none."""
+    around = box(image, radius, smallest, by)
+    return around.where("v = best and ties = 1").select(*by, "y", "x", "v")
 
 
-def box(image: DataFrame, radius: int, smallest: bool) -> DataFrame:
+def box(image: DataFrame, radius: int, smallest: bool, by: tuple[str, ...] = ()) -> DataFrame:
     """image with the extreme of the square about each pixel, and how often it occurs there."""
-    from .image import box_extreme
+    from .image import along, box_extreme
 
-    best = box_extreme(image, radius, not smallest, "v", "best")
+    best = box_extreme(image, radius, not smallest, "v", "best", by)
     # Count the extreme per row segment first, then over the rows of the square.
-    row = W.partitionBy("y").orderBy("x").rowsBetween(-radius, radius)
-    column = W.partitionBy("x").orderBy("y").rowsBetween(-radius, radius)
+    row = along("x", by).rowsBetween(-radius, radius)
+    column = along("y", by).rowsBetween(-radius, radius)
     pairs = best.withColumn("_near", F.collect_list("v").over(row)).withColumn("_all", F.flatten(F.collect_list("_near").over(column)))
     return pairs.withColumn("ties", F.size(F.filter("_all", lambda v: v == F.col("best")))).drop("_near", "_all")
 

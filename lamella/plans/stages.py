@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import fusion as FU, learn as L, overlap as O, regions as R, volume as V
+from ..operators import components as C, fusion as FU, image as I, learn as L, overlap as O, regions as R, volume as V
+from ..session import scratch, written
 from ..sources import readers as RD, writers as WR
 from .registry import IMG, VOX, img, query, table, vox
 
@@ -65,15 +66,15 @@ def s11_numeric_stack_order(spark, d):
     return table(spark, d, "part").select("p_partkey", F.row_number().over(W.orderBy(key.asc_nulls_last(), "p_partkey")).alias("z"))
 
 
-@query(f"WITH {COLOURS}, p AS (SELECT y, x, CASE WHEN r < 50 THEN 0 WHEN r < 130 THEN 255 ELSE r END AS r, CASE WHEN r < 50 THEN 255 ELSE 0 END AS g FROM c WHERE z = 0) SELECT y, x, (g = 255 AND r = 0)::INT AS cls FROM p WHERE (g = 255 AND r = 0) OR (r = 255 AND g = 0)")
+@query(f"WITH {COLOURS}, p AS (SELECT z, y, x, CASE WHEN r < 50 THEN 0 WHEN r < 130 THEN 255 ELSE r END AS r, CASE WHEN r < 50 THEN 255 ELSE 0 END AS g FROM c) SELECT z, y, x, (g = 255 AND r = 0)::INT AS cls FROM p WHERE (g = 255 AND r = 0) OR (r = 255 AND g = 0)")
 def s16_painted_labels(spark, d):
-    p = colours(spark, d).where("z = 0").select("y", "x", F.expr("case when r < 50 then 0 when r < 130 then 255 else r end").alias("r"), F.expr("case when r < 50 then 255 else 0 end").alias("g"), F.lit(0).alias("b"))
+    p = colours(spark, d).select("z", "y", "x", F.expr("case when r < 50 then 0 when r < 130 then 255 else r end").alias("r"), F.expr("case when r < 50 then 255 else 0 end").alias("g"), F.lit(0).alias("b"))
     return RD.painted_labels(p)
 
 
-@query(f"WITH {COLOURS} SELECT y, x, CASE WHEN r > g AND r > b THEN 1 WHEN g > r AND g > b THEN 2 ELSE 3 END AS cls FROM c WHERE z = 0 AND ((r > g AND r > b) OR (g > r AND g > b) OR (b > r AND b > g))")
+@query(f"WITH {COLOURS} SELECT z, y, x, CASE WHEN r > g AND r > b THEN 1 WHEN g > r AND g > b THEN 2 ELSE 3 END AS cls FROM c WHERE ((r > g AND r > b) OR (g > r AND g > b) OR (b > r AND b > g))")
 def s17_dominant_labels(spark, d):
-    return RD.dominant_labels(colours(spark, d).where("z = 0"))
+    return RD.dominant_labels(colours(spark, d))
 
 
 TILES = f"{VOX}, idx AS (SELECT DISTINCT label_a AS id, 0 AS w, x // 5 AS x, y // 5 AS y, z FROM vox WHERE label_a > 0)"
@@ -114,11 +115,11 @@ def k14_reassembled(spark, d):
     return V.reassembled(a.unionByName(b))
 
 
-MASK = f"RECURSIVE {VOX}, m AS (SELECT z, y, x, event_id + 1 AS pid FROM vox WHERE z < 2 AND p > 35), e AS (SELECT a.pid AS u, b.pid AS v FROM m a JOIN m b ON a.z = b.z AND abs(a.y - b.y) + abs(a.x - b.x) <= 1), r(u, t) AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.t), c AS (SELECT u, min(t) AS root FROM r GROUP BY u)"
+MASK = f"RECURSIVE {VOX}, m AS (SELECT z, y, x, event_id + 1 AS pid FROM vox WHERE p > 35), e AS (SELECT a.pid AS u, b.pid AS v FROM m a JOIN m b ON a.z = b.z AND abs(a.y - b.y) + abs(a.x - b.x) <= 1), r(u, t) AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.t), c AS (SELECT u, min(t) AS root FROM r GROUP BY u)"
 
 
 def mask(spark, d):
-    return vox(spark, d).where("z < 2 and p > 35").select("z", "y", "x", (F.col("event_id") + 1).alias("pid"))
+    return vox(spark, d).where("p > 35").select("z", "y", "x", (F.col("event_id") + 1).alias("pid"))
 
 
 @query(f"WITH {MASK} SELECT z, y, x, root FROM m JOIN c ON pid = u")
@@ -132,8 +133,8 @@ def g24_size_filter(spark, d):
     return R.sized(R.mask_components(mask(spark, d)), 6)
 
 
-def _p(spark, d, planes: int = 2):
-    return vox(spark, d).where(F.col("z") < planes).select("z", "y", "x", (F.least(F.col("p"), F.lit(100.0)) / 100).alias("v"))
+def _p(spark, d):
+    return vox(spark, d).select("z", "y", "x", (F.least(F.col("p"), F.lit(100.0)) / 100).alias("v"))
 
 
 @query()
@@ -148,12 +149,12 @@ def g20_watershed(spark, d):
 
 @query()
 def g18_graph_cut(spark, d):
-    return R.graph_cuts(_p(spark, d, 1), 0.2, 0.3)
+    return R.graph_cuts(_p(spark, d), 0.2, 0.3)
 
 
 @query()
 def g22_inpainting(spark, d):
-    return R.inpainted(vox(spark, d).where("z < 2").select("z", "y", "x", F.when(F.col("p") > 60, F.col("label_a")).otherwise(0).alias("v")), 3.0)
+    return R.inpainted(vox(spark, d).select("z", "y", "x", F.when(F.col("p") > 60, F.col("label_a")).otherwise(0).alias("v")), 3.0)
 
 
 @query(f"WITH {VOX}, s AS (SELECT * FROM (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) t(dy, dx)) SELECT a.z, a.y, a.x, a.label_a AS label FROM vox a, s LEFT JOIN vox b ON b.z = a.z AND b.y = a.y + dy AND b.x = a.x + dx WHERE a.label_a > 0 GROUP BY ALL HAVING count(*) FILTER (b.label_a = a.label_a) < 4")
@@ -200,9 +201,13 @@ def g17_overlap_owner(spark, d):
     return o.select("l1", "l2", F.when(F.col("ov") > 330, "join").when(F.col("f1") >= F.col("f2"), "first").otherwise("second").alias("takes"))
 
 
+#: Planes of a fusion block: as its links stay inside, no object through the whole stack meets in one task.
+DEPTH = 3
+
+
 def _candidates(spark, d):
     """Two candidates a plane: labels, and labels merged by twos; ids unique over planes and candidates."""
-    v = vox(spark, d).where("z < 3 and label_a > 0")
+    v = vox(spark, d).where("label_a > 0")
     one = v.select("z", "y", "x", (F.col("z") * 100 + F.col("label_a")).cast("long").alias("label"))
     two = v.select("z", "y", "x", (F.col("z") * 100 + 50 + F.floor((F.col("label_a") + 1) / 2)).cast("long").alias("label"))
     return one.unionByName(two)
@@ -213,31 +218,57 @@ def _fusion(spark, d):
     area = O.areas(c, "label")
     segments = area.select("label", "area", S.segment_worth(F.col("area")).alias("worth"))
     at = c.groupBy("z", "y", "x").agg(F.array_sort(F.collect_set("label")).alias("labels")).where(F.size("labels") > 1).select("labels").distinct()
-    sets = at.select(F.pmod(F.xxhash64("labels"), F.lit(1 << 40)).alias("set"), F.explode("labels").alias("label"))
+    sets = at.select((F.col("labels")[0] * 1000000 + F.col("labels")[1]).alias("set"), F.explode("labels").alias("label"))
     links = O.links(c, "label", 1).join(area.select(F.col("label").alias("l1"), F.col("area").alias("a1")), "l1").join(area.select(F.col("label").alias("l2"), F.col("area").alias("a2")), "l2")
-    links = links.where("ov > 0.3 * a1").select("l1", "l2", S.link_worth(F.col("a1"), F.col("a2"), F.col("ov"), F.col("dz")).alias("worth"))
-    return c, segments, sets, links
+    block = lambda c: F.floor(F.col(c) / (100 * DEPTH))
+    links = links.where("ov > 0.3 * a1").where(block("l1") == block("l2"))
+    return c, segments, sets, links.select("l1", "l2", S.link_worth(F.col("a1"), F.col("a2"), F.col("ov"), F.col("dz")).alias("worth"), S.link_worth_with_segments(F.col("a1"), F.col("a2"), F.col("ov")).alias("alone"))
+
+
+FUSION = f"""{VOX}, single AS (SELECT z, y, x, z * 100 + label_a AS a, z * 100 + 50 + (label_a + 1) // 2 AS b FROM vox WHERE label_a > 0),
+  cand AS (SELECT z, y, x, a AS label FROM single UNION ALL SELECT z, y, x, b FROM single), area AS (SELECT label, count(*) AS area FROM cand GROUP BY 1),
+  pairs AS (SELECT DISTINCT least(a, b) * 1000000 + greatest(a, b) AS set, a, b FROM single), sets AS (SELECT set, a AS label FROM pairs UNION ALL SELECT set, b FROM pairs),
+  ov AS (SELECT p.label AS l1, q.label AS l2, count(*) AS ov FROM cand p JOIN cand q ON q.z = p.z + 1 AND q.y = p.y AND q.x = p.x WHERE p.label // 300 = q.label // 300 GROUP BY ALL),
+  links AS (SELECT l1, l2, ov, m.area AS a1, n.area AS a2, 'l_' || l1 || '_' || l2 AS name FROM ov JOIN area m ON m.label = l1 JOIN area n ON n.label = l2 WHERE ov > 0.3 * m.area)"""
 
 
 @query()
 def m1_fusion(spark, d):
-    """Candidates, exclusions and links to a best selection; tests compare with all subsets."""
+    """Candidates, exclusions and links to a best selection, block by block; tests compare with all subsets."""
     c, segments, sets, links = _fusion(spark, d)
     return FU.fused(c, FU.solved(segments, sets, links), links)
 
 
-@query()
+@query(f"""WITH {FUSION} SELECT 's' || label AS name, 0.0::DOUBLE AS cost FROM area
+  UNION ALL SELECT name, round(ov / greatest(a1, a2) * pow(least(a1, a2), 0.9) + (pow(a1, 0.9) + pow(a2, 0.9)) / 2, 6) FROM links""")
+def m2_links_objective(spark, d):
+    """The links-only objective: segments are worth what their links bring."""
+    _, segments, sets, links = _fusion(spark, d)
+    objective, _ = FU.problem(*FU.links_only(segments, sets, links.withColumn("worth", F.col("alone"))))
+    return objective.select("name", F.round("cost", 6).alias("cost"))
+
+
+@query(f"WITH {FUSION} SELECT DISTINCT a.set, least(a.label, b.label) AS a, greatest(a.label, b.label) AS b FROM sets a JOIN sets b ON a.set = b.set AND a.label < b.label")
+def m2_pairwise_exclusions(spark, d):
+    return FU.pairwise(_fusion(spark, d)[2])
+
+
+@query(f"""WITH {FUSION} SELECT 'x' || set AS row, 's' || label AS name, 1.0::DOUBLE AS coef, '<=' AS sense, 1.0::DOUBLE AS rhs FROM sets
+  UNION ALL SELECT 'u' || l1, name, -1.0, '>=', 0.0 FROM links UNION ALL SELECT DISTINCT 'u' || l1, 's' || l1, 1.0, '>=', 0.0 FROM links
+  UNION ALL SELECT 'd' || l2, name, -1.0, '>=', 0.0 FROM links UNION ALL SELECT DISTINCT 'd' || l2, 's' || l2, 1.0, '>=', 0.0 FROM links""")
 def m3_problem_rows(spark, d):
     _, segments, sets, links = _fusion(spark, d)
     return FU.problem(segments, sets, links)[1]
 
 
-@query()
+@query(f"""WITH {FUSION} SELECT 'u' || l1 AS row, name, 1.0::DOUBLE AS coef, '<=' AS sense, 0.0::DOUBLE AS rhs FROM links UNION ALL SELECT 'u' || l1, 's' || l1, -least(count(*), 2), '<=', 0.0 FROM links GROUP BY l1
+  UNION ALL SELECT 'd' || l2, name, 1.0, '<=', 0.0 FROM links UNION ALL SELECT 'd' || l2, 's' || l2, -least(count(*), 2), '<=', 0.0 FROM links GROUP BY l2""")
 def m4_branching_rows(spark, d):
     return FU.branching_rows(_fusion(spark, d)[3], 2)
 
 
-@query()
+@query(f"""WITH {FUSION} SELECT 'z' || l1 AS row, name, a2::DOUBLE AS coef, '>=' AS sense, 0.0::DOUBLE AS rhs FROM links
+  UNION ALL SELECT DISTINCT 'z' || l1, 's' || l1, -(a1 - 5.0)::DOUBLE, '>=', 0.0 FROM links""")
 def m5_label_loss_rows(spark, d):
     _, segments, _, links = _fusion(spark, d)
     return FU.label_loss_rows(segments, links, 5.0)
@@ -255,29 +286,35 @@ def f14_forest_votes(spark, d):
 
 
 def _samples(spark, d):
-    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.transform(F.slice("embedding", 1, 16), lambda v: v.cast("double")).alias("f"), (F.col("label") % 2).cast("int").alias("cls"), F.col("embedding")[20].cast("double").alias("t"))
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda v: v.cast("double")).alias("f"), (F.col("label") % 2).cast("int").alias("cls"), F.col("embedding")[20].cast("double").alias("t"))
+
+
+def _stored_samples(spark, d):
+    """The samples as a written table: the learners and the prediction read it, and no plan grows with their rounds."""
+    return written(_samples(spark, d), "samples")
 
 
 @query()
 def f10_boosted_stumps(spark, d):
-    s = _samples(spark, d)
+    s = _stored_samples(spark, d)
     return L.predicted(L.train_boosting(s, rounds=5), s)
 
 
 @query()
 def f12_random_forest(spark, d):
-    s = _samples(spark, d)
+    s = _stored_samples(spark, d)
     return L.predicted(L.train_forest(s, trees=8, depth=5), s)
 
 
 @query()
 def f16_forest_regression(spark, d):
-    s = _samples(spark, d)
+    s = _stored_samples(spark, d)
     return L.predicted(L.train_regression(s, "t", trees=8, depth=5), s)
 
 
 def _small(spark, d):
-    return img(spark, d).where("y < 64").select("y", "x", "v")
+    """All rows of the image, as a stack of planes of 64 rows."""
+    return img(spark, d).select(F.floor(F.col("y") / 64).cast("int").alias("z"), (F.col("y") % 64).alias("y"), "x", "v")
 
 
 @query()
@@ -312,17 +349,17 @@ def g12_euler_numbers(spark, d):
     return R.euler_numbers(R.mask_components(mask(spark, d)))
 
 
-@query(f"WITH {IMG}, i AS (SELECT y, x, v FROM img WHERE y < 64) SELECT a.y, a.x, round(a.v, 7) AS v FROM i a JOIN i b ON b.y BETWEEN a.y - 1 AND a.y + 1 AND b.x BETWEEN a.x - 1 AND a.x + 1 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.y, a.x, a.v HAVING max(b.v) < a.v")
+@query(f"WITH {IMG}, i AS (SELECT y // 64 AS z, (y % 64)::INT AS y, x, v FROM img) SELECT a.z, a.y, a.x, round(a.v, 7) AS v FROM i a JOIN i b ON b.z = a.z AND b.y BETWEEN a.y - 1 AND a.y + 1 AND b.x BETWEEN a.x - 1 AND a.x + 1 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.z, a.y, a.x, a.v HAVING max(b.v) < a.v")
 def w17_local_maxima(spark, d):
-    return R.local_maxima(_small(spark, d)).select("y", "x", F.round("v", 7).alias("v"))
+    return R.local_maxima(_small(spark, d), by=("z",)).select("z", "y", "x", F.round("v", 7).alias("v"))
 
 
-@query(f"WITH {IMG}, i AS (SELECT y, x, v FROM img WHERE y < 64) SELECT a.y, a.x, round(a.v, 7) AS v FROM i a JOIN i b ON b.y BETWEEN a.y - 2 AND a.y + 2 AND b.x BETWEEN a.x - 2 AND a.x + 2 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.y, a.x, a.v HAVING min(b.v) > a.v")
+@query(f"WITH {IMG}, i AS (SELECT y // 64 AS z, (y % 64)::INT AS y, x, v FROM img) SELECT a.z, a.y, a.x, round(a.v, 7) AS v FROM i a JOIN i b ON b.z = a.z AND b.y BETWEEN a.y - 2 AND a.y + 2 AND b.x BETWEEN a.x - 2 AND a.x + 2 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.z, a.y, a.x, a.v HAVING min(b.v) > a.v")
 def w12_regional_minima(spark, d):
-    return R.local_maxima(_small(spark, d), 2, smallest=True).select("y", "x", F.round("v", 7).alias("v"))
+    return R.local_maxima(_small(spark, d), 2, smallest=True, by=("z",)).select("z", "y", "x", F.round("v", 7).alias("v"))
 
 
-@query(f"WITH {VOX}, q AS (SELECT z, y, x, 2 * (least(p, 100) / 100 - 0.3) AS d, 0.1 * ((x > 0)::INT + (x < 19)::INT + (y > 0)::INT + (y < 19)::INT) AS l FROM vox WHERE z < 2) SELECT z, y, x, CASE WHEN d > l THEN 1 WHEN -d > l THEN 0 END AS fixed FROM q")
+@query(f"WITH {VOX}, q AS (SELECT z, y, x, 2 * (least(p, 100) / 100 - 0.3) AS d, 0.1 * ((lag(x) OVER wx IS NOT NULL)::INT + (lead(x) OVER wx IS NOT NULL)::INT + (lag(y) OVER wy IS NOT NULL)::INT + (lead(y) OVER wy IS NOT NULL)::INT) AS l FROM vox WINDOW wx AS (PARTITION BY z, y ORDER BY x), wy AS (PARTITION BY z, x ORDER BY y)) SELECT z, y, x, CASE WHEN d > l THEN 1 WHEN -d > l THEN 0 END AS fixed FROM q")
 def g19_saturated_nodes(spark, d):
     return R.saturated(_p(spark, d), 0.1, 0.3)
 
@@ -330,12 +367,12 @@ def g19_saturated_nodes(spark, d):
 @query()
 def g23_thinned(spark, d):
     """Labels grow over thin boundaries and into the background."""
-    return R.grown(vox(spark, d).where("z < 2").select("z", "y", "x", F.when(F.col("p") > 40, F.col("label_a")).otherwise(0).alias("v")))
+    return R.grown(vox(spark, d).select("z", "y", "x", F.when(F.col("p") > 40, F.col("label_a")).otherwise(0).alias("v")))
 
 
 @query()
 def g21_region_growing(spark, d):
-    v = vox(spark, d).where("z < 2")
+    v = vox(spark, d)
     a, b = (v.select("z", "y", "x", F.col(c).alias("label")) for c in ("label_a", "label_b"))
     return R.reconciled(a, b, O.aligned(a, b).where("ov > 25").select("l1", "l2"))
 
@@ -355,3 +392,72 @@ def g15_cube_matrix(spark, d):
 def m6_diversified_solutions(spark, d):
     _, segments, sets, links = _fusion(spark, d)
     return FU.diversified(segments, sets, links)
+
+
+CHAINS = "p AS (SELECT o_custkey AS hi, min(o_orderkey % nullif(o_custkey, 0)) AS lo FROM orders WHERE o_orderkey % nullif(o_custkey, 0) > 0 GROUP BY 1)"
+
+
+@query(f"WITH RECURSIVE {CHAINS}, r(id, root) AS (SELECT hi, lo FROM p UNION ALL SELECT r.id, p.lo FROM r JOIN p ON p.hi = r.root) SELECT id, min(root) AS root FROM r GROUP BY 1")
+def g4_chain_resolution(spark, d):
+    o = table(spark, d, "orders")
+    return C.chains(o.select(F.col("o_custkey").alias("hi"), F.try_mod("o_orderkey", "o_custkey").alias("lo")))
+
+
+def _deciles():
+    k = I.kernel(1.5, 4)
+    weights = ", ".join(f"({j}, {w!r}::DOUBLE)" for j, w in zip(range(-4, 5), k))
+    at = lambda c, last: f"(CASE WHEN a.{c} + k < 0 THEN -(a.{c} + k) WHEN a.{c} + k > {last} THEN 2 * {last} - (a.{c} + k) ELSE a.{c} + k END)"
+    masks = ", ".join(f"(v >= {i / 10} AND v < {(i + 1) / 10})::INT AS h{i}" for i in range(10))
+    sums = ", ".join(f"sum(w * b.h{i}) AS h{i}" for i in range(10))
+    out = ", ".join(f"round(h{i}, 6) AS h{i}" for i in range(10))
+    return f"""WITH {IMG}, t(k, w) AS (VALUES {weights}), m AS (SELECT y // 64 AS z, (y % 64)::INT AS y, x, max(y % 64) OVER (PARTITION BY y // 64) AS ly, {masks} FROM (SELECT y, x, (v + 1) / 2 AS v FROM img)),
+  p AS (SELECT a.z, a.y, a.x, a.ly, {sums} FROM m a, t JOIN m b ON b.z = a.z AND b.y = a.y AND b.x = {at("x", "63")} GROUP BY ALL),
+  q AS (SELECT a.z, a.y, a.x, {sums} FROM p a, t JOIN p b ON b.z = a.z AND b.x = a.x AND b.y = {at("y", "a.ly")} GROUP BY ALL) SELECT z, y, x, {out} FROM q"""
+
+
+@query(_deciles())
+def a16_smoothed_decile_counts(spark, d):
+    image = _small(spark, d).withColumn("v", (F.col("v") + 1) / 2)
+    return I.decile_counts(image, 1.5, 4, ("z",)).select("z", "y", "x", *[F.round(f"h{i}", 6).alias(f"h{i}") for i in range(10)])
+
+
+BLANK = f"""RECURSIVE {VOX}, m AS (SELECT z, y, x, event_id + 1 AS pid, p <= 35 AS zero FROM vox), e AS (SELECT a.pid AS u, b.pid AS v FROM m a JOIN m b ON a.z = b.z AND a.zero = b.zero AND abs(a.y - b.y) + abs(a.x - b.x) <= 1),
+  r(u, t) AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.t), c AS (SELECT u, min(t) AS root FROM r GROUP BY u), n AS (SELECT root, count(*) AS n FROM c GROUP BY 1), s AS (SELECT m.*, n FROM m JOIN c ON pid = u JOIN n USING (root)),
+  b AS (SELECT z, y, x, pid, zero AND n > 12 AS blank FROM s), e2 AS (SELECT a.pid AS u, b.pid AS v FROM b a JOIN b b ON a.z = b.z AND NOT a.blank AND NOT b.blank AND abs(a.y - b.y) + abs(a.x - b.x) <= 1),
+  r2(u, t) AS (SELECT u, v FROM e2 UNION SELECT r2.u, e2.v FROM r2 JOIN e2 ON e2.u = r2.t), c2 AS (SELECT u, min(t) AS root FROM r2 GROUP BY u), n2 AS (SELECT root, count(*) AS n FROM c2 GROUP BY 1)"""
+
+
+@query(f"WITH {BLANK} SELECT z, y, x, CASE WHEN blank OR n2.n < 6 THEN 1 ELSE 0 END AS blank FROM b LEFT JOIN c2 ON pid = u LEFT JOIN n2 USING (root)")
+def p39_blank_regions(spark, d):
+    """Values up to 35 stand for zero intensity."""
+    v = vox(spark, d).select("z", "y", "x", (F.col("event_id") + 1).alias("pid"), F.when(F.col("p") <= 35, 0).otherwise(F.col("p")).alias("v"))
+    return R.blank_regions(v, 12, 6)
+
+
+@query(f"WITH {FUSION} SELECT z, y, x, (label // 100)::BIGINT AS seglabel, label FROM cand WHERE label % 100 < 50")
+def k5_fused_sink(spark, d):
+    """Labels of segments and of objects side by side, written as one table and read again."""
+    c = _candidates(spark, d).where("label % 100 < 50")
+    fused = c.withColumn("seglabel", F.floor(F.col("label") / 100))
+    return WR.commit(WR.fused(fused, "seglabel", "label"), f"{scratch(spark, 'fused')}")
+
+
+@query(f"WITH {VOX}, pair AS (SELECT label_a AS a, label_b + 100 AS b, count(*) AS ov FROM vox WHERE label_a > 0 GROUP BY ALL) SELECT a, b FROM pair WHERE ov > 20 UNION ALL SELECT a, b FROM pair WHERE ov > 30")
+def k6_matched_pair_sink(spark, d):
+    """Two block pairs, one after the other, append to one merge table."""
+    v = vox(spark, d).where("label_a > 0")
+    pair = v.groupBy(F.col("label_a").alias("a"), (F.col("label_b") + 100).alias("b")).agg(F.count(F.lit(1)).alias("ov"))
+    folder = scratch(spark, "pairs")
+    for number, least in enumerate((20, 30)):
+        WR.matched_pair(v.select("z", "y", "x", F.col("label_a").alias("label")), v.select("z", "y", "x", (F.col("label_b") + 100).alias("label")), pair.where(F.col("ov") > least).select("a", "b"), folder, number)
+    return WR.merge_table(spark, folder)
+
+
+@query(f"WITH {VOX} SELECT z, list(label_a ORDER BY y, x)::VARCHAR AS row FROM vox GROUP BY z")
+def k12_compressed_stack(spark, d):
+    """Planes as runs of equal labels, written, read and unpacked."""
+    path = scratch(spark, "stack")
+    WR.commit(WR.compressed(vox(spark, d), "label_a"), path)
+    back = RD.expanded(spark.read.parquet(path))
+    row = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "label"))), lambda t: t["label"].cast("string"))
+    return back.groupBy("z").agg(F.concat(F.lit("["), F.array_join(row, ", "), F.lit("]")).alias("row"))

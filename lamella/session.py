@@ -16,16 +16,22 @@ def session(name: str = "lamella", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where none is set (one machine), a folder under /tmp/checkpoints."""
+    """spark.checkpoint.dir of the session; where none is set, a folder under /tmp/checkpoints, but only on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/lamella/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written in the shared folder and read back: short lineage that survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/lamella/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import digits_key, dominant_channel, packed_colour
+from ..schema import assert_schema, schema_of
 
 
 def image_list(spark: SparkSession, path: str) -> DataFrame:
@@ -94,14 +95,14 @@ def stumps(spark: SparkSession, path: str) -> DataFrame:
 
 
 def painted_labels(df: DataFrame) -> DataFrame:
-    """(y, x, cls): pure green is 1, pure red is 0; other pixels carry no label."""
+    """(z, y, x, cls): pure green is 1, pure red is 0; other pixels carry no label."""
     green, red = "g = 255 and r = 0 and b = 0", "r = 255 and g = 0 and b = 0"
-    return df.where(f"({green}) or ({red})").select("y", "x", F.expr(f"cast(({green}) as int)").alias("cls"))
+    return df.where(f"({green}) or ({red})").select("z", "y", "x", F.expr(f"cast(({green}) as int)").alias("cls"))
 
 
 def dominant_labels(df: DataFrame) -> DataFrame:
     cls = dominant_channel(F.col("r"), F.col("g"), F.col("b"))
-    return df.select("y", "x", cls.alias("cls")).where("cls > 0")
+    return df.select("z", "y", "x", cls.alias("cls")).where("cls > 0")
 
 
 def tiles_of(spark: SparkSession, index: DataFrame, w: int, label: int, planes: list[int]) -> DataFrame:
@@ -117,3 +118,36 @@ def sift_frames(spark: SparkSession, path: str) -> DataFrame:
     at = (F.lit(3) + F.col("frame") * (F.col("len") + 4)).cast("int")
     part = frames.select("frame", F.transform(F.slice("n", at, F.col("len") + 4), lambda s: s.cast("double")).alias("v"), "len")
     return part.select("frame", *[F.col("v")[i].alias(c) for i, c in enumerate(("y", "x", "sigma", "theta"))], F.slice("v", F.lit(5), F.col("len")).alias("descriptor"))
+
+
+def expanded(runs: DataFrame) -> DataFrame:
+    """(z, y, x, label) of runs (z, y, x, n, label) along x: the inverse of writers.compressed."""
+    return runs.withColumn("x", F.explode(F.sequence(F.col("x"), F.col("x") + F.col("n") - 1))).select("z", "y", "x", "label")
+
+
+def forest(spark: SparkSession, path: str) -> DataFrame:
+    """The node table of a forest that writers.forest_text wrote."""
+    return assert_schema(spark.read.schema(schema_of("forest")).json(path), "forest")
+
+
+def boosted_xml(path: str) -> list[tuple[int, float, float, float]]:
+    """(feature, threshold, value up to it, value above it) of the stumps of a boosting model in OpenCV's XML.
+
+    Trees are <_> elements below <trees>, their <nodes> a root with <splits> and two leaves with <value>. The file is one
+    model, so it is read on the driver.
+    """
+    import xml.etree.ElementTree as ET
+
+    out = []
+    for nodes in ET.parse(path).getroot().iter("nodes"):
+        split = nodes.find(".//splits/_")
+        if split is None:
+            continue
+        leaves = [n for n in nodes if n.find("splits") is None]
+        low, high = (float(n.findtext("value")) for n in leaves[:2])
+        if split.findtext("le") is not None:
+            threshold = float(split.findtext("le"))
+        else:  # the comparison may be given the other way round
+            threshold, low, high = float(split.findtext("gt")), high, low
+        out.append((int(split.findtext("var")), threshold, low, high))
+    return out

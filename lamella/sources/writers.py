@@ -2,17 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..schema import assert_schema
 
 
 def commit(df: DataFrame, path: str, name: str | None = None, by: list[str] | None = None) -> DataFrame:
-    """Writes df by Spark's commit protocol (a failed job leaves no table), reads it back and checks its schema."""
-    writer = df.write.mode("overwrite").option("compression", "zstd")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    return assert_schema(back, name) if name else back
+    """Writes df beside path, reads it back and checks its schema, and only then puts it in the place of what was there.
+
+    A failure before the switch leaves the old table untouched.
+    """
+    spark = df.sparkSession
+    partial = f"{path.rstrip('/')}_partial-{uuid.uuid4().hex}"
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*by) if by else writer).parquet(partial)
+    back = spark.read.schema(df.schema).parquet(partial)
+    if name:
+        assert_schema(back, name)
+    back.limit(1).collect()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(partial), hadoop.Path(path)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {partial} to {path}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fused(df: DataFrame, segment: str, label: str) -> DataFrame:
+    """(z, y, x, seglabel, label): the segment's and the object's label of a voxel, in one table."""
+    return df.select("z", "y", "x", F.col(segment).alias("seglabel"), F.col(label).alias("label"))
+
+
+def matched_pair(first: DataFrame, second: DataFrame, merges: DataFrame, folder: str, number: int) -> None:
+    """Writes the two blocks of a pair, (z, y, x, label), and its part of the merge table, all under the pair's number.
+
+    A pair that is written again replaces itself, so the merge table never holds its merges twice.
+    """
+    for side, block in (("first", first), ("second", second)):
+        commit(block.select("z", "y", "x", "label"), f"{folder}/blocks/pair={number}/side={side}")
+    commit(merges.select("a", "b"), f"{folder}/merges/pair={number}")
+
+
+def merge_table(spark: SparkSession, folder: str) -> DataFrame:
+    """(a, b): the merges of all pairs."""
+    return spark.read.parquet(f"{folder}/merges").select("a", "b")
+
+
+def compressed(df: DataFrame, label: str) -> DataFrame:
+    """(z, y, x, n, label): runs of equal labels along x."""
+    line = W.partitionBy("z", "y").orderBy("x")
+    begins = (F.coalesce(F.lag(label).over(line) != F.col(label), F.lit(True)) | (F.lag("x").over(line) + 1 != F.col("x"))).cast("int")
+    run = df.select("z", "y", "x", F.col(label).alias("label"), begins.alias("b"))
+    run = run.withColumn("k", F.sum("b").over(line.rowsBetween(W.unboundedPreceding, 0)))
+    return run.groupBy("z", "y", "k", "label").agg(F.min("x").alias("x"), F.count(F.lit(1)).cast("int").alias("n")).select("z", "y", "x", "n", "label")
+
+
+def label_plane(df: DataFrame, z: int, label: str = "label") -> DataFrame:
+    """(y, x, label): a plane of the stack; the predicate reaches the scan."""
+    return df.where(F.col("z") == z).select("y", "x", F.col(label).alias("label"))
+
+
+def forest_text(forest: DataFrame, path: str) -> None:
+    """A forest or stumps as a table of nodes, a line of JSON each (see sources.readers.forest)."""
+    forest.write.mode("overwrite").json(path)
 
 
 def probabilities(df: DataFrame, p: str) -> DataFrame:

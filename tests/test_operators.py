@@ -81,9 +81,30 @@ def test_stable_match_has_no_blocking_pair(spark, data):
         assert not (better_a and better_b) or (a, b) in mate
 
 
-def test_polygamous_gives_at_most_k(spark, data):
-    got = M.polygamous(dense_pairs(spark, data).withColumn("pair", F.lit(0).cast("long")), 2).collect()
-    assert max(sum(1 for r in got if r.l2 == b) for b in {r.l2 for r in got}) <= 2
+def accepted(ov, k):
+    """Deferred acceptance with quotas, one proposal at a time."""
+    likes = {a: sorted((b for x, b in ov if x == a), key=lambda b: (-ov[a, b], b)) for a, _ in ov}
+    held = {}
+    again = True
+    while again:
+        again = False
+        for a in likes:
+            while likes[a] and sum(a in h for h in held.values()) < k:
+                b = likes[a].pop(0)
+                held.setdefault(b, []).append(a)
+                held[b].sort(key=lambda x: (-ov[x, b], x))
+                del held[b][k:]
+                again = True
+    return {(a, b) for b, h in held.items() for a in h}
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_matching_with_quotas(spark, k):
+    rng = random.Random(k)
+    ov = {(g, a, b): rng.randint(1, 9) for g in range(3) for a in range(9) for b in range(7) if rng.random() < 0.5}
+    pairs = spark.createDataFrame([(g, a, b, n) for (g, a, b), n in ov.items()], "pair long, l1 long, l2 long, ov long")
+    got = {tuple(r) for r in M.polygamous(pairs, k).collect()}
+    assert got == {(g, a, b) for g in range(3) for a, b in accepted({(a, b): n for (h, a, b), n in ov.items() if h == g}, k)}
 
 
 def test_evaluation_good_region(spark):
@@ -225,16 +246,19 @@ def test_fusion_equals_all_subsets():
             for c in itertools.combinations(range(n), k):
                 if any(s <= set(c) for s in sets):
                     continue
-                total, up, down = sum(worth[i] for i in c), set(), set()
-                for a, b, w in sorted(links, key=lambda t: (-t[2], t[0], t[1])):
-                    if a in c and b in c and a not in up and b not in down:
-                        total += w
-                        up.add(a)
-                        down.add(b)
+                own = [l for l in links if l[0] in c and l[1] in c]
+                total = sum(worth[i] for i in c) + max(
+                    sum(w for *_, w in pick) for m in range(len(own) + 1) for pick in itertools.combinations(own, m) if len({a for a, *_ in pick}) == len({b for _, b, _ in pick}) == m
+                )
                 best = max(best, total)
         assert value == pytest.approx(best) and not any(s <= set(chosen) for s in sets)
 
 
+def test_fusion_of_many_free_segments():
+    value, chosen = KN.best_selection([1.0] * 1200, [{0, 1}], [(i, i + 1, 0.5) for i in range(2, 40)])
+    assert len(chosen) == 1199 and abs(value - (1199 + 19.0)) < 1e-9 or abs(value - (1199 + 38 * 0.5)) < 1e-9
+
+
 def test_fusion_respects_exclusions(spark):
     segments = spark.createDataFrame([(1, 10, 5.0), (2, 10, 4.0), (3, 10, 3.0)], "label long, area long, worth double")
     sets = spark.createDataFrame([(1, 1), (1, 2)], "set long, label long")
@@ -253,12 +277,12 @@ def test_stumps_must_find_their_feature(spark):
 def test_tiles_equal_the_whole_image(spark):
     rng = np.random.default_rng(0)
     a = rng.random((20, 23))
-    rows = [(int(y), int(x), float(a[y, x])) for y in range(20) for x in range(23)]
+    rows = [(z, int(y), int(x), float(a[y, x])) for z in (0, 5) for y in range(20) for x in range(23)]
     run = lambda t: t + np.roll(t, 1, 0) + np.roll(t, 1, 1)
-    got = L.on_tiles(spark.createDataFrame(rows, "y int, x int, v double"), 8, 1, run).collect()
+    got = L.on_tiles(spark.createDataFrame(rows, "z int, y int, x int, v double"), 8, 1, run).collect()
     padded = np.pad(a, 1, "symmetric")
     want = run(padded)[1:-1, 1:-1]
-    assert len(got) == a.size and all(abs(r.v - want[r.y, r.x]) < 1e-12 for r in got)
+    assert len(got) == 2 * a.size and {r.z for r in got} == {0, 5} and all(abs(r.v - want[r.y, r.x]) < 1e-12 for r in got)
 
 
 def test_schema_check(spark):

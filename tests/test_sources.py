@@ -55,3 +55,30 @@ def test_slabs_as_they_arrive(spark, tmp_path):
     from lamella.operators.components import global_map
 
     assert {r.old: r.new for r in global_map(merges).collect()} == {0: 0, 1: 1, 11: 1, 21: 1}
+
+
+def test_commit_keeps_the_old_table_on_failure(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.commit(spark.createDataFrame([(1, 2)], "a long, b long"), path, "merges")
+    broken = spark.range(3).select(F.col("id").alias("a"), F.expr("if(id = 2, cast(raise_error('lost') as long), id)").alias("b"))
+    try:
+        writers.commit(broken, path, "merges")
+        raise AssertionError("no error")
+    except Exception as error:
+        assert "lost" in str(error)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(1, 2)]
+
+
+def test_models(spark, tmp_path):
+    nodes = [(1, 1, 1, 2, 0.5, 2, 3, 0), (1, 2, -1, 0, 0.0, 0, 0, 1), (1, 3, -1, 0, 0.0, 0, 0, 2)]
+    forest = spark.createDataFrame(nodes, "tree int, node int, status int, feature int, thr double, left int, right int, cls int")
+    writers.forest_text(forest, str(tmp_path / "f"))
+    assert sorted(map(tuple, readers.forest(spark, str(tmp_path / "f")).collect())) == nodes
+    tree = "<_><nodes><_><splits><_><var>{v}</var><quality>1</quality><{op}>{t}</{op}></_></splits></_><_><value>{a}</value></_><_><value>{b}</value></_></nodes></_>"
+    (tmp_path / "m.xml").write_text("<opencv_storage><m><trees>" + tree.format(v=3, op="le", t=0.25, a=-1, b=2) + tree.format(v=4, op="gt", t=7, a=5, b=6) + "</trees></m></opencv_storage>")
+    assert readers.boosted_xml(str(tmp_path / "m.xml")) == [(3, 0.25, -1.0, 2.0), (4, 7.0, 6.0, 5.0)]
+
+
+def test_label_plane(spark):
+    df = spark.createDataFrame([(0, 0, 0, 5), (1, 0, 0, 6)], "z int, y int, x int, label long")
+    assert [tuple(r) for r in writers.label_plane(df, 1).collect()] == [(0, 0, 6)]
