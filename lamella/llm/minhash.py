@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K
-from .common import restricted, stored
+from .common import restricted, small_side, stored
 from .components import components
 
 
@@ -207,11 +207,21 @@ def _pairs(members: DataFrame, stars: DataFrame) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
-def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """members(bucket, rep) with their component, of buckets of several components, stored."""
-    placed = members.join(roots, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    return stored(placed.join(mixed, "bucket"), "open")
+def _open(stars: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """(bucket, rep, component) of the members of the large buckets in stars(bucket, rep, pivot) that lie in several
+    components, stored; None if there are none.
+
+    The pairs with a pivot are looked at first, each once whatever the number of buckets that two sets share.
+    """
+    own = lambda c, out: roots.select(F.col("node").alias(c), F.col("component").alias(out))
+    pairs = stars.where("rep <> pivot").select("rep", "pivot").distinct()
+    apart = pairs.join(own("rep", "c"), "rep", "left").join(own("pivot", "d"), "pivot", "left").where(F.coalesce("c", "rep") != F.coalesce("d", "pivot"))
+    apart = stored(apart.select("rep", "pivot"), "apart")
+    if apart.isEmpty():
+        return None
+    buckets = stored(stars.join(small_side(apart), ["rep", "pivot"], "left_semi").select("bucket").distinct(), "mixed")
+    members = stars.select("bucket", "rep").join(small_side(buckets), "bucket", "left_semi")
+    return stored(members.join(own("rep", "c"), "rep", "left").select("bucket", "rep", F.coalesce("c", "rep").alias("component")), "open")
 
 
 def _merged(links: DataFrame, roots: DataFrame) -> DataFrame:
@@ -239,8 +249,8 @@ def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Cal
     members = stored(again.join(mixed, "bucket"), "finer")
     stars = _stars(members)
     roots = _merged(stored(_compared(_pairs(members, stars), signed, lambda ids: sets, percent, how), "links"), roots)
-    left = _open(stars.select("bucket", "rep"), roots)
-    if left.isEmpty():
+    left = _open(stars, roots)
+    if left is None:
         return roots
     return _merged(_block_links(left, sets, signed, percent, how), roots)
 
@@ -274,8 +284,8 @@ def linked_components(signed: DataFrame, with_sets: Callable[[DataFrame], DataFr
     members = _shared(signed.select("rep", "minima").mapInArrow(_unpacked(how), "bucket long, rep long"))
     stars = _stars(members)
     roots = components(_compared(_pairs(members, stars), signed, with_sets, percent, how))
-    open_ = _open(stars.select("bucket", "rep"), roots)
-    return roots if open_.isEmpty() else _finer(open_, roots, signed, with_sets, percent, how)
+    open_ = _open(stars, roots)
+    return roots if open_ is None else _finer(open_, roots, signed, with_sets, percent, how)
 
 
 def _keyed_sets(k: int):
