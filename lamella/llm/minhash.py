@@ -116,14 +116,15 @@ def _unpacked(how: Banding):
 
 
 def _unpacked_sets(how: Banding):
-    """(rep, shingles) -> (bucket, rep), a row for each band of the set's minima."""
+    """(rep, component, shingles) -> (bucket, rep, component), a row for each band of the set's minima."""
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                keys = bands(signatures(_arrays(part.column(1)), how.hashes), how.rows)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), keys.shape[1]))], names=["bucket", "rep"])
+                keys = bands(signatures(_arrays(part.column(2)), how.hashes), how.rows)
+                rep, component = (pa.array(np.repeat(part.column(c).to_numpy(), keys.shape[1])) for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), rep, component], names=["bucket", "rep", "component"])
 
     return run
 
@@ -242,11 +243,10 @@ def _compared(pairs: DataFrame, signed: DataFrame, sets_of: Callable[[DataFrame]
 def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame:
     """roots after members of large buckets that lie in several components have been banded again and compared."""
     sets = with_sets(open_.select("rep"))
-    slots = sets.mapInArrow(_unpacked_sets(FINER), "bucket long, rep long")
-    places = open_.select("rep", "component").distinct()
-    again = _shared(slots.join(places, "rep")).drop("size")
-    mixed = again.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
-    members = stored(again.join(mixed, "bucket"), "finer")
+    placed = sets.join(open_.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
+    slots = stored(placed.mapInArrow(_unpacked_sets(FINER), "bucket long, rep long, component long"), "slots")
+    mixed = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
+    members = stored(slots.join(mixed, "bucket"), "finer")
     stars = _stars(members)
     roots = _merged(stored(_compared(_pairs(members, stars), signed, lambda ids: sets, percent, how), "links"), roots)
     left = _open(stars, roots)
