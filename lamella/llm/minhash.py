@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import kernels as K
 from .common import restricted, small_side, stored
@@ -193,7 +193,7 @@ def _shared(slots: DataFrame) -> DataFrame:
 def _stars(members: DataFrame) -> DataFrame:
     """(bucket, rep, pivot) of the large buckets: their most central member."""
     large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep")
-    central = large.join(large.groupBy("rep").agg(F.count(F.lit(1)).alias("c")), "rep")
+    central = large.withColumn("c", F.count(F.lit(1)).over(W.partitionBy("rep")))  # at most a row a band
     pivots = central.groupBy("bucket").agg(F.max(F.struct("c", "rep")).alias("m")).select("bucket", F.col("m.rep").alias("pivot"))
     return stored(large.join(pivots, "bucket"), "large")
 
