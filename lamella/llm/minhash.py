@@ -9,9 +9,11 @@ pass a loose signature check and then the exact one on whole sets.
 
 What a star leaves in different components of one large bucket is banded again, by longer rows (FINER) of
 minima taken from its whole sets: unlike members, which shared a short band, part there, so the pairs that are
-compared are those likely to be links. Buckets that are still large and of several components after their star
-are compared in blocks inside tasks, where only links come out. So every pair that shares a bucket in the first
-banding has shared one in the second (but for the misses stated there), been tested, or lies in one component.
+compared are those likely to be links. Sets too few of whose shingles any other of these sets has can't be linked
+with one of them, and leave first. Buckets that are still large and of several components after their star are
+compared in blocks inside tasks, where only links come out; buckets that share members are one group there if that
+deals fewer rows. So every pair that shares a bucket in the first banding has shared one in the second (but for the
+misses stated there), been tested, been ruled out by its shingles, or lies in one component.
 """
 
 from __future__ import annotations
@@ -129,6 +131,17 @@ def _unpacked_sets(how: Banding):
     return run
 
 
+def _held(batches):
+    """(rep, shingles) -> (h, rep, n): the shingles of some sets, one set that holds each, and how many do."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 256):
+            part = batch.slice(low, 256)
+            sets = _arrays(part.column(1))
+            h, at, n = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
+            rep = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])[at]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(rep), pa.array(n)], names=["h", "rep", "n"])
+
+
 def _agreeing(how: Banding):
     """Keeps candidate pairs of which enough minima are equal."""
 
@@ -240,10 +253,24 @@ def _compared(pairs: DataFrame, signed: DataFrame, sets_of: Callable[[DataFrame]
     return likely.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "u long, v long")
 
 
+def _common(sets: DataFrame) -> DataFrame:
+    """(rep, k, c) of sets(rep, shingles): the size, and how many shingles another of the sets holds too. Stored."""
+    held = sets.select("rep", "shingles").mapInArrow(_held, "h long, rep long, n long")
+    only = held.groupBy("h").agg(F.sum("n").alias("n"), F.max("rep").alias("rep")).where("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("u"))
+    sizes = sets.select("rep", (F.octet_length("shingles") / 8).cast("long").alias("k"))
+    return stored(sizes.join(only, "rep", "left").select("rep", "k", (F.col("k") - F.coalesce("u", F.lit(0))).alias("c")), "common")
+
+
 def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Callable[[DataFrame], DataFrame], percent: int, how: Banding) -> DataFrame:
-    """roots after members of large buckets that lie in several components have been banded again and compared."""
+    """roots after members of large buckets that lie in several components have been banded again and compared.
+
+    Sets of k and l shingles have at most min(c, d) in common, if c and d of them are held by other sets too, and are
+    linked if (100 + percent) * common >= percent * (k + l).
+    """
     sets = with_sets(open_.select("rep"))
-    placed = sets.join(open_.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
+    common = _common(sets)
+    able = common.where(100 * F.col("c") >= percent * F.col("k"))  # else not linked with any l
+    placed = sets.join(able, "rep").join(open_.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
     slots = stored(placed.mapInArrow(_unpacked_sets(FINER), "bucket long, rep long, component long"), "slots")
     mixed = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
     members = stored(slots.join(mixed, "bucket"), "finer")
@@ -252,17 +279,47 @@ def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Cal
     left = _open(stars, roots)
     if left is None:
         return roots
-    return _merged(_block_links(left, sets, signed, percent, how), roots)
+    left = left.join(small_side(able), "rep")
+    least = left.groupBy("bucket").agg(F.min("k").alias("l"))
+    left = left.join(least, "bucket").where((100 + percent) * F.col("c") >= percent * (F.col("k") + F.col("l"))).select("bucket", "rep", "component")
+    left = stored(left, "able")
+    several = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    left = stored(left.join(small_side(stored(several, "several")), "bucket", "left_semi"), "open")
+    if left.isEmpty():
+        return roots
+    return _merged(_block_links(_grouped(left), sets, signed, percent, how), roots)
+
+
+def _dealt_rows(groups: DataFrame, key: str) -> DataFrame:
+    """(key, main, strays, mains, rows) of groups(key, component, n): the largest component, the numbers of blocks outside
+    and inside it, and how many rows the comparison in blocks deals."""
+    sizes = groups.groupBy(key).agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
+    others = F.col("n_all") - F.col("n_main")
+    sizes = sizes.withColumn("strays", F.ceil(others / BLOCK)).withColumn("mains", F.ceil(F.col("n_main") / BLOCK))
+    return sizes.select(key, "main", "strays", "mains", (others * (F.col("strays") + F.col("mains")) + F.col("n_main") * F.col("strays")).alias("rows"))
+
+
+def _grouped(open_: DataFrame) -> DataFrame:
+    """open_(bucket, rep, component) with the buckets that are connected by members as one, where that deals fewer rows."""
+    heads = stored(open_.groupBy("bucket").agg(F.min("rep").alias("head")), "heads")
+    links = open_.join(small_side(heads), "bucket").where("rep <> head").select(F.col("rep").alias("u"), F.col("head").alias("v")).distinct()
+    hoods = components(stored(links, "shared")).select("node", F.col("component").alias("hood"))
+    members = stored(open_.select("rep", "component").distinct().join(hoods, F.col("rep") == F.col("node")).select("hood", "rep", "component"), "hoods")
+    whole = _dealt_rows(members.groupBy("hood", "component").agg(F.count(F.lit(1)).alias("n")), "hood").select("hood", F.col("rows").alias("whole"))
+    single = _dealt_rows(open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")), "bucket").select("bucket", "rows")
+    single = stored(single.join(heads, "bucket").join(hoods, F.col("head") == F.col("node")).select("hood", "bucket", "rows"), "single")
+    joined = single.groupBy("hood").agg(F.sum("rows").alias("rows")).join(whole, "hood").where("whole <= rows").select("hood")
+    joined = stored(joined, "joined")
+    apart = single.join(joined, "hood", "left_anti").select("bucket")
+    return stored(members.join(joined, "hood").select(F.col("hood").alias("bucket"), "rep", "component").unionByName(open_.join(apart, "bucket", "left_semi")), "groups")
 
 
 def _block_links(open_: DataFrame, sets: DataFrame, signed: DataFrame, percent: int, how: Banding) -> DataFrame:
     """Links (u, v) within the buckets of open_(bucket, rep, component): blocks of strays against all other blocks of the bucket."""
-    sizes = open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
-    open_ = open_.join(main, "bucket")
+    sizes = _dealt_rows(open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")), "bucket")
+    open_ = open_.join(sizes, "bucket")
     side = (F.col("component") == F.col("main")).cast("int")  # 1: the bucket's largest component
-    strays = F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int")
-    mains = F.ceil(F.col("n_main") / BLOCK).cast("int")
+    strays, mains = F.col("strays").cast("int"), F.col("mains").cast("int")
     block = F.pmod(F.xxhash64("rep"), F.when(side == 1, mains).otherwise(strays)).cast("int")
     open_ = open_.select("rep", "bucket", "component", side.alias("side"), strays.alias("strays"), mains.alias("mains"), block.alias("block"))
     # Blocks (a, b): a of strays, b of strays (a <= b) or, from `far` on, of the main component.
