@@ -112,6 +112,33 @@ def test_strays_of_large_buckets(spark, monkeypatch):
     assert {r.id: r.component_id for r in minhash.near_duplicates(docs).collect()} == want
 
 
+def test_common_shingles(spark):
+    """Sizes and shared shingles of sets, whatever the batches; an empty table has none."""
+    sets = {1: [1, 2, 3, 2**63 + 5], 2: [2, 3, 9], 7: [70, 71], 8: [2**63 + 5]}
+    rows = [(i, np.array(s, np.uint64).tobytes()) for i, s in sets.items()]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "rep long, shingles binary").repartition(parts)
+        assert sorted(map(tuple, minhash._common(df).collect())) == [(1, 4, 3), (2, 3, 2), (7, 2, 0), (8, 1, 1)]
+    assert minhash._common(df.where("rep < 0")).collect() == []
+
+
+def test_groups_of_buckets(spark):
+    """Buckets that share members become one group only where that deals fewer rows; no pair that shares a bucket is lost."""
+    alike = [(b, r, r // 3) for b in range(100, 106) for r in range(12)]  # six buckets of the same sets
+    n = 2 * minhash.BLOCK
+    chain = [(200 + i, 1000 * i + r, 1000 * i + r) for i in range(1, 4) for r in range(n)]
+    chain += [(200 + i, 1000 * (i + 1), 1000 * (i + 1)) for i in range(1, 3)]  # a set of each bucket stands in the one before
+    open_ = spark.createDataFrame(alike + chain, "bucket long, rep long, component long")
+    got = minhash._grouped(open_).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.bucket, set()).add(r.rep)
+        assert (r.rep, r.component) in {(x, c) for _, x, c in alike + chain}
+    assert groups.pop(0) == set(range(12))
+    assert groups == {b: {x for y, x, _ in chain if y == b} for b in (201, 202, 203)}
+    assert len(got) == 12 + len(chain)
+
+
 def test_star_components(spark):
     rng = random.Random(9)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(33)]
