@@ -4,12 +4,16 @@ A word's emission scores sum learned weights of its affixes (up to AFFIX letters
 and a learned multiple of its lexicon log-odds; learned transitions link neighbouring words. The lexicon counts
 (hashed words by language) are summed by Spark over all training documents. The weights are fitted by
 gradient steps on the exact forward-backward likelihood, on sequences that switch between documents of a
-bounded sample: SAMPLE rows a language of at most SAMPLE_CHARS characters. A document's language is the one
-with the largest mean marginal probability over its words.
+bounded sample: SAMPLE rows a language, of a longer text SAMPLE_CHARS characters at a place that the id's hash
+chooses. A document's language is the one with the largest mean marginal probability over its words.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,27 +26,60 @@ LEXICON = 1 << 16
 SAMPLE, SAMPLE_CHARS = 150, 6000
 LENGTH, BATCH, EPOCHS, RATE = 48, 48, 4, 0.3
 
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_ASCII_LETTER = _LETTER.copy()
-_ASCII_LETTER[128:] = False
+
+@cache
+def _by_code_point() -> tuple[np.ndarray, np.ndarray]:
+    """Of each code point: 2 for a letter, 1 for a mark, else 0. Of those that take two bytes: the lower case, if that takes two too."""
+    kinds = np.zeros(sys.maxunicode + 1, np.uint8)
+    for c in range(len(kinds)):
+        kinds[c] = {"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0)
+    lower = np.arange(0x800)
+    for c in range(0x80, 0x800):
+        small = chr(c).lower()
+        if len(small) == 1 and 0x80 <= ord(small) < 0x800:
+            lower[c] = ord(small)
+    return kinds, lower
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """Of each byte of UTF-8: 2 if its character is a letter, 1 if it is a mark, else 0 (bytes that aren't UTF-8: any of these)."""
+    table, _ = _by_code_point()
+    out = table[:128][np.minimum(data, 127)]
+    at = np.flatnonzero(data >= 0xC0)
+    if len(at):
+        lead = data[at].astype(np.int64)
+        size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+        point = lead & (0x7F >> size)
+        for k in (1, 2, 3):
+            more = size > k
+            point[more] = point[more] << 6 | data[np.minimum(at[more] + k, len(data) - 1)] & 0x3F
+        kind = table[np.minimum(point, sys.maxunicode)]
+        for k in range(4):
+            here = (size > k) & (at + k < len(data))
+            out[at[here] + k] = kind[here]
+    return out
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
-    """Lower case of A-Z and of the Latin-1 letters in UTF-8."""
+    """Lower case of A-Z and of the letters that take two bytes in UTF-8 (Latin, Greek, Cyrillic, Armenian)."""
     out = K.LOWER[data]
-    if len(out) > 1:
-        latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-        out[1:][latin] += 32
+    at = np.flatnonzero((data[:-1] >= 0xC2) & (data[:-1] <= 0xDF))
+    if len(at):
+        point = (data[at].astype(np.int64) & 0x1F) << 6 | data[at + 1] & 0x3F
+        small = _by_code_point()[1][point]
+        at, small = at[small != point], small[small != point]
+        out[at], out[at + 1] = 0xC0 | small >> 6, 0x80 | small & 0x3F
     return out
 
 
 class Words:
-    """The distinct letter words of some rows: hashes, features, and where each occurs."""
+    """The distinct words (runs of letters and marks) of some rows: hashes, features, and where each occurs; lettered: rows with a letter."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         low = lowered(data)
-        starts, ends, self.first = K.runs(_LETTER[low], offsets)
+        kind = kinds(low)
+        self.lettered = K.per_row(kind == 2, offsets) > 0
+        starts, ends, self.first = K.runs(kind > 0, offsets)
         h = K.hashes(low, starts, ends)
         self.hash, at, self.word = np.unique(h, return_index=True, return_inverse=True)
         self._features(low, starts[at], ends[at])
@@ -175,7 +212,7 @@ def _lexicon_counts(batches):
         langs = np.array(batch.column(0).to_pylist(), object)
         for row, data, offsets in K.pieces(batch.column(1)):
             low = lowered(data)
-            starts, ends, first = K.runs(_LETTER[low], offsets)
+            starts, ends, first = K.runs(kinds(low) > 0, offsets)
             bucket = (K.hashes(low, starts, ends) % K.U(LEXICON)).astype(np.int64)
             here = np.repeat(langs[row : row + len(offsets) - 1], np.diff(first))
             for lang in set(here.tolist()):
@@ -200,15 +237,16 @@ def train(rows: DataFrame) -> Model | None:
     lexicon = np.log(share / share.mean(axis=1, keepdims=True))
     lexicon[counts.sum(axis=1) == 0] = 0
     # The sample: the rows of a language with the least hashes of their id, of which a threshold leaves about twice as many.
-    eligible = rows.where(F.length("text").between(1, SAMPLE_CHARS))
+    eligible = rows.where("text <> ''")
     order = F.xxhash64("doc_id", F.lit("sample"))
+    begin = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
     sizes = {r[0]: r[1] for r in eligible.groupBy("lang").count().collect()}
     below = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, -(2.0**63) + 2.0**64 * min(1.0, 2 * SAMPLE / n))])
-    near = eligible.where(order.cast("double") <= F.element_at(below, F.col("lang"))).select("lang", "text", "doc_id", order.alias("o")) if sizes else None
-    found = sorted(near.collect(), key=lambda r: (r["lang"], r["o"], r["doc_id"])) if near is not None else []
+    near = eligible.where(order.cast("double") <= F.element_at(below, F.col("lang"))).select("lang", F.substring("text", begin, SAMPLE_CHARS).alias("text"), "doc_id", order.alias("o")) if sizes else None
+    found = sorted(near.collect(), key=lambda r: (r["lang"], r["o"], r["doc_id"] is None, r["doc_id"] or 0, r["text"])) if near is not None else []
     chosen, taken = [], {}
     for r in found:
-        if taken.setdefault(r["lang"], 0) < SAMPLE:
+        if r["lang"] in langs and taken.setdefault(r["lang"], 0) < SAMPLE:  # a language without a word is none of the model's
             taken[r["lang"]] += 1
             chosen.append((r["lang"], r["text"]))
     return fit(Model(langs, lexicon.astype(np.float32)), chosen)
@@ -225,11 +263,8 @@ def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         n = np.diff(words.first)
         mean = np.diff(total[words.first], axis=0) / np.maximum(n, 1)[:, None]
         best = mean.argmax(axis=1)
-        lettered = K.per_row(_ASCII_LETTER[data], offsets) > 0
-        for i in np.flatnonzero(~lettered & (n > 0)):  # no ASCII letter: ask Unicode
-            lettered[i] = any(c.isalpha() for c in bytes(data[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace"))
-        langs += [model.langs[b] if ok else "und" for b, ok in zip(best, lettered)]
-        scores.append(np.where(lettered, np.clip(mean[np.arange(len(best)), best], 0, 1), 0.0))
+        langs += [model.langs[b] if ok else "und" for b, ok in zip(best, words.lettered)]
+        scores.append(np.where(words.lettered, np.clip(mean[np.arange(len(best)), best], 0, 1), 0.0))
     return langs, np.concatenate(scores) if scores else np.zeros(0)
 
 
@@ -262,7 +297,7 @@ def language_of_words(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for row, data, offsets in K.pieces(batch.column(1)):
-                starts, ends, first = K.runs(_LETTER[lowered(data)], offsets)
+                starts, ends, first = K.runs(kinds(lowered(data)) > 0, offsets)
                 words = Words(data, offsets)
                 p, _ = forward_backward(shared.value.emissions(words)[words.word], words.first, shared.value.transitions)
                 owner = np.repeat(np.arange(len(offsets) - 1), np.diff(first))

@@ -5,8 +5,10 @@ import hashlib
 import itertools
 import random
 import re
+import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -550,6 +552,54 @@ def test_forward_backward_by_enumeration():
     assert np.allclose(p, want) and np.allclose(expected, total)
 
 
+def _plain_prediction(model, text):
+    """(language, score, words) by loops over characters, features and neighbours."""
+    low = "".join(c.lower() if c < "\x80" or len(c.encode()) == len(c.lower().encode()) == 2 and len(c.lower()) == 1 else c for c in text or "")
+    words = ["".join(g) for ok, g in itertools.groupby(low, lambda c: unicodedata.category(c)[0] in "LM") if ok]
+    if not any(unicodedata.category(c)[0] == "L" for c in low):
+        return "und", 0.0, words
+    one = lambda b: int(K.hashes(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0])
+    scores = []
+    for w in (x.encode() for x in words):
+        features = [(n, w[:n]) for n in (1, 2, 3)] + [(n + 3, w[-n:]) for n in (1, 2, 3)] + [(10 + n, w[i : i + n]) for n in (2, 3, 4) for i in range(len(w) - n + 1)]
+        hashed = [int(K.mix(np.array([(one(f) + kind * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0]) % language_id.BUCKETS for kind, f in features]
+        scores.append(sum(model.weights[b] for b in hashed) + model.lexical[0] * model.lexicon[one(w) % language_id.LEXICON])
+    n, langs = len(words), range(len(model.langs))
+    e, A = np.exp(np.array(scores)), np.exp(model.transitions)
+    ahead, back = [e[0]], [np.ones(len(langs))]
+    for t in range(1, n):
+        ahead.append(np.array([e[t, y] * sum(ahead[-1][x] * A[x, y] for x in langs) for y in langs]))
+    for t in range(n - 1, 0, -1):
+        back.append(np.array([sum(A[x, y] * e[t, y] * back[-1][y] for y in langs) for x in langs]))
+    p = np.array([a * b / (a * b).sum() for a, b in zip(ahead, back[::-1])]).mean(axis=0)
+    return model.langs[int(p.argmax())], float(p.max()), words
+
+
+def test_language_prediction_by_plain_python():
+    rng = np.random.default_rng(8)
+    model = language_id.Model(["a", "b", "c"], rng.normal(size=(language_id.LEXICON, 3)))
+    model.weights, model.transitions = rng.normal(size=(language_id.BUCKETS, 3)) / 4, rng.normal(size=(3, 3))
+    texts = ["Straße — ÄÖÜ café", "Привет, мир! ЁЛКА", "ΑΘΗΝΑ Άλφα", "नमस्ते दुनिया", "——— 123 🙂", "", None, "日本語。テスト", "it’s ‘quoted’ naïve…now", "\u0301", "a", "𝒜𝒷 x", "1 2 3", "Σ" * 40 + " End"]
+    langs, scores = language_id.predict(model, pa.array(texts))
+    want = [_plain_prediction(model, t) for t in texts]
+    assert langs == [w[0] for w in want] and np.allclose(scores, [w[1] for w in want])
+    assert [langs[i] for i in (4, 5, 6, 9, 12)] == ["und"] * 5
+    for text, (_, _, words) in zip(texts, want):
+        (_, data, offsets), *_ = [*K.pieces(pa.array([text]))]
+        low = language_id.lowered(data)
+        starts, ends, _ = K.runs(language_id.kinds(low) > 0, offsets)
+        assert [low[a:b].tobytes().decode() for a, b in zip(starts, ends)] == words
+
+
+def test_language_with_long_texts_only(spark):
+    """Texts beyond the sample's characters teach the weights too, by a slice."""
+    long = [(1, "the and of with were from this " * 1000, "en"), (2, "der und die nicht sich auch eine " * 1000, "de"), (None, "der und die nicht " * 9, "de")]
+    rows = spark.createDataFrame(long, "doc_id long, text string, lang string")
+    model = language_id.train(rows)
+    assert model.langs == ["de", "en"] and np.abs(model.weights).max() > 0
+    assert language_id.predict(model, pa.array(["the and of", "nicht sich auch"]))[0] == ["en", "de"]
+
+
 def test_code_switched_words(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null and lang is not null")
     model = language_id.train(rows.select("doc_id", "text", "lang"))
