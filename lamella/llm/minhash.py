@@ -118,15 +118,15 @@ def _unpacked(how: Banding):
 
 
 def _unpacked_sets(how: Banding):
-    """(rep, component, shingles) -> (bucket, rep, component), a row for each band of the set's minima."""
+    """(shingles, rep, further longs) -> (bucket, rep, further longs), a row for each band of the set's minima."""
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                keys = bands(signatures(_arrays(part.column(2)), how.hashes), how.rows)
-                rep, component = (pa.array(np.repeat(part.column(c).to_numpy(), keys.shape[1])) for c in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), rep, component], names=["bucket", "rep", "component"])
+                keys = bands(signatures(_arrays(part.column(0)), how.hashes), how.rows)
+                others = [pa.array(np.repeat(x.to_numpy(), keys.shape[1])) for x in part.columns[1:]]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *others], names=["bucket", *part.schema.names[1:]])
 
     return run
 
@@ -204,9 +204,9 @@ def _shared(slots: DataFrame) -> DataFrame:
 
 
 def _stars(members: DataFrame) -> DataFrame:
-    """(bucket, rep, pivot) of the large buckets: their most central member."""
-    large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep")
-    central = large.withColumn("c", F.count(F.lit(1)).over(W.partitionBy("rep")))  # at most a row a band
+    """(bucket, rep, pivot) of the large buckets, their most central member, and the counts n_shingles, n_common if members has them."""
+    large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep", *[c for c in members.columns if c.startswith("n_")])
+    central = large.select("bucket", "rep").withColumn("c", F.count(F.lit(1)).over(W.partitionBy("rep")))  # at most a row a band
     pivots = central.groupBy("bucket").agg(F.max(F.struct("c", "rep")).alias("m")).select("bucket", F.col("m.rep").alias("pivot"))
     return stored(large.join(pivots, "bucket"), "large")
 
@@ -223,7 +223,7 @@ def _pairs(members: DataFrame, stars: DataFrame) -> DataFrame:
 
 def _open(stars: DataFrame, roots: DataFrame) -> DataFrame | None:
     """(bucket, rep, component) of the members of the large buckets in stars(bucket, rep, pivot) that lie in several
-    components, stored; None if there are none.
+    components, with the further columns of stars, stored; None if there are none.
 
     The pairs with a pivot are looked at first, each once whatever the number of buckets that two sets share.
     """
@@ -234,8 +234,8 @@ def _open(stars: DataFrame, roots: DataFrame) -> DataFrame | None:
     if apart.isEmpty():
         return None
     buckets = stored(stars.join(small_side(apart), ["rep", "pivot"], "left_semi").select("bucket").distinct(), "mixed")
-    members = stars.select("bucket", "rep").join(small_side(buckets), "bucket", "left_semi")
-    return stored(members.join(own("rep", "c"), "rep", "left").select("bucket", "rep", F.coalesce("c", "rep").alias("component")), "open")
+    members = stars.drop("pivot").join(small_side(buckets), "bucket", "left_semi")
+    return stored(members.join(own("rep", "c"), "rep", "left").select(*members.columns, F.coalesce("c", "rep").alias("component")), "open")
 
 
 def _merged(links: DataFrame, roots: DataFrame) -> DataFrame:
@@ -270,8 +270,9 @@ def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Cal
     sets = with_sets(open_.select("rep"))
     common = _common(sets)
     able = common.where(100 * F.col("c") >= percent * F.col("k"))  # else not linked with any l
-    placed = sets.join(able, "rep").join(open_.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
-    slots = stored(placed.mapInArrow(_unpacked_sets(FINER), "bucket long, rep long, component long"), "slots")
+    placed = sets.join(able, "rep").join(open_.select("rep", "component").distinct(), "rep")
+    placed = placed.select("shingles", "rep", "component", F.col("k").alias("n_shingles"), F.col("c").alias("n_common"))
+    slots = stored(placed.mapInArrow(_unpacked_sets(FINER), "bucket long, rep long, component long, n_shingles long, n_common long"), "slots")
     mixed = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
     members = stored(slots.join(mixed, "bucket"), "finer")
     stars = _stars(members)
@@ -279,9 +280,8 @@ def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Cal
     left = _open(stars, roots)
     if left is None:
         return roots
-    left = left.join(small_side(able), "rep")
-    least = left.groupBy("bucket").agg(F.min("k").alias("l"))
-    left = left.join(least, "bucket").where((100 + percent) * F.col("c") >= percent * (F.col("k") + F.col("l"))).select("bucket", "rep", "component")
+    least = left.groupBy("bucket").agg(F.min("n_shingles").alias("l"))
+    left = left.join(least, "bucket").where((100 + percent) * F.col("n_common") >= percent * (F.col("n_shingles") + F.col("l"))).select("bucket", "rep", "component")
     left = stored(left, "able")
     several = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
     left = stored(left.join(small_side(stored(several, "several")), "bucket", "left_semi"), "open")
