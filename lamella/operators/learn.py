@@ -75,7 +75,8 @@ def predicted(model, samples: DataFrame, key: str = "id") -> DataFrame:
     """(key, prediction, p of class 1 for classifiers)."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    out = model.transform(samples.withColumn("features", array_to_vector("f")))
+    # Tasks get a copy: a forest's training summary holds the session, which can't be sent once a query was observed in it.
+    out = model.copy().transform(samples.withColumn("features", array_to_vector("f")))
     extra = [vector_to_array("probability")[1].alias("p")] if "probability" in out.columns else []
     return out.select(key, "prediction", *extra)
 

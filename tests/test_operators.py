@@ -290,3 +290,14 @@ def test_schema_check(spark):
     assert assert_schema(df, "merges") is df
     with pytest.raises(ValueError, match="missing"):
         assert_schema(df.drop("b"), "merges")
+
+
+def test_forest_predicts_in_a_session_with_observations(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    samples = spark.createDataFrame([(i, [float(i), float(i % 3)], int(i >= 20)) for i in range(40)], "id long, f array<double>, cls int")
+    got = {r.id: r for r in L.predicted(L.train_forest(samples, trees=4, depth=3), samples).collect()}
+    assert len(got) == 40 and got[2].prediction == 0 and got[37].prediction == 1 and got[2].p < 0.5 < got[37].p
