@@ -204,9 +204,9 @@ def _shared(slots: DataFrame) -> DataFrame:
 
 
 def _stars(members: DataFrame) -> DataFrame:
-    """(bucket, rep, pivot) of the large buckets, their most central member, and the counts n_shingles, n_common if members has them."""
-    large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep", *[c for c in members.columns if c.startswith("n_")])
-    central = large.select("bucket", "rep").withColumn("c", F.count(F.lit(1)).over(W.partitionBy("rep")))  # at most a row a band
+    """(bucket, rep, pivot) of the large buckets and their most central member."""
+    large = members.where(F.col("size") > SMALL_BUCKET).select("bucket", "rep")
+    central = large.withColumn("c", F.count(F.lit(1)).over(W.partitionBy("rep")))  # at most a row a band
     pivots = central.groupBy("bucket").agg(F.max(F.struct("c", "rep")).alias("m")).select("bucket", F.col("m.rep").alias("pivot"))
     return stored(large.join(pivots, "bucket"), "large")
 
@@ -223,7 +223,7 @@ def _pairs(members: DataFrame, stars: DataFrame) -> DataFrame:
 
 def _open(stars: DataFrame, roots: DataFrame) -> DataFrame | None:
     """(bucket, rep, component) of the members of the large buckets in stars(bucket, rep, pivot) that lie in several
-    components, with the further columns of stars, stored; None if there are none.
+    components, stored; None if there are none.
 
     The pairs with a pivot are looked at first, each once whatever the number of buckets that two sets share.
     """
@@ -265,7 +265,8 @@ def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Cal
     """roots after members of large buckets that lie in several components have been banded again and compared.
 
     Sets of k and l shingles have at most min(c, d) in common, if c and d of them are held by other sets too, and are
-    linked if (100 + percent) * common >= percent * (k + l).
+    linked if (100 + percent) * common >= percent * (k + l). So those that can't be linked even with the smallest set of
+    a bucket leave it before its pivot is chosen: what its star leaves apart is all there is to compare.
     """
     sets = with_sets(open_.select("rep"))
     common = _common(sets)
@@ -273,21 +274,14 @@ def _finer(open_: DataFrame, roots: DataFrame, signed: DataFrame, with_sets: Cal
     placed = sets.join(able, "rep").join(open_.select("rep", "component").distinct(), "rep")
     placed = placed.select("shingles", "rep", "component", F.col("k").alias("n_shingles"), F.col("c").alias("n_common"))
     slots = stored(placed.mapInArrow(_unpacked_sets(FINER), "bucket long, rep long, component long, n_shingles long, n_common long"), "slots")
-    mixed = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
-    members = stored(slots.join(mixed, "bucket"), "finer")
+    mixed = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("n_shingles").alias("least"))
+    able = (100 + percent) * F.col("n_common") >= percent * (F.col("n_shingles") + F.col("least"))
+    members = slots.join(mixed.where("low < high").select("bucket", "size", "least"), "bucket").where(able)
+    members = stored(members.select("bucket", "rep", "component", "size"), "finer")
     stars = _stars(members)
     roots = _merged(stored(_compared(_pairs(members, stars), signed, lambda ids: sets, percent, how), "links"), roots)
     left = _open(stars, roots)
-    if left is None:
-        return roots
-    least = left.groupBy("bucket").agg(F.min("n_shingles").alias("l"))
-    left = left.join(least, "bucket").where((100 + percent) * F.col("n_common") >= percent * (F.col("n_shingles") + F.col("l"))).select("bucket", "rep", "component")
-    left = stored(left, "able")
-    several = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    left = stored(left.join(small_side(stored(several, "several")), "bucket", "left_semi"), "open")
-    if left.isEmpty():
-        return roots
-    return _merged(_block_links(_grouped(left), sets, signed, percent, how), roots)
+    return roots if left is None else _merged(_block_links(_grouped(left), sets, signed, percent, how), roots)
 
 
 def _dealt_rows(groups: DataFrame, key: str) -> DataFrame:

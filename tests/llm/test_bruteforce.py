@@ -124,6 +124,19 @@ def test_common_shingles(spark):
     assert minhash._common(df.where("rep < 0")).collect() == []
 
 
+def test_sets_leave_buckets_without_a_link_for_them(spark, monkeypatch):
+    """Near copies just below the threshold fill large buckets, but only the two that can be linked get to the second stars."""
+    rng = random.Random(45)
+    same = [f"c{rng.randrange(10**6)}" for _ in range(120)]
+    texts = [" ".join([*same, *[f"x{rng.randrange(10**6)}" for _ in range(14 if i < 2 else 16)]]) for i in range(60)]
+    stars, real = [], minhash._stars
+    monkeypatch.setattr(minhash, "_stars", lambda members: stars.append(real(members)) or stars[-1])
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.id: r.component_id for r in got} == clusters({i: shingles(t, 5) for i, t in enumerate(texts)}) == {i: 0 if i < 2 else i for i in range(60)}
+    assert len(stars) == 2 and stars[0].select("rep").distinct().count() > 40
+    assert stars[1].select("rep").distinct().count() <= 2
+
+
 def test_groups_of_buckets(spark):
     """Buckets that share members become one group only where that deals fewer rows; no pair that shares a bucket is lost."""
     alike = [(b, r, r // 3) for b in range(100, 106) for r in range(12)]  # six buckets of the same sets
