@@ -34,7 +34,7 @@ MIN_COUNT = 2
 #: byte. Texts that stand in the corpus many times have a low perplexity and are not bad for it, so that side is wider.
 BAND, LEAST = (3.0, 2.0), 0.02
 #: Entries of a shard (12 bytes each), shards that a worker keeps, bytes of text that are scored at a time.
-SHARD, CACHE, CHUNK = 1 << 20, 16, 4 << 20
+SHARD, CACHE, CHUNK = 1 << 20, 16, 2 << 20
 #: Grams that a counting task holds before it sends what it has.
 HELD = 6 << 20
 

@@ -464,6 +464,22 @@ def test_many_shards(spark, monkeypatch):
     assert got.keys() == want.keys() and all(got[i] == (None if v is None else pytest.approx(v, rel=1e-9)) for i, v in want.items())
 
 
+def test_scoring_holds_little():
+    """A worker that scores long batches holds arrays of a piece of them: under 256 MB whatever the batch."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(3)
+    texts = ["".join(x) for x in rng.choice(list("abcdefgh ,."), (3000, 3000))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000), pa.int64()), pa.array(["+en"] * 3000), pa.array(texts)], names=["doc_id", "lang", "text"])
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in quality_rules._rules(SimpleNamespace(value=("/none", {})))(iter([batch])))
+        assert rows == 3000 and tracemalloc.get_traced_memory()[1] < 256 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_bands_reject_gibberish_and_keep_prose(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     rng = random.Random(3)
