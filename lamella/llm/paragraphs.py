@@ -341,7 +341,8 @@ def repeated_passages(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """
     cuts = stored(removed.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n_words"))).alias("cuts")).withColumnRenamed("doc_id", "cut_id"), "cuts")
     found = docs.mapInArrow(_anchored, "doc_id long, h array<long>, w array<int>")
-    live = stored(found.join(cuts, F.col("doc_id") == F.col("cut_id"), "left").select("doc_id", "h", "w", "cuts").mapInArrow(_live, "doc_id long, h long"), "live")
+    # A merge join at every size: after a broadcast one, both functions would hold their workers in the same tasks.
+    live = stored(found.join(cuts.hint("merge"), F.col("doc_id") == F.col("cut_id"), "left").select("doc_id", "h", "w", "cuts").mapInArrow(_live, "doc_id long, h long"), "live")
     several = stored(live.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h"), "several")
     wanted = stored(live.join(small_side(several, 1_000_000), "h").groupBy(F.col("doc_id").alias("wanted_id")).agg(F.collect_set("h").alias("hs")), "anchors")
     texts = restricted(docs, wanted.select(F.col("wanted_id").alias("doc_id")))

@@ -235,6 +235,19 @@ def test_short_passages_inside_lines(spark):
     assert [len(left[i]) for i in (0, 1, 2)] == [86, 150, 43] and len(left[30]) == 18
 
 
+def test_anchors_and_cuts_in_tasks_of_their_own(spark, monkeypatch):
+    """No task holds the workers of both functions, however small the table of cuts is."""
+    plans, real = {}, paragraphs.stored
+    monkeypatch.setattr(paragraphs, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and real(df, name))
+    words = [f"p{i}" for i in range(90)]
+    docs = spark.createDataFrame([(i, " ".join([f"a{i}", *words, f"b{i}"])) for i in (1, 2)], "doc_id long, text string")
+    removed = spark.createDataFrame([(2, 0, 30)], "doc_id long, start long, n_words long")
+    got = paragraphs.repeated_passages(docs, removed).collect()
+    assert sorted((r.doc_id, r.start, r.n_words, r.cluster_doc_id, r.cluster_start, r.removed) for r in got) == [(1, 30, 61, 1, 30, False), (2, 30, 61, 1, 30, True)]
+    above, below = plans["live"].split("Join", 1)
+    assert above.count("MapInArrow") == below.count("MapInArrow") == 1 and "Exchange hashpartitioning" in below.split("MapInArrow")[0]
+
+
 @pytest.mark.parametrize("words, wrap", [(0, 0), (95, 0), (300, 0), (300, 12)])
 def test_planted_passages(spark, words, wrap):
     """60 passages of 51 to 80 words, each in two documents: on a line of their own, inside lines, wrapped."""
