@@ -464,3 +464,47 @@ def best_selection(worth: list[float], excluded: list[set[int]], links: list[tup
         if not conflicts[i] & chosen:
             stack.append((k + 1, chosen | {i}))
     return max(best, 0.0), found
+
+
+def padded(lists) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of numbers (an Arrow array) as the rows of a matrix, zero where a list ends or has a null, and where it has numbers."""
+    long = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten()
+    row, column = np.repeat(np.arange(len(long)), long), np.arange(len(flat)) - np.repeat(np.cumsum(long) - long, long)
+    values, there = np.zeros((len(long), long.max(initial=0))), np.zeros((len(long), long.max(initial=0)), bool)
+    values[row, column], there[row, column] = flat.fill_null(0).to_numpy(zero_copy_only=False), flat.is_valid().to_numpy(zero_copy_only=False)
+    return values, there
+
+
+def two_nearest(asked: tuple[np.ndarray, np.ndarray], known: tuple[np.ndarray, np.ndarray], ids: np.ndarray, unit: float = 1e-9, rows: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of asked, id, distance): what can be among the two of the known rows nearest to each of asked, by (distance
+    rounded to unit, id). A distance is the sum, from the first place on, of squared differences where both have numbers.
+
+    Products of matrices tell which rows can't be among them, with a margin for their error; the others are summed place by
+    place, so that the outcome is that of the plain sum. Of equal distances the two least ids are enough.
+    """
+    k = max(asked[0].shape[1], known[0].shape[1])
+    (q, qn), (r, rn) = (tuple(np.pad(m, ((0, 0), (0, k - m.shape[1]))) for m in side) for side in (asked, known))
+    full = bool(qn.all() and rn.all())
+    r2, out = r * r, []
+    for start in range(0, len(q), rows):
+        own, has = q[start : start + rows], qn[start : start + rows]
+        about = -2 * (own @ r.T) + ((own * own).sum(1)[:, None] + r2.sum(1) if full else (own * own) @ rn.T.astype(float) + has.astype(float) @ r2.T)
+        about[np.isnan(about)] = np.inf
+        second = np.partition(about, 1, axis=1)[:, 1] if len(r) > 1 else np.full(len(own), np.inf)
+        error = 8 * (k + 8) * np.finfo(float).eps * ((own * own).sum(1) + r2.sum(1).max(initial=0.0))
+        i, j = np.nonzero(~(about > (second + 2 * unit + error)[:, None]))
+        d, n = np.zeros(len(i)), np.zeros(len(i), np.int64)
+        for c in range(k):
+            both = has[i, c] & rn[j, c]
+            d += np.where(both, (own[i, c] - r[j, c]) ** 2, 0.0)
+            n += both
+        i, j, d = i[n > 0], j[n > 0], d[n > 0]
+        order = np.lexsort((ids[j], d, i))
+        i, j, d = i[order], j[order], d[order]
+        first = np.flatnonzero(np.diff(i, prepend=-1))
+        last = np.minimum(first + 1, np.append(first[1:], len(i)) - 1)
+        keep = ~(d > np.repeat(d[last], np.diff(np.append(first, len(i)))) + 2 * unit)
+        keep[2:] &= (i[2:] != i[:-2]) | (d[2:] != d[:-2])
+        out.append((i[keep] + start, ids[j[keep]], d[keep]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), ids[:0], np.zeros(0))

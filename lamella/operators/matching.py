@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import written
+from . import kernels
 
 
 def matched(pairs: DataFrame, k: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
@@ -61,3 +63,28 @@ def multimatch(pairs: DataFrame, k: int, least_partner: float = 0.001, by: tuple
     fit = pairs.where(F.col("ov") / F.col("total") >= least_partner)
     engaged = matched(fit, k, by)
     return engaged.unionByName(orphans(fit, engaged, by=by)).distinct()
+
+
+def nearest(asked: DataFrame, known: DataFrame, ratio: float, asked_rows: int = 4096, known_rows: int = 16384) -> DataFrame:
+    """(a, b, dist): of known(b, e) the one nearest to each of asked(a, e), if ratio times its distance is below the second's.
+
+    Distances are sums of squares, rounded to 9 places; equal ones go by b. All pairs are compared: blocks of both sides,
+    of a fixed number of rows, meet in one task each, and of a pair of blocks only what can be among the two nearest leaves it.
+    """
+    asked, known = asked.where("a is not null and e is not null"), known.where("b is not null and e is not null").select("b", F.col("e").alias("e"))
+    sides, n = [], [-(-df.count() // most) or 1 for df, most in ((asked, asked_rows), (known, known_rows))]
+    for df, own, other in ((asked, 0, 1), (known, 1, 0)):
+        dealt = df.withColumn(f"k{own}", F.monotonically_increasing_id() % n[own])
+        sides.append(dealt.withColumn(f"k{other}", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n[other] - 1).cast("long")))).groupBy("k0", "k1"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
+        one, two = left.combine_chunks(), right.combine_chunks()
+        i, b, d = kernels.two_nearest(*[kernels.padded(t["e"].chunk(0)) for t in (one, two)], two["b"].to_numpy())
+        return pa.table({"a": one["a"].to_numpy()[i], "b": b, "d": d})
+
+    found = sides[0].cogroup(sides[1]).applyInArrow(run, "a long, b long, d double").select("a", F.struct(F.round("d", 9).alias("dist"), "b").alias("m"))
+    ranked = found.withColumn("r", F.row_number().over(W.partitionBy("a").orderBy("m"))).where("r <= 2")
+    two = ranked.groupBy("a").agg(F.min("m").alias("first"), F.max("m").alias("second"), F.count(F.lit(1)).alias("n")).where("n = 2")
+    return two.where(ratio * F.col("first.dist") < F.col("second.dist")).select("a", F.col("first.b").alias("b"), F.col("first.dist").alias("dist"))

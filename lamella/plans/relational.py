@@ -230,15 +230,10 @@ def j21_training_gather(spark, d):
 @query("""WITH e AS (SELECT vec_id, [v::DOUBLE for v in embedding] AS e FROM embeddings), c AS (SELECT a.vec_id AS a, b.vec_id AS b, round(list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(a.e, b.e)]), 9) AS dist FROM e a JOIN e b ON a.vec_id % 10 = 0 AND b.vec_id % 10 <> 0),
   r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS r, lead(dist) OVER (PARTITION BY a ORDER BY dist, b) AS second FROM c) SELECT a, b, dist FROM r WHERE r = 1 AND 1.01 * dist < second""")
 def j22_descriptor_match(spark, d):
-    """Nearest neighbour with a ratio test. The query side is a broadcast block whose size is checked; each row keeps its two best in a bounded aggregate."""
-    e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("e"))
-    asked = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("a"), F.col("e").alias("ea"))
-    dist = F.round(F.aggregate(F.zip_with("ea", "e", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x), 9)
-    side = F.broadcast(asked) if asked.limit(100001).count() <= 100000 else asked
-    pairs = e.where("vec_id % 10 <> 0").join(side).select("a", F.struct(dist.alias("dist"), F.col("vec_id").alias("b")).alias("m"))
-    ranked = pairs.withColumn("r", F.row_number().over(W.partitionBy("a").orderBy("m"))).where("r <= 2")  # only two a query leave a task
-    two = ranked.groupBy("a").agg(F.min("m").alias("first"), F.max("m").alias("second"), rows().alias("n")).where("n = 2")
-    return two.where("1.01 * first.dist < second.dist").select("a", F.col("first.b").alias("b"), F.col("first.dist").alias("dist"))
+    """Nearest neighbour with a ratio test, over all pairs, block by block."""
+    e = table(spark, d, "embeddings")
+    asked = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("a"), F.col("embedding").alias("e"))
+    return M.nearest(asked, e.where("vec_id % 10 <> 0").select(F.col("vec_id").alias("b"), F.col("embedding").alias("e")), 1.01)
 
 
 @query(f"WITH {VOX} SELECT label_a AS label, count(*) AS area FROM vox WHERE label_a > 0 GROUP BY 1")

@@ -307,3 +307,21 @@ def test_saturated_pixels_at_a_decimal_bound(spark):
     # The middle of an edge has three links; 2 * (0.45 - 0.3) is the double next above 0.3, their weight.
     image = spark.createDataFrame([(0, y, x, 0.45 if (y, x) == (0, 1) else 0.3) for y in range(2) for x in range(3)], "z int, y int, x int, v double")
     assert {(r.y, r.x): r.fixed for r in R.saturated(image, 0.1, 0.3).collect()} == {(y, x): 1 if (y, x) == (0, 1) else None for y in range(2) for x in range(3)}
+
+
+def test_nearest_of_all_pairs_in_blocks(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.randint(0, 2) / 3 for _ in range(4)]) for i in range(300)] + [(300, [0.5, None, 0.25]), (301, [9.0]), (302, None)]
+    e = spark.createDataFrame(rows, "b long, e array<float>")
+    asked = e.where("b % 10 = 0").select(F.col("b").alias("a"), "e")
+    found = M.nearest(asked, e.where("b % 10 <> 0"), 1.01, 8, 50)
+    assert not any(word in found._jdf.queryExecution().executedPlan().toString() for word in ("NestedLoop", "Cartesian"))
+    full = {r.b: r.e for r in e.where("e is not null").collect()}
+    want = {}
+    for a in (i for i in full if i % 10 == 0):
+        near = sorted((round(sum((p - q) ** 2 for p, q in zip(full[a], v) if p is not None and q is not None), 9), b) for b, v in full.items() if b % 10)
+        if 1.01 * near[0][0] < near[1][0]:
+            want[a] = (near[0][1], near[0][0])
+    assert {r.a: (r.b, r.dist) for r in found.collect()} == want
+    two = KN.two_nearest(*[(np.zeros((n, 3)), np.ones((n, 3), bool)) for n in (2, 5)], np.array([4, 3, 9, 1, 7]))
+    assert [c.tolist() for c in two] == [[0, 0, 1, 1], [1, 3, 1, 3], [0.0] * 4]
