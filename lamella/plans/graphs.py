@@ -94,7 +94,7 @@ def b13_biconnected(spark, d):
 def b14_max_flow(spark, d):
     e = both(spark, d)
     hub = e.groupBy("src").agg(F.sum("w").alias("w")).orderBy(F.col("w").desc(), "src").limit(2).collect()
-    return G.max_flow(e, hub[0][0], hub[1][0])
+    return G.max_flow(e, hub[0][0], hub[1][0]) if hub else spark.createDataFrame([], "src long, dst long, cap double, flow double, cut boolean")
 
 
 @query()

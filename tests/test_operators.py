@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lamella.functions import scalars as S
 from lamella.operators import cleanup, components as C, evaluate, fusion, graph as G, kernels as KN, learn as L, matching as M, overlap as O, regions as R
-from lamella.plans.registry import dense_pairs
+from lamella.plans import catalogue  # noqa: F401
+from lamella.plans.registry import QUERIES, dense_pairs
 from lamella.schema import assert_schema
 
 
@@ -325,3 +326,10 @@ def test_nearest_of_all_pairs_in_blocks(spark):
     assert {r.a: (r.b, r.dist) for r in found.collect()} == want
     two = KN.two_nearest(*[(np.zeros((n, 3)), np.ones((n, 3), bool)) for n in (2, 5)], np.array([4, 3, 9, 1, 7]))
     assert [c.tolist() for c in two] == [[0, 0, 1, 1], [1, 3, 1, 3], [0.0] * 4]
+
+
+def test_flow_and_search_of_a_graph_without_edges(spark, tmp_path):
+    spark.createDataFrame([(1, 5)], "l_orderkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 7)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    for name in ("b14_max_flow", "b2_dfs"):
+        assert QUERIES[name](spark, str(tmp_path)).collect() == []
