@@ -508,3 +508,27 @@ def two_nearest(asked: tuple[np.ndarray, np.ndarray], known: tuple[np.ndarray, n
         keep[2:] &= (i[2:] != i[:-2]) | (d[2:] != d[:-2])
         out.append((i[keep] + start, ids[j[keep]], d[keep]))
     return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), ids[:0], np.zeros(0))
+
+
+def least_connected(tile: np.ndarray, y: np.ndarray, x: np.ndarray, pid: np.ndarray) -> np.ndarray:
+    """The least pid of the 4-connected component of each pixel within its tile; pixels are sorted by (tile, y, x)."""
+    if not len(tile):
+        return pid
+    side = int(x.max() - x.min()) + 2
+    high = int(y.max() - y.min()) + 2
+    key = (tile.astype(np.int64) * high + (y - y.min())) * side + (x - x.min())
+    run = np.cumsum(np.diff(key, prepend=key[0]) > 1)
+    place = np.searchsorted(key, key + side)
+    below = np.flatnonzero(key[np.minimum(place, len(key) - 1)] == key + side)
+    a, b = run[below], run[place[below]]
+    root = np.arange(run[-1] + 1)
+    while len(a):
+        low, far = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        np.minimum.at(root, far, low)
+        while not np.array_equal(up := root[root], root):
+            root = up
+        open_ = root[a] != root[b]
+        a, b = a[open_], b[open_]
+    least = np.full(len(root), np.iinfo(np.int64).max)
+    np.minimum.at(least, root[run], pid)
+    return least[root[run]]

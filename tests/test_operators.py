@@ -333,3 +333,28 @@ def test_flow_and_search_of_a_graph_without_edges(spark, tmp_path):
     spark.createDataFrame([(1, 7)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     for name in ("b14_max_flow", "b2_dfs"):
         assert QUERIES[name](spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("tile", [4, 1024])
+def test_mask_components_over_tiles_without_needless_rounds(spark, tile, monkeypatch):
+    rng = np.random.default_rng(3)
+    masks = {z: rng.random((13, 18)) < 0.6 for z in (0, 1, 4)}
+    dy, dx = (5, 6) if tile == 4 else (0, 0)
+    rows = [(z, int(y) - dy, int(x) - dx, 1000 * z + int(y) * 18 + int(x) + 1) for z, m in masks.items() for y, x in zip(*np.nonzero(m))]
+    rounds = []
+    monkeypatch.setattr(R, "roots", lambda edges: rounds.append(1) or C.roots(edges))
+    found = R.mask_components(spark.createDataFrame(rows, "z int, y int, x int, pid long"), tile)
+    got = {(r.z, r.y + dy, r.x + dx): r.root for r in found.collect()}
+    want = {}
+    for z, m in masks.items():
+        flood = KN.labelled(m)[0]
+        least = {}
+        for y, x in zip(*np.nonzero(m)):
+            least.setdefault(flood[y, x], 1000 * z + int(y) * 18 + int(x) + 1)
+        want |= {(z, y, x): least[flood[y, x]] for y, x in zip(*np.nonzero(m))}
+    assert got == want and len(rounds) == (tile == 4)
+    holes = {r.root: r.euler for r in R.euler_numbers(found).collect()}
+    for root in set(want.values()):
+        own = {k for k, v in want.items() if v == root}
+        near = lambda dy, dx: sum((z, y + dy, x + dx) in own for z, y, x in own)
+        assert holes[root] == len(own) - near(0, 1) - near(1, 0) + sum({(z, y + 1, x), (z, y, x + 1), (z, y + 1, x + 1)} <= own for z, y, x in own)
