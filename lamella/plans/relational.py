@@ -6,6 +6,7 @@ from pyspark.sql import Window as W, functions as F
 
 from ..functions import scalars as S
 from ..operators import components as C, matching as M, overlap as O, volume as V
+from ..session import written
 from .projections import OVERLAPS, overlaps
 from .registry import DENSE, IMG, PAIRS, VOX, dense_pairs, img, pairgraph, query, table, vox
 
@@ -73,7 +74,7 @@ DENSE_AREAS = f"{DENSE}, o AS (SELECT l1, l2, ov, sum(ov) OVER (PARTITION BY l1)
 
 
 def dense_areas(spark, d):
-    p = dense_pairs(spark, d)
+    p = written(dense_pairs(spark, d), "dense")
     a1 = p.groupBy("l1").agg(F.sum("ov").alias("a1"))
     a2 = p.groupBy("l2").agg(F.sum("ov").alias("a2"))
     return p.join(a1, "l1").join(a2, "l2")
@@ -116,7 +117,7 @@ def j10_multimatch(spark, d):
 @query(f"""WITH {DENSE_AREAS}, b AS (SELECT *, row_number() OVER (PARTITION BY l1 ORDER BY ov DESC, l2) AS r1, row_number() OVER (PARTITION BY l2 ORDER BY ov DESC, l1) AS r2, sum(ov) OVER () AS total FROM o), k AS (SELECT l1, l2 FROM b WHERE ov >= 40)
   SELECT DISTINCT l1, l2 FROM b WHERE ((r1 = 1 AND ov / a1 >= 0.05 AND ov / total >= 0.0001) OR (r2 = 1 AND ov / a2 >= 0.05 AND ov / total >= 0.0001)) AND NOT EXISTS (SELECT 1 FROM k WHERE k.l1 = b.l1 AND k.l2 = b.l2)""")
 def j11_orphan_join(spark, d):
-    o = dense_areas(spark, d)
+    o = written(dense_areas(spark, d), "areas")
     total = o.agg(F.sum("ov")).first()[0] or 1
     return M.orphans(o, o.where("ov >= 40"), total, 0.05, 0.0001)
 

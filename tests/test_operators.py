@@ -358,3 +358,7 @@ def test_mask_components_over_tiles_without_needless_rounds(spark, tile, monkeyp
         own = {k for k, v in want.items() if v == root}
         near = lambda dy, dx: sum((z, y + dy, x + dx) in own for z, y, x in own)
         assert holes[root] == len(own) - near(0, 1) - near(1, 0) + sum({(z, y + 1, x), (z, y, x + 1), (z, y + 1, x + 1)} <= own for z, y, x in own)
+
+
+def test_overlaps_of_lines_are_counted_once(spark, data):
+    assert "l_suppkey" not in QUERIES["j11_orphan_join"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
