@@ -225,6 +225,12 @@ def _fusion(spark, d):
     return c, segments, sets, links.select("l1", "l2", S.link_worth(F.col("a1"), F.col("a2"), F.col("ov"), F.col("dz")).alias("worth"), S.link_worth_with_segments(F.col("a1"), F.col("a2"), F.col("ov")).alias("alone"))
 
 
+def _stored_fusion(spark, d):
+    """The fusion's tables written, for what reads them several times; the candidates are not."""
+    c, segments, sets, links = _fusion(spark, d)
+    return c, written(segments, "segments"), written(sets, "sets"), written(links, "links")
+
+
 FUSION = f"""{VOX}, single AS (SELECT z, y, x, z * 100 + label_a AS a, z * 100 + 50 + (label_a + 1) // 2 AS b FROM vox WHERE label_a > 0),
   cand AS (SELECT z, y, x, a AS label FROM single UNION ALL SELECT z, y, x, b FROM single), area AS (SELECT label, count(*) AS area FROM cand GROUP BY 1),
   pairs AS (SELECT DISTINCT least(a, b) * 1000000 + greatest(a, b) AS set, a, b FROM single), sets AS (SELECT set, a AS label FROM pairs UNION ALL SELECT set, b FROM pairs),
@@ -235,8 +241,8 @@ FUSION = f"""{VOX}, single AS (SELECT z, y, x, z * 100 + label_a AS a, z * 100 +
 @query()
 def m1_fusion(spark, d):
     """Candidates, exclusions and links to a best selection, block by block; tests compare with all subsets."""
-    c, segments, sets, links = _fusion(spark, d)
-    return FU.fused(c, FU.solved(segments, sets, links), links)
+    c, segments, sets, links = _stored_fusion(spark, d)
+    return FU.fused(c, written(FU.solved(segments, sets, links), "solution"), links)
 
 
 @query(f"""WITH {FUSION} SELECT 's' || label AS name, 0.0::DOUBLE AS cost FROM area
@@ -390,7 +396,7 @@ def g15_cube_matrix(spark, d):
 
 @query()
 def m6_diversified_solutions(spark, d):
-    _, segments, sets, links = _fusion(spark, d)
+    _, segments, sets, links = _stored_fusion(spark, d)
     return FU.diversified(segments, sets, links)
 
 

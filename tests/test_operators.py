@@ -362,3 +362,11 @@ def test_mask_components_over_tiles_without_needless_rounds(spark, tile, monkeyp
 
 def test_overlaps_of_lines_are_counted_once(spark, data):
     assert "l_suppkey" not in QUERIES["j11_orphan_join"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fusion_reads_its_solution_and_links_from_tables(spark, data, monkeypatch):
+    seen = []
+    monkeypatch.setattr(fusion, "fused", lambda c, solution, links: seen.extend((solution, links)) or c)
+    QUERIES["m1_fusion"](spark, data)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in seen]
+    assert len(plans) == 2 and not any(word in plan for plan in plans for word in ("Pandas", "Join"))
