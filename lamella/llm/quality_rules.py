@@ -138,6 +138,8 @@ def _written(folder: str, order: int):
             if open_[kind]:
                 keys, values = (np.concatenate(c) for c in zip(*open_[kind]))
                 open_[kind] = []
+                if not len(keys):  # all grams of these pieces were pruned
+                    return
                 name = f"{uuid.uuid4().hex}.parquet"
                 with fs.open_output_stream(f"{root}/{name}") as out:
                     pq.write_table(pa.table([pa.array(keys), pa.array(values.astype(np.float32))], names=["key", "value"]), out, compression="none", use_dictionary=False)

@@ -125,3 +125,11 @@ def test_quality(spark, odd, nothing):
     assert quality_classifier.quality_scores(nothing, labels).collect() == []
     assert {r.score for r in quality_classifier.quality_scores(odd, labels.limit(0)).collect()} == {0.5}
     assert quality_classifier.accepted_documents(odd, labels).columns == odd.columns
+
+
+def test_a_shard_of_pruned_grams_is_not_written(tmp_path):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "en"]), pa.array([256, 257]), pa.array([None, None], pa.float64()), pa.array([1, 1]), pa.array([1.0, 1.0])], names=["lang", "code", "share", "ctx", "left"])
+    got = list(quality_rules._written(f"file://{tmp_path}/shards", 2)([batch]))
+    assert len(got) == 1 and got[0].column(2).to_pylist() == got[0].column(3).to_pylist() == [1 + (2 << quality_rules._LENGTH) + quality_rules._CONTEXT]
